@@ -46,6 +46,8 @@ def is_timestamp_kind(x: Column, kind: str) -> Column:
     possible = has(x, ":") & (F.length(x) >= (19 if kind == "local" else 20))
     if kind == "local":
         possible = possible & char_is(x, -3, ":") & char_is(x, -6, ":")
+    elif kind == "zoned_space":
+        possible = possible & (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) >= 2)
     parsed = F.try_to_timestamp(x, F.lit(TIMESTAMP_FORMATS[kind])).isNotNull()
     return F.when(possible, parsed).otherwise(F.lit(False))
 
@@ -57,6 +59,10 @@ def is_date(x: Column, fmt: str) -> Column:
         if not ch.isalpha():
             # The year is the one part of variable width.
             possible = possible & char_is(x, i - len(fmt) if fmt.startswith("y") else i + 1, ch)
+    if fmt.isalpha():
+        # Where the other patterns have their separators.
+        possible = possible & F.substring(x, -3, 1).between("0", "9")
+        possible = possible & F.substring(x, -5, 1).between("0", "9")
     parsed = F.try_to_date(x, fmt).isNotNull()
     return F.when(possible, parsed).otherwise(F.lit(False))
 

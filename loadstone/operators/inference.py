@@ -2,9 +2,10 @@
 
 Each column needs some ten column-wide tests ("every value is an integer",
 "every value is a zoned timestamp", ...). They are taken as bits of one integer
-per value and joined with ``bit_and``, so a column costs four fixed-size
-aggregation buffers and the whole input, of whatever size and skew, reduces to
-one row with map-side combining alone.
+per value and joined with ``bit_and``, grouped by the position of the field.
+A group is a column, so a few fixed-size buffers per task hold all there is to
+shuffle, whatever the size of the input; and the generated code has one copy of
+the tests, whatever the number of columns.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from loadstone.functions.predicates import (
     is_timestamp_kind,
 )
 from loadstone.functions.text import has, trimmed
-from loadstone.sources.delimited import DEFAULT_DELIMITER, split_fields
+from loadstone.sources.delimited import DEFAULT_DELIMITER, field_array
 
 # Fixed value: the zone of inferred local timestamps.
 DEFAULT_ZONE = "America/Los_Angeles"
@@ -91,8 +92,9 @@ def common_date_format(x: Column) -> Column:
 def test_bits(t: Column) -> Column:
     """All tests of one trimmed value as bits of an integer.
 
-    A number is never tested as a time: but for all-digit dates, which count as
-    integers, no text is both.
+    The cheap tests come first; casts and parses that fail are dear. A number is
+    never tested as a time: but for all-digit dates, which count as integers, no
+    text is both.
     """
     time_bits = F.lit(0)
     for kind, bit in _TIMESTAMP_BITS.items():
@@ -100,8 +102,9 @@ def test_bits(t: Column) -> Column:
     date_bits = F.lit(0)
     for fmt, bit in _DATE_BITS.items():
         date_bits = date_bits.bitwiseOR(F.when(is_date(t, fmt), bit).otherwise(0))
+    # Digits, point and signs lie between "+" and "9"; nothing else starts a match.
     return (
-        F.when(t == "", F.lit(0))
+        F.when(~F.substring(t, 1, 1).between("+", "9"), F.lit(0))
         .when(is_int(t), F.lit(_NUMERIC_BIT | _INT_BIT))
         .when(is_numeric(t), F.lit(_NUMERIC_BIT))
         .when(has(t, ":"), time_bits)
@@ -112,27 +115,29 @@ def test_bits(t: Column) -> Column:
 def column_statistics(
     sample: DataFrame, width: int, delimiter: str = DEFAULT_DELIMITER
 ) -> DataFrame:
-    """One row: ``bits``, ``len``, ``low`` and ``high`` scale of each of ``width`` columns."""
-    fields = split_fields(sample, width, delimiter)
-    texts = fields.select(*[trimmed(F.col(f"f{i}")).alias(f"t{i}") for i in range(width)])
-    aggregates = []
-    for i in range(width):
-        t = F.col(f"t{i}")
-        aggregates += [
-            F.bit_and(test_bits(t)).alias(f"bits{i}"),
-            F.max(F.length(t)).alias(f"len{i}"),
-            F.min(scale_of(t)).alias(f"low{i}"),
-            F.max(scale_of(t)).alias(f"high{i}"),
-        ]
-    return texts.agg(*aggregates)
-
-
-def decide(name: str, stats: Row, i: int, zone: str = DEFAULT_ZONE) -> FieldSpec:
-    """The type of column ``i`` from its statistics."""
-    bits, length = stats[f"bits{i}"], stats[f"len{i}"]
-    low, high = stats[f"low{i}"], stats[f"high{i}"]
-    if length is None:
-        raise SchemaError("cannot infer a schema from an empty sample")
+    """One row per column: ``idx``, ``bits``, ``len`` and the ``low`` and ``high`` scale."""
+    # Short rows count as empty fields, surplus fields do not count.
+    missing = F.array_repeat(F.lit(""), width)
+    fields = F.slice(F.concat(field_array(F.col("value"), delimiter, width), missing), 1, width)
+    values = sample.select(F.posexplode(fields).alias("idx", "x"))
+    texts = values.select("idx", trimmed(F.col("x")).alias("t"))
+    tested = texts.select(
+        "idx",
+        test_bits(F.col("t")).alias("bits"),
+        F.length("t").alias("len"),
+        scale_of(F.col("t")).alias("scale"),
+    )
+    return tested.groupBy("idx").agg(
+        F.bit_and("bits").alias("bits"),
+        F.max("len").alias("len"),
+        F.min("scale").alias("low"),
+        F.max("scale").alias("high"),
+    )
+
+
+def decide(name: str, stats: Row, zone: str = DEFAULT_ZONE) -> FieldSpec:
+    """The type of a column from its statistics."""
+    bits, length, low, high = stats["bits"], stats["len"], stats["low"], stats["high"]
     if bits & _NUMERIC_BIT:
         if bits & _INT_BIT:
             return FieldSpec(name, INT64)
@@ -167,5 +172,7 @@ def infer_fields(
     """Infer one field per name from the lines of ``sample``."""
     if not names:
         raise SchemaError("schema has no columns")
-    stats = column_statistics(sample, len(names), delimiter).first()
-    return [decide(name, stats, i, zone) for i, name in enumerate(names)]
+    stats = {r["idx"]: r for r in column_statistics(sample, len(names), delimiter).collect()}
+    if not stats:
+        raise SchemaError("cannot infer a schema from an empty sample")
+    return [decide(name, stats[i], zone) for i, name in enumerate(names)]

@@ -11,13 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loadstone.fields import STRING, FieldSpec
 from loadstone.functions.decode import decode
-from loadstone.sources.delimited import DEFAULT_DELIMITER, LINE, split_fields
+from loadstone.sources.delimited import (
+    DEFAULT_DELIMITER,
+    LINE,
+    field_array,
+    field_text,
+    split_fields,
+)
 
 BAD = "__bad"
 
@@ -52,87 +59,100 @@ def typed_rows(
     return _decoded(lines, fields, delimiter).select(*_named(fields))
 
 
-def strict_rows(
-    lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str = DEFAULT_DELIMITER
-) -> DataFrame:
-    """Every line as a typed row; the first bad value fails the job at once."""
-    decoded = _decoded(lines, fields, delimiter)
-    checked = []
-    for i, s in enumerate(fields):
-        value = F.col(f"v{i}")
-        if s.kind != STRING:
-            message = F.concat(
-                F.lit(f"Failed on column {i} {s.name} {s.describe()} len="),
-                F.length(f"f{i}").cast("string"),
-                F.lit(" value='"),
-                F.col(f"f{i}"),
-                F.lit("' line: "),
-                F.col(LINE),
-            )
-            value = F.when(_is_bad(s, i), F.raise_error(message)).otherwise(value)
-        checked.append(value.alias(f"v{i}"))
-    return decoded.select(*checked).select(*_named(fields))
-
-
 def first_bad_column(fields: Sequence[FieldSpec]) -> Column:
     """Index of the first bad column of a decoded row, NULL for a good row."""
     tests = [F.when(_is_bad(s, i), F.lit(i)) for i, s in enumerate(fields) if s.kind != STRING]
     return F.coalesce(*tests) if tests else F.lit(None).cast("int")
 
 
+def _marked(
+    lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str, *extra: str
+) -> DataFrame:
+    """Typed columns v<i> and the index of the first bad one."""
+    values = [f"v{i}" for i in range(len(fields))]
+    return _decoded(lines, fields, delimiter).select(
+        *extra, *values, first_bad_column(fields).alias(BAD)
+    )
+
+
+def _counted(marked: DataFrame, observation: Observation | None) -> DataFrame:
+    """Observe the counts. This also keeps a filter on the bad mark above the
+    decoding: pushed below, it would split the line and decode for each use."""
+    return marked.observe(
+        observation or Observation(),
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.col(BAD)).alias("bad"),
+    )
+
+
 def good_rows(
     lines: DataFrame,
     fields: Sequence[FieldSpec],
     delimiter: str = DEFAULT_DELIMITER,
     observation: Observation | None = None,
 ) -> DataFrame:
-    """The typed rows without a bad value, and counts of all and bad rows observed.
+    """The typed rows without a bad value; all rows and bad rows are counted."""
+    counted = _counted(_marked(lines, fields, delimiter), observation)
+    return counted.where(F.col(BAD).isNull()).select(*_named(fields))
 
-    The observation also keeps the filter above the decoding: pushed below, it
-    would decode each value a second time.
-    """
-    marked = _decoded(lines, fields, delimiter).select(
-        *[f"v{i}" for i in range(len(fields))], first_bad_column(fields).alias(BAD)
+
+def strict_rows(
+    lines: DataFrame,
+    fields: Sequence[FieldSpec],
+    delimiter: str = DEFAULT_DELIMITER,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Every line as a typed row; the first bad value fails the job at once."""
+    counted = _counted(_marked(lines, fields, delimiter, LINE), observation)
+    message = F.concat(
+        F.lit("Failed on column "),
+        F.col(BAD).cast("string"),
+        F.lit(" "),
+        _of_column([f"{s.name} {s.describe()}" for s in fields]),
+        F.lit(" value='"),
+        _bad_text(delimiter),
+        F.lit("' line: "),
+        F.col(LINE),
     )
-    counted = marked.observe(
-        observation or Observation(),
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.col(BAD)).alias("bad"),
+    passed = F.when(F.col(BAD).isNull(), F.lit(True)).otherwise(
+        F.raise_error(message).cast("boolean")
     )
-    return counted.where(F.col(BAD).isNull()).select(*_named(fields))
+    return counted.where(passed).select(*_named(fields))
 
 
-def observed(observation: Observation) -> tuple[int, int]:
-    """(rows, bad rows) of a finished write; an input planned away counts as empty."""
+def _bad_text(delimiter: str) -> Column:
+    return field_text(field_array(F.col(LINE), delimiter), F.col(BAD))
+
+
+def _of_column(texts: Sequence[str]) -> Column:
+    """The text that belongs to the bad column."""
+    return F.get(F.array(*[F.lit(t) for t in texts]), F.col(BAD))
+
+
+def observed(observation: Observation) -> dict[str, int] | None:
+    """The counts of a finished write; None if it had none to make.
+
+    Spark plans the observation away with an input it finds to be empty.
+    """
     try:
-        counts = observation.get
-    except Exception:  # noqa: BLE001 - no metrics row was produced
-        counts = {}
-    return counts.get("rows") or 0, counts.get("bad") or 0
+        return observation.get or None
+    except (PySparkException, Py4JError):
+        return None
 
 
 def bad_rows(
     lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str = DEFAULT_DELIMITER
 ) -> DataFrame:
     """The rows that do not decode, with their first bad column."""
-    decoded = _decoded(lines, fields, delimiter)
-    first = first_bad_column(fields)
-    text = F.coalesce(
-        *[F.when(F.col(BAD) == i, F.col(f"f{i}")) for i in range(len(fields))]
-    )
-    names = F.array(*[F.lit(s.name) for s in fields])
-    kinds = F.array(*[F.lit(s.describe()) for s in fields])
-    return (
-        decoded.withColumn(BAD, first)
-        .where(F.col(BAD).isNotNull())
-        .select(
-            F.col(LINE).alias("line"),
-            F.col(BAD).alias("col_idx"),
-            F.get(names, F.col(BAD)).alias("col_name"),
-            F.get(kinds, F.col(BAD)).alias("type"),
-            F.length(text).alias("len"),
-            text.alias("value"),
-        )
+    marked = _decoded(lines, fields, delimiter).select(LINE, first_bad_column(fields).alias(BAD))
+    value = _bad_text(delimiter)
+    return _counted(marked, None).where(F.col(BAD).isNotNull()).select(
+        F.col(LINE).alias("line"),
+        F.col(BAD).alias("col_idx"),
+        _of_column([s.name for s in fields]).alias("col_name"),
+        _of_column([s.describe() for s in fields]).alias("type"),
+        F.length(value).alias("len"),
+        value.alias("value"),
     )
 
 
@@ -161,7 +181,7 @@ def enforce_limit(bad: int, limit: int) -> None:
 
 def failed_value(error: BaseException) -> str | None:
     """The message of the bad value that failed a strict job, if that is what failed it."""
-    if not isinstance(error, PySparkException) and "Py4J" not in type(error).__name__:
+    if not isinstance(error, (PySparkException, Py4JError)):
         return None
     text = str(error)
     at = text.find("Failed on column ")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loadstone.operators.export import export_lines
 from loadstone.operators.quality import observed
+from loadstone.session import compiled_methods
 from loadstone.sinks.orc import write_orc
 from loadstone.sinks.text import EXPORT_ROWS_PER_PART, write_csv_gz, write_sequence
 from loadstone.sources.tables import export_filter, export_scan, export_streams
@@ -57,20 +58,11 @@ def export(
     """
     chosen, started = export_format(fmt), time.monotonic()
     rows = export_streams(export_filter(export_scan(spark, source), where), partitions)
-    if chosen == "orc":
-        observation = Observation()
-        write_orc(_counted(rows, observation), dest, mode, rows_per_part)
-        count = observed(observation)[0]
-    elif chosen == "csv":
-        observation = Observation()
-        write_csv_gz(_counted(export_lines(rows), observation), dest, mode, rows_per_part)
-        count = observed(observation)[0]
-    else:
-        lines = export_lines(rows)
-        if mode == "overwrite":
-            # Hadoop's output formats know no save modes.
-            raise ValueError("a SequenceFile export does not overwrite; give a new path")
-        count = write_sequence(lines, dest, rows_per_part)
+    if chosen == "seq" and mode == "overwrite":
+        # Hadoop's output formats know no save modes.
+        raise ValueError("a SequenceFile export does not overwrite; give a new path")
+    with compiled_methods(spark):
+        count = _write(rows, dest, chosen, mode, rows_per_part)
     files = part_files(spark, dest).agg(
         F.count(F.lit(1)).alias("parts"),
         F.count_distinct(F.regexp_extract("name", "^part-([0-9]+)", 1)).alias("streams"),
@@ -87,5 +79,17 @@ def export(
     return result
 
 
-def _counted(df: DataFrame, observation: Observation) -> DataFrame:
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+def _write(rows: DataFrame, dest: str, fmt: str, mode: str, rows_per_part: int) -> int:
+    """Write the rows in the format and return their number."""
+    if fmt == "seq":
+        return write_sequence(export_lines(rows), dest, rows_per_part)
+    observation = Observation()
+    counted = (rows if fmt == "orc" else export_lines(rows)).observe(
+        observation, F.count(F.lit(1)).alias("rows")
+    )
+    if fmt == "orc":
+        write_orc(counted, dest, mode, rows_per_part)
+    else:
+        write_csv_gz(counted, dest, mode, rows_per_part)
+    counts = observed(observation)
+    return counts["rows"] if counts else rows.count()

@@ -30,6 +30,7 @@ from loadstone.operators.schema import (
     schema_provider,
     template_fields,
 )
+from loadstone.session import compiled_methods
 from loadstone.sinks.orc import (
     DEFAULT_PART_MB,
     measure_rows,
@@ -58,7 +59,7 @@ from loadstone.sources.delimited import (
     scan_lines,
     source_paths,
 )
-from loadstone.storage import scratch_dir, total_bytes
+from loadstone.storage import shared_scratch, total_bytes
 
 log = logging.getLogger(__name__)
 
@@ -94,7 +95,8 @@ def resolve_fields(
     provider = schema_provider(autodetect, template, found)
     if provider == "autodetect":
         names = autodetect_names(lines, delimiter, found, schema)
-        fields = infer_fields(sample_lines(lines, sample_rows), names, delimiter, zone)
+        with compiled_methods(spark):
+            fields = infer_fields(sample_lines(lines, sample_rows), names, delimiter, zone)
         fields = copy_comments(fields, found)
     elif provider == "template":
         fields = template_fields(found)
@@ -166,36 +168,32 @@ def load(
     if path:
         guard_staging(spark, path, mode, shared=external)
 
-    # The probe goes below the staging folder under a name that readers skip.
-    probe = f"{path.rstrip('/')}/_probe-{uuid.uuid4().hex}" if path else scratch_dir(spark, "probe")
-    lines, cap = _layout(spark, sources, lines, fields, delimiter, probe, partitions, part_mb)
+    lines, cap = _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb)
 
     strict = error_limit <= 1
     # Without a staging folder of its own a load publishes as it commits, so a
     # limit above the first bad row is checked in a pass ahead of it.
     staged = path is not None and not (external and mode == "append")
     if not strict and not staged:
-        bad = count_rows(lines, fields, delimiter).first()["bad"]
+        with compiled_methods(spark):
+            bad = count_rows(lines, fields, delimiter).first()["bad"]
         _check(bad, error_limit, lines, fields, delimiter, quarantine)
 
     observation = Observation()
-    if strict:
-        rows = strict_rows(lines, fields, delimiter).observe(
-            observation, F.count(F.lit(1)).alias("rows")
-        )
-    else:
-        rows = good_rows(lines, fields, delimiter, observation)
+    rows = (strict_rows if strict else good_rows)(lines, fields, delimiter, observation)
     try:
-        if path:
-            write_orc(rows, path, "append", cap)
-        else:
-            save_table(rows, name, mode, cap)
+        with compiled_methods(spark):
+            if path:
+                write_orc(rows, path, "append", cap)
+            else:
+                save_table(rows, name, mode, cap)
     except Exception as e:
         message = failed_value(e)
         if message is None:
             raise
         raise LoadError(message) from e
-    read, bad = observed(observation)
+    counts = observed(observation) or count_rows(lines, fields, delimiter).first().asDict()
+    read, bad = counts["rows"], counts["bad"]
     written = read - bad
 
     if staged:
@@ -214,16 +212,16 @@ def load(
     return LoadResult(fields, read, written, bad, str(name) if name else None, path)
 
 
-def _layout(spark, sources, lines, fields, delimiter, probe, partitions, part_mb):
+def _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb):
     """The lines in writer tasks, and the most rows a part may hold."""
-    per_row = measure_rows(lines, fields, probe, delimiter)
+    splits = None if isinstance(sources, DataFrame) else lines.rdd.getNumPartitions()
+    # The probe goes below the staging folder under a name that readers skip.
+    probe = f"{path.rstrip('/')}/_probe-{uuid.uuid4().hex}" if path else shared_scratch(spark)
+    per_row = measure_rows(lines, fields, probe, delimiter) if probe else None
     if per_row is None:
-        return lines, None
+        return with_writers(lines, partitions, splits), None
     orc_bytes, text_bytes = per_row
-    if isinstance(sources, DataFrame):
-        return with_writers(lines, partitions), rows_per_part(orc_bytes, part_mb)
-    splits = lines.rdd.getNumPartitions()
-    if partitions is None and is_splittable(lines):
+    if partitions is None and splits is not None and is_splittable(lines):
         size = total_bytes(spark, source_paths(sources))
         # Never more than there are splits: that would be a shuffle nobody asked for.
         partitions = min(splits, writers_for(spark, size, orc_bytes / text_bytes, part_mb))
@@ -236,7 +234,8 @@ def _check(bad, limit, lines, fields, delimiter, quarantine):
     if bad:
         log.error("%d bad rows", bad)
         if quarantine:
-            bad_rows(lines, fields, delimiter).write.mode("append").json(quarantine)
+            with compiled_methods(lines.sparkSession):
+                bad_rows(lines, fields, delimiter).write.mode("append").json(quarantine)
     enforce_limit(bad, limit)
 
 

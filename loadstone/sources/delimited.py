@@ -63,7 +63,7 @@ def field_array(line: Column, delimiter: str, width: int = -1) -> Column:
     return F.split(line, split_pattern(delimiter), limit)
 
 
-def field_text(fields: Column, i: int) -> Column:
+def field_text(fields: Column, i: int | Column) -> Column:
     """Field ``i``, the empty string past the end of a short row."""
     return F.coalesce(F.get(fields, F.lit(i)), F.lit(""))
 

@@ -1,8 +1,10 @@
 """Run every registered query beside its SQL on DuckDB and compare the rows.
 
 Usage: python tests/compare.py [sf dir] [query ...]
+More session settings go into COMPARE_CONF as key=value,key=value.
 """
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -52,8 +54,12 @@ def session():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .getOrCreate()
     )
+    for setting in os.environ.get("COMPARE_CONF", "").split(","):
+        key, _, value = setting.partition("=")
+        if key:
+            spark = spark.config(key, value)
+    spark = spark.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     return spark
 

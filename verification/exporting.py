@@ -85,14 +85,14 @@ def fmt_string(spark, sf_dir):
     """SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS big, CAST(l_linenumber AS VARCHAR) AS small,
       CAST(l_quantity AS VARCHAR) AS wide, CAST(CAST(l_quantity AS FLOAT) AS VARCHAR) AS narrow,
       CASE WHEN l_quantity > 25 THEN 'true' ELSE 'false' END AS flag,
-      CAST(CAST(l_quantity AS INTEGER) / 10.0 AS DECIMAL(12,1)) || 'E7' AS exponent
-    FROM lineitem WHERE l_quantity >= 10""",
+      CASE WHEN l_quantity < 10 THEN CAST(l_quantity * 1000000 AS BIGINT) || '.0'
+        ELSE CAST(l_quantity / 10 AS DECIMAL(12,1)) || 'E7' END AS exponent
+    FROM lineitem""",
 )
 def fmt_scalar(spark, sf_dir):
     """Large floating point values take Java's exponent form."""
-    rows = table(spark, sf_dir, "lineitem").where("l_quantity >= 10")
     quantity = F.col("l_quantity")
-    return rows.select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         X.fmt_scalar(F.col("l_partkey")).alias("big"),
         X.fmt_scalar(F.col("l_linenumber")).alias("small"),

@@ -158,22 +158,33 @@ def schema_precedence(spark, sf_dir):
 
 
 def _broken_orders(spark, sf_dir):
-    """Orders with every seventh key and every fifth date broken."""
+    """Orders with the keys of one status and the dates of one priority broken:
+    almost half of the rows are bad."""
     columns = text_columns("orders")
-    key = F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("x"), columns["o_orderkey"])).otherwise(
-        columns["o_orderkey"]
+    key, date = columns["o_orderkey"], columns["o_orderdate"]
+    return lines(
+        spark,
+        sf_dir,
+        "orders",
+        o_orderkey=F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("x"), key)).otherwise(key),
+        o_orderdate=F.when(
+            F.col("o_orderpriority") == "5-LOW", F.concat(F.substring(date, 1, 4), F.lit("-02-31"))
+        ).otherwise(date),
     )
-    date = F.when(F.col("o_orderkey") % 5 == 0, F.lit("2021-02-31")).otherwise(columns["o_orderdate"])
-    return lines(spark, sf_dir, "orders", o_orderkey=key, o_orderdate=date)
 
 
 _O = text_sql("orders")
+_BAD_KEY = "o_orderstatus = 'P'"
+_BAD_ROW = f"({_BAD_KEY} OR o_orderpriority = '5-LOW')"
+_KEY_TEXT = f"CASE WHEN {_BAD_KEY} THEN 'x' || o_orderkey ELSE {_O['o_orderkey']} END"
+_DATE_TEXT = (
+    "CASE WHEN o_orderpriority = '5-LOW' THEN year(o_orderdate) || '-02-31' "
+    f"ELSE {_O['o_orderdate']} END"
+)
 _BROKEN_SQL = (
-    "concat_ws('þ', CASE WHEN o_orderkey % 7 = 0 THEN 'x' || o_orderkey ELSE "
-    f"{_O['o_orderkey']} END, {_O['o_custkey']}, {_O['o_orderstatus']}, {_O['o_totalprice']}, "
-    f"CASE WHEN o_orderkey % 5 = 0 THEN '2021-02-31' ELSE {_O['o_orderdate']} END, o_orderpriority)"
+    f"concat_ws('þ', {_KEY_TEXT}, {_O['o_custkey']}, {_O['o_orderstatus']}, {_O['o_totalprice']}, "
+    f"{_DATE_TEXT}, o_orderpriority)"
 )
-_BAD_KEY, _BAD_ROW = "o_orderkey % 7 = 0", "(o_orderkey % 7 = 0 OR o_orderkey % 5 = 0)"
 
 
 @query(
@@ -181,8 +192,8 @@ _BAD_KEY, _BAD_ROW = "o_orderkey % 7 = 0", "(o_orderkey % 7 = 0 OR o_orderkey %
     f"""SELECT {_BROKEN_SQL} AS line, CASE WHEN {_BAD_KEY} THEN 0 ELSE 4 END AS col_idx,
       CASE WHEN {_BAD_KEY} THEN 'o_orderkey' ELSE 'o_orderdate' END AS col_name,
       CASE WHEN {_BAD_KEY} THEN 'INT64' ELSE 'DATE(format=yyyy-MM-dd)' END AS type,
-      CASE WHEN {_BAD_KEY} THEN length('x' || o_orderkey) ELSE 10 END AS len,
-      CASE WHEN {_BAD_KEY} THEN 'x' || o_orderkey ELSE '2021-02-31' END AS value
+      CASE WHEN {_BAD_KEY} THEN length({_KEY_TEXT}) ELSE 10 END AS len,
+      CASE WHEN {_BAD_KEY} THEN {_KEY_TEXT} ELSE {_DATE_TEXT} END AS value
     FROM orders WHERE {_BAD_ROW}""",
 )
 def quarantined(spark, sf_dir):
