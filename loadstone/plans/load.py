@@ -59,7 +59,7 @@ from loadstone.sources.delimited import (
     scan_lines,
     source_paths,
 )
-from loadstone.storage import shared_scratch, total_bytes
+from loadstone.storage import MEGABYTE, shared_scratch, total_bytes
 
 log = logging.getLogger(__name__)
 
@@ -214,15 +214,21 @@ def load(
 
 def _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb):
     """The lines in writer tasks, and the most rows a part may hold."""
-    splits = None if isinstance(sources, DataFrame) else lines.rdd.getNumPartitions()
+    if isinstance(sources, DataFrame):
+        splits = size = None
+    else:
+        splits = lines.rdd.getNumPartitions()
+        size = total_bytes(spark, source_paths(sources)) if is_splittable(lines) else None
+    if size is not None and size <= part_mb * MEGABYTE:
+        # All of it fits into one part: nothing to cap or to merge.
+        return with_writers(lines, partitions, splits), None
     # The probe goes below the staging folder under a name that readers skip.
     probe = f"{path.rstrip('/')}/_probe-{uuid.uuid4().hex}" if path else shared_scratch(spark)
     per_row = measure_rows(lines, fields, probe, delimiter) if probe else None
     if per_row is None:
         return with_writers(lines, partitions, splits), None
     orc_bytes, text_bytes = per_row
-    if partitions is None and splits is not None and is_splittable(lines):
-        size = total_bytes(spark, source_paths(sources))
+    if partitions is None and size is not None:
         # Never more than there are splits: that would be a shuffle nobody asked for.
         partitions = min(splits, writers_for(spark, size, orc_bytes / text_bytes, part_mb))
     return with_writers(lines, partitions, splits), rows_per_part(orc_bytes, part_mb)

@@ -47,21 +47,30 @@ def bounded_streams(lines: DataFrame, rows_per_part: int) -> tuple[DataFrame, in
     return lines.repartition(math.ceil(total / rows_per_part)), total
 
 
-def _pairs(rows):
-    for row in rows:
-        yield "", row[0] + "\n"
-
-
 def write_sequence(
     lines: DataFrame, path: str, rows_per_part: int = EXPORT_ROWS_PER_PART
 ) -> int:
     """``lines`` as block-compressed SequenceFile parts: key ``""``, value line and newline.
 
-    Spark has no DataFrame writer for this format, so it is the one RDD step.
-    The codec is Snappy where the executors have it. Returns the number of rows.
+    DataFrames have no writer for this format, so this is the one RDD step, in
+    its Scala form: ``ds.as[(String, String)].rdd.saveAsSequenceFile(path, codec)``.
+    The rows stay in the JVM; PySpark's RDD method would pass each of them
+    through a Python worker. The codec is Snappy where it can be had. Returns
+    the number of rows.
     """
     bounded, total = bounded_streams(lines, rows_per_part)
-    bounded.rdd.mapPartitions(_pairs).saveAsSequenceFile(path, _codec(lines))
+    jvm = lines.sparkSession._jvm
+    pairs = bounded.select(F.lit("").alias("_1"), F.concat(bounded[0], F.lit("\n")).alias("_2"))
+    string = jvm.org.apache.spark.sql.Encoders.STRING()
+    encoder = jvm.org.apache.spark.sql.Encoders.tuple(string, string)
+    rdd = getattr(pairs._jdf, "as")(encoder).rdd()
+    tag = jvm.scala.reflect.ClassTag.apply(jvm.java.lang.Class.forName("java.lang.String"))
+    writable = jvm.org.apache.spark.WritableFactory.stringWritableFactory()
+    saver = jvm.org.apache.spark.rdd.RDD.rddToSequenceFileRDDFunctions(
+        rdd, tag, tag, writable, writable
+    )
+    codec = jvm.java.lang.Class.forName(_codec(lines))
+    saver.saveAsSequenceFile(path, jvm.scala.Option.apply(codec))
     return total
 
 

@@ -197,7 +197,7 @@ def export_parts(spark, sf_dir):
     """Parts that hold an eighth of the rows at most."""
     source, path = table(spark, sf_dir, "lineitem"), scratch_dir(spark, "parts")
     most = math.ceil(source.count() / 8)
-    export(spark, source, path, rows_per_part=most, partitions=1)
+    export(spark, source, path, rows_per_part=most)
     per_part = spark.read.text(path).groupBy(F.input_file_name().alias("part")).count()
     return per_part.agg(
         F.sum("count").alias("rows"),
@@ -233,10 +233,10 @@ def export_format(spark, sf_dir):
 )
 def export_row_count(spark, sf_dir):
     """The rows an export reports, beside the lines found, and its stream count."""
-    path = scratch_dir(spark, "counted")
-    result = export(spark, table(spark, sf_dir, "lineitem"), path, partitions=2)
+    source, path = table(spark, sf_dir, "lineitem"), scratch_dir(spark, "counted")
+    result = export(spark, source, path)
     return spark.read.text(path).agg(
         F.lit(result.rows).alias("reported"),
         F.count(F.lit(1)).alias("stored"),
-        F.lit(1 <= result.streams <= 2).alias("streams"),
+        F.lit(1 <= result.streams <= source.rdd.getNumPartitions()).alias("streams"),
     )

@@ -16,6 +16,7 @@ from loadstone.operators.schema import column_comment, parse_spec, template_fiel
 from loadstone.plans.load import load, resolve_fields
 from loadstone.sinks.orc import measure_rows, rows_per_part, write_orc
 from loadstone.sinks.tables import DestinationError, resolve_table
+from loadstone.sources.delimited import scan_lines
 from loadstone.storage import part_files, scratch_dir
 from verification.registry import (
     LINEITEM_SPEC,
@@ -283,20 +284,23 @@ def orc_parts(spark, sf_dir):
 
 @query(
     "write_parallel",
-    """SELECT 1 AS writers, count(*) AS rows FROM lineitem
-    UNION ALL SELECT 5, count(*) FROM lineitem UNION ALL SELECT 12, count(*) FROM lineitem""",
+    """SELECT 'fewer' AS asked, true AS got, count(*) AS rows FROM lineitem
+    UNION ALL SELECT 'more', true, count(*) FROM lineitem""",
 )
 def writers(spark, sf_dir):
-    """One, five and twelve writers: splits merged, and lines dealt out."""
+    """Half as many writers as input splits, which are merged, and twice as many,
+    to which the lines are dealt out."""
     source = text_file(spark, lines(spark, sf_dir, "lineitem").repartition(6), "writers")
+    splits = scan_lines(spark, source).rdd.getNumPartitions()
     result = None
-    for count in (1, 5, 12):
+    for asked, count in (("fewer", max(1, splits // 2)), ("more", 2 * splits)):
         path = scratch_dir(spark, "written")
         load(spark, source, path=path, schema=LINEITEM_SPEC, partitions=count)
         task = F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1)
         rows = spark.read.orc(path).select(task.alias("task")).agg(
-            F.count_distinct("task").cast("int").alias("writers"), F.count(F.lit(1)).alias("rows")
+            (F.count_distinct("task") == count).alias("got"), F.count(F.lit(1)).alias("rows")
         )
+        rows = rows.select(F.lit(asked).alias("asked"), "got", "rows")
         result = rows if result is None else result.unionByName(rows)
     return result
 
