@@ -53,9 +53,11 @@ from loadstone.sinks.tables import (
 from loadstone.sources.delimited import (
     DEFAULT_DELIMITER,
     DEFAULT_SAMPLE_ROWS,
+    HEAD_LIMIT,
     delimiter_char,
     is_splittable,
     sample_lines,
+    sample_sources,
     scan_lines,
     source_paths,
 )
@@ -149,9 +151,11 @@ def load(
     lines = sources if isinstance(sources, DataFrame) else scan_lines(spark, sources)
 
     # Before the destination is touched: the schema may come from it.
+    listed = autodetect and lines is not sources
+    in_order = listed and sample_rows is not None and sample_rows <= HEAD_LIMIT
     fields = resolve_fields(
         spark,
-        lines,
+        sample_sources(spark, sources, sample_rows) if in_order else lines,
         delimiter=delimiter,
         schema=schema,
         template=template,
@@ -164,7 +168,7 @@ def load(
     )
     log.info("schema: %s", ", ".join(f"{f.name} -> {f.describe()}" for f in fields))
     if name:
-        guard_destination(spark, name, mode)
+        guard_destination(spark, name, mode, path if external else None)
     if path:
         guard_staging(spark, path, mode, shared=external)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from loadstone.sinks.orc import orc_writer
-from loadstone.storage import delete_files, is_empty
+from loadstone.storage import delete_files, is_empty, qualified
 
 MODES = ("error", "append", "replace")
 
@@ -84,14 +84,30 @@ def guard_staging(spark: SparkSession, path: str, mode: str, shared: bool = Fals
         raise DestinationError(f"{path} is not empty")
 
 
-def guard_destination(spark: SparkSession, name: TableName, mode: str) -> None:
-    """``error`` needs the table absent; ``replace`` drops an external one."""
+def guard_destination(
+    spark: SparkSession, name: TableName, mode: str, external_path: str | None = None
+) -> None:
+    """``error`` needs the table absent; ``replace`` drops an external one.
+
+    A table that stays while parts are added under ``external_path`` must be
+    external and lie there.
+    """
     if not spark.catalog.tableExists(str(name)):
         return
     if mode == "error":
         raise DestinationError(f"table {name} exists")
     if mode == "replace" and is_external(spark, name):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    elif external_path and table_location(spark, name) != qualified(spark, external_path):
+        raise DestinationError(f"table {name} is not external over {external_path}")
+
+
+def table_location(spark: SparkSession, name: TableName) -> str | None:
+    """Where an external table lies; None for a native one."""
+    if not is_external(spark, name):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return qualified(spark, described.first()["data_type"])
 
 
 def is_external(spark: SparkSession, name: TableName) -> bool:

@@ -94,6 +94,22 @@ def sample_lines(lines: DataFrame, rows: int | None = DEFAULT_SAMPLE_ROWS) -> Da
     return lines.sparkSession.createDataFrame(lines.select("value").take(rows), "value string")
 
 
+def sample_sources(spark: SparkSession, sources: str | list[str], rows: int) -> DataFrame:
+    """The first ``rows`` lines of the sources, in the order they are listed.
+
+    A scan of all sources packs their files by size, so the sample goes through
+    them one by one, as far as it needs to.
+    """
+    if rows <= 0:
+        raise ValueError("sample must have at least one row")
+    head = []
+    for path in source_paths(sources):
+        head += scan_lines(spark, path).take(rows - len(head))
+        if len(head) == rows:
+            break
+    return spark.createDataFrame(head, "value string")
+
+
 def first_line_width(lines: DataFrame, delimiter: str = DEFAULT_DELIMITER) -> int:
     """Number of fields in the first line, trailing empty fields not counted."""
     head = lines.select("value").take(1)

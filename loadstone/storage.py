@@ -39,6 +39,12 @@ def _path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and without a trailing slash."""
+    fs, jpath = _path(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def is_empty(spark: SparkSession, path: str) -> bool:
     """Whether nothing lies directly under ``path``; asks for one entry, not the listing."""
     fs, jpath = _path(spark, path)

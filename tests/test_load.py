@@ -183,6 +183,31 @@ def test_external_table(spark, source, mixed, tmp_path, database):
     assert "expires_at" not in spark.sql(f"SHOW TBLPROPERTIES {table}").toPandas()["key"].tolist()
 
 
+def test_external_table_elsewhere(spark, source, tmp_path, database):
+    options = {"external": True, "schema": SPEC}
+    load(spark, source, f"{database}.native", schema=SPEC)
+    for mode in ("append", "replace"):
+        with pytest.raises(DestinationError, match="is not external over"):
+            load(spark, source, f"{database}.native", path=str(tmp_path / "a"), mode=mode, **options)
+    load(spark, source, f"{database}.t", path=str(tmp_path / "b"), **options)
+    with pytest.raises(DestinationError, match="is not external over"):
+        load(spark, source, f"{database}.t", path=str(tmp_path / "c"), mode="append", **options)
+    load(spark, source, f"{database}.t", path=str(tmp_path / "c"), mode="replace", **options)
+    assert ids(spark.table(f"{database}.t")) == [1, 2, 3]
+
+
+def test_sample_follows_the_order_of_sources(spark, file_of, tmp_path):
+    """The first source counts, not the largest."""
+    small, large = file_of("small.txt", ["1", "2"]), file_of("large.txt", ["x"] * 1000)
+    options = {"autodetect": True, "error_limit": 2000}
+    fields = load(spark, [small, large], path=str(tmp_path / "a"), sample_rows=2, **options).fields
+    assert fields[0].kind == "INT64"
+    fields = load(spark, [small, large], path=str(tmp_path / "b"), sample_rows=3, **options).fields
+    assert fields[0].kind == "STRING"
+    fields = load(spark, f"{large},{small}", path=str(tmp_path / "c"), sample_rows=2, **options).fields
+    assert fields[0].kind == "STRING"
+
+
 def test_destination_is_the_template(spark, text, database):
     table = f"{database}.t"
     spark.sql(f"CREATE TABLE {table} (ID BIGINT, d DATE COMMENT 'MM/dd/yyyy') USING orc")
