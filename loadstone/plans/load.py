@@ -150,12 +150,14 @@ def load(
     name = resolve_table(table, database, catalog) if table else None
     lines = sources if isinstance(sources, DataFrame) else scan_lines(spark, sources)
 
+    # A sample of files goes by the order of the sources; of a DataFrame, by its own.
+    sample, rest = lines, sample_rows
+    if autodetect and lines is not sources and sample_rows is not None and sample_rows <= HEAD_LIMIT:
+        sample, rest = sample_sources(spark, sources, sample_rows), None
     # Before the destination is touched: the schema may come from it.
-    listed = autodetect and lines is not sources
-    in_order = listed and sample_rows is not None and sample_rows <= HEAD_LIMIT
     fields = resolve_fields(
         spark,
-        sample_sources(spark, sources, sample_rows) if in_order else lines,
+        sample,
         delimiter=delimiter,
         schema=schema,
         template=template,
@@ -163,7 +165,7 @@ def load(
         database=database,
         catalog=catalog,
         autodetect=autodetect,
-        sample_rows=sample_rows,
+        sample_rows=rest,
         zone=zone,
     )
     log.info("schema: %s", ", ".join(f"{f.name} -> {f.describe()}" for f in fields))
