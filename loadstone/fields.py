@@ -40,6 +40,11 @@ class SchemaError(ValueError):
     """A schema that cannot be resolved or decoded."""
 
 
+def quoted(name: str) -> str:
+    """A column or table name as an identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def pattern_letters(fmt: str) -> set[str]:
     """Pattern letters of a datetime format, without its quoted literals."""
     unquoted = "".join(fmt.split("'")[::2])

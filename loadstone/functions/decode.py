@@ -6,8 +6,8 @@ code generation. The common shape of each type takes a cheap route (a byte
 search and a plain cast); only text that route cannot vouch for reaches the
 pattern parser or a regular expression. Both routes give the same value.
 
-No decoder depends on the session time zone: each parse either finds its zone
-in the text or has the declared zone appended to it.
+No decoder depends on the session time zone: each parse finds its zone in the
+text, or reads the text as UTC.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from loadstone.fields import (
     OFFSET_FORMAT,
     STRING,
     TIMESTAMP_LOCAL,
+    TIMESTAMP_OFFSET,
     ZONE_FORMAT,
-    ZONE_FORMAT_CLOSE,
     FieldSpec,
     pattern_letters,
 )
@@ -42,8 +42,8 @@ def decode_string(x: Column, length: int | None = None) -> Column:
 def decode_int64(x: Column) -> Column:
     """ASCII digits with an optional leading minus; out of range is unreadable."""
     # The cast trims by itself and takes just this grammar, but for a plus sign
-    # and a trailing DEL.
-    return F.when(~has(x, "+", "\x7f"), x.try_cast("bigint"))
+    # and a trailing DEL. Empty fields are kept from it: a failed cast is dear.
+    return F.when((x != "") & ~has(x, "+", "\x7f"), x.try_cast("bigint"))
 
 
 def decode_float64(x: Column) -> Column:
@@ -52,7 +52,7 @@ def decode_float64(x: Column) -> Column:
     # has an n in it.
     number = F.when(~has(x, "n", "N"), x.try_cast("double"))
     named = F.when(trimmed(x).rlike(r"^[+-]?(NaN|Infinity)\z"), x.try_cast("double"))
-    return F.coalesce(number, named)
+    return F.when(x != "", F.coalesce(number, named))
 
 
 def decode_numeric(x: Column, precision: int, scale: int) -> Column:
@@ -83,12 +83,13 @@ def decode_date(x: Column, fmt: str = DATE_FORMAT) -> Column:
 
 def decode_ts_offset(x: Column, fmt: str = OFFSET_FORMAT) -> Column:
     """Text with an offset, to the instant it names."""
-    return _instant_in_text(x, fmt, shaped=fmt == OFFSET_FORMAT)
+    value = F.try_to_timestamp(trimmed(x), F.lit(fmt))
+    return F.when(x != "", _whole_seconds(value, fmt))
 
 
 def decode_ts_zoned(x: Column, fmt: str = ZONE_FORMAT) -> Column:
     """Text with a zone (``UTC-07:00``, a region, ``+00:00``), to the instant it names."""
-    return _instant_in_text(x, fmt, shaped=fmt == ZONE_FORMAT_CLOSE)
+    return decode_ts_offset(x, fmt)
 
 
 def decode_ts_local(x: Column, zone: str, fmt: str = LOCAL_FORMAT) -> Column:
@@ -97,12 +98,13 @@ def decode_ts_local(x: Column, zone: str, fmt: str = LOCAL_FORMAT) -> Column:
     In a spring gap the clock moves forward; in an autumn overlap the earlier
     offset counts.
     """
-    value = F.try_to_timestamp(F.concat(trimmed(x), F.lit(f" {zone}")), F.lit(f"{fmt} VV"))
+    # Read as if it were UTC, then moved to the zone.
+    utc = F.try_to_timestamp(F.concat(trimmed(x), F.lit(" Z")), F.lit(f"{fmt} XXX"))
     if fmt == LOCAL_FORMAT:
         iso = (F.length(x) == 19) & _iso_time_marks(x) & ends_in_digit(x)
-        quick = F.concat(x, F.lit(f" {zone}")).try_cast("timestamp_ltz")
-        value = F.coalesce(F.when(iso, quick), value)
-    return F.when(x != "", _whole_seconds(value, fmt))
+        quick = F.timestamp_seconds(F.unix_timestamp(x.try_cast("timestamp_ntz")))
+        utc = F.coalesce(F.when(iso, quick), utc)
+    return F.when(x != "", _whole_seconds(F.to_utc_timestamp(utc, zone), fmt))
 
 
 def decode(spec: FieldSpec, x: Column) -> Column:
@@ -119,7 +121,7 @@ def decode(spec: FieldSpec, x: Column) -> Column:
         return decode_date(x, spec.format)
     if spec.kind == TIMESTAMP_LOCAL:
         return decode_ts_local(x, spec.zone, spec.format)
-    if spec.kind == "TIMESTAMP_OFFSET":
+    if spec.kind == TIMESTAMP_OFFSET:
         return decode_ts_offset(x, spec.format)
     return decode_ts_zoned(x, spec.format)
 
@@ -132,20 +134,6 @@ def _iso_time_marks(x: Column) -> Column:
     return _iso_date_marks(x) & char_is(x, 11, " ") & char_is(x, 14, ":") & char_is(x, 17, ":")
 
 
-def _instant_in_text(x: Column, fmt: str, shaped: bool) -> Column:
-    value = F.try_to_timestamp(trimmed(x), F.lit(fmt))
-    if shaped:
-        iso = (
-            (F.length(x) == 25)
-            & _iso_time_marks(x)
-            & F.substring(x, 20, 1).isin("+", "-")
-            & char_is(x, 23, ":")
-            & ends_in_digit(x)
-        )
-        value = F.coalesce(F.when(iso, x.try_cast("timestamp_ltz")), value)
-    return F.when(x != "", _whole_seconds(value, fmt))
-
-
 def _whole_seconds(ts: Column, fmt: str) -> Column:
     """Timestamps hold whole seconds; only a pattern with a fraction needs the cut."""
     return F.date_trunc("second", ts) if "S" in pattern_letters(fmt) else ts

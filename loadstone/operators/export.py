@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadstone.fields import quoted
 from loadstone.functions.formats import (
     EXPORT_DELIMITER,
     ExportTypeError,
@@ -38,7 +39,7 @@ def export_lines(df: DataFrame) -> DataFrame:
     """
     check_types(df.schema)
     texts = [
-        fmt_null(fmt_value(F.col(f"`{f.name}`"), f.dataType), f.name, required=not f.nullable)
+        fmt_null(fmt_value(F.col(quoted(f.name)), f.dataType), f.name, required=not f.nullable)
         for f in df.schema.fields
     ]
     return df.select(F.concat_ws(EXPORT_DELIMITER, *texts).alias(EXPORT_LINE))

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.fields import FieldSpec, struct_type
+from loadstone.fields import FieldSpec, quoted, struct_type
 from loadstone.operators.inference import DEFAULT_ZONE, infer_fields
 from loadstone.operators.quality import (
     LoadError,
@@ -254,7 +254,7 @@ def _check(bad, limit, lines, fields, delimiter, quarantine):
 def _with_comments(df: DataFrame, fields: Sequence[FieldSpec]) -> DataFrame:
     return df.select(
         *[
-            F.col(f"`{s.name}`").alias(s.name, metadata={"comment": s.comment} if s.comment else {})
+            F.col(quoted(s.name)).alias(s.name, metadata={"comment": s.comment} if s.comment else {})
             for s in fields
         ]
     )

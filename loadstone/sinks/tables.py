@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from loadstone.fields import quoted
 from loadstone.sinks.orc import orc_writer
 from loadstone.storage import delete_files, is_empty, qualified
 
@@ -30,7 +31,7 @@ class TableName:
 
     def __str__(self) -> str:
         parts = [p for p in (self.catalog, self.database, self.table) if p]
-        return ".".join(f"`{p}`" for p in parts)
+        return ".".join(quoted(p) for p in parts)
 
 
 def resolve_table(spec: str, database: str | None = None, catalog: str | None = None) -> TableName:
@@ -143,7 +144,7 @@ def save_table(
     if mode == "append" and exists:
         columns = df.sparkSession.table(str(name)).columns
         check_columns(df.columns, columns, name)
-        df.select(*[f"`{c}`" for c in columns]).write.insertInto(str(name))
+        df.select(*[quoted(c) for c in columns]).write.insertInto(str(name))
         return
     spark_mode = {"append": "append", "replace": "overwrite", "error": "errorifexists"}[mode]
     orc_writer(df, spark_mode, rows_per_part).saveAsTable(str(name))

@@ -1,5 +1,5 @@
 import math
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -152,6 +152,16 @@ def test_local_daylight_saving(decoded):
     assert decoded(decoder, padded) == [str(i) for i in instants]
 
 
+@pytest.mark.parametrize(
+    "zone,hours",
+    [("UTC", 0), ("Z", 0), ("GMT+8", -8), ("+05:00", -5), ("UTC-03:00", 3), ("Etc/GMT+5", 5), ("EST", 5)],
+)
+def test_kinds_of_zones(decoded, zone, hours):
+    texts = ["2012-03-10 18:02:35", " 2012-03-10 18:02:35"]
+    got = decoded(lambda x: F.unix_seconds(D.decode_ts_local(x, zone)), texts)
+    assert got == [int(datetime(2012, 3, 10, 18, 2, 35, tzinfo=timezone.utc).timestamp()) + hours * 3600] * 2
+
+
 def test_local_rejects(decoded):
     texts = ["", "2012-03-10", "2012-03-10 24:00:00", "2021-02-31 00:00:00", "2012-03-10 18:02:5Z"]
     assert decoded(lambda x: D.decode_ts_local(x, "Asia/Tokyo"), texts) == [None] * 5
