@@ -58,9 +58,9 @@ def export(
     """
     chosen, started = export_format(fmt), time.monotonic()
     rows = export_streams(export_filter(export_scan(spark, source), where), partitions)
-    if chosen == "seq" and mode == "overwrite":
+    if chosen == "seq" and mode not in ("error", "errorifexists"):
         # Hadoop's output formats know no save modes.
-        raise ValueError("a SequenceFile export does not overwrite; give a new path")
+        raise ValueError("a SequenceFile export needs a new path")
     with compiled_methods(spark):
         count = _write(rows, dest, chosen, mode, rows_per_part)
     files = part_files(spark, dest).agg(

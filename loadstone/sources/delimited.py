@@ -9,7 +9,7 @@ DEFAULT_DELIMITER = "þ"
 DEFAULT_SAMPLE_ROWS = 4096
 
 # Largest sample taken through the driver; a larger one is read as a plan.
-HEAD_LIMIT = 100_000
+HEAD_LIMIT = 20_000
 
 # File suffixes that Hadoop reads through a codec.
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")

@@ -67,7 +67,8 @@ def test_empty_source(spark, tmp_path):
 
 
 def test_first_bad_value_fails(spark, mixed, tmp_path):
-    with pytest.raises(LoadError, match=r"Failed on column 0 id INT64 value='x' line: xþ1þ2020-01-01|column 2 day"):
+    message = r"Failed on column 0 id INT64 value='x' line: xþ1þ2020-01-01|column 2 day"
+    with pytest.raises(LoadError, match=message):
         load(spark, mixed, path=str(tmp_path / "out"), schema=SPEC)
     assert not list((tmp_path / "out").glob("part-*"))
 

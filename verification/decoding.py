@@ -105,13 +105,13 @@ _CUT = "CAST(trunc(CAST({0} AS DECIMAL(14,2)) * 10) AS DECIMAL(14,0)) * CAST(0.1
     "decode_numeric",
     f"""WITH t AS (SELECT l_orderkey, l_linenumber AS k, l_linestatus, l_extendedprice AS price,
         CAST(l_quantity AS INTEGER) AS q FROM lineitem)
-    SELECT l_orderkey, k AS l_linenumber, CASE k
+    SELECT l_orderkey, k AS l_linenumber, CAST(CASE k
       WHEN 1 THEN {_CUT.format('price')} WHEN 2 THEN {_CUT.format('-price')}
       WHEN 3 THEN {_CUT.format('price')}
       WHEN 4 THEN CASE WHEN q < 10 THEN q ELSE q // 10 END * CAST(0.1 AS DECIMAL(2,1))
       WHEN 5 THEN CAST(q AS DECIMAL(14,1))
       WHEN 6 THEN CASE WHEN l_linestatus = 'O' THEN CAST(0 AS DECIMAL(14,1)) END
-      END AS n, k = 7 OR (k = 6 AND l_linestatus <> 'O') AS bad FROM t""",
+      END AS DECIMAL(14,1)) AS n, k = 7 OR (k = 6 AND l_linestatus <> 'O') AS bad FROM t""",
 )
 def decode_numeric(spark, sf_dir):
     """Excess scale is cut toward zero; no leading zero, a bare point, wrong signs."""

@@ -236,7 +236,7 @@ def export_row_count(spark, sf_dir):
     source, path = table(spark, sf_dir, "lineitem"), scratch_dir(spark, "counted")
     result = export(spark, source, path)
     return spark.read.text(path).agg(
-        F.lit(result.rows).alias("reported"),
+        F.lit(result.rows).cast("bigint").alias("reported"),
         F.count(F.lit(1)).alias("stored"),
         F.lit(1 <= result.streams <= source.rdd.getNumPartitions()).alias("streams"),
     )

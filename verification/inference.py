@@ -148,7 +148,7 @@ def agg_all_match(spark, sf_dir):
     return _per_column(spark, sf_dir, "lineitem", lambda x: I.all_match(P.is_int(x)), "ints")
 
 
-@query("agg_max_length", _per_column_sql("lineitem", "max(length({x}))", "longest"))
+@query("agg_max_length", _per_column_sql("lineitem", "CAST(max(length({x})) AS INTEGER)", "longest"))
 def agg_max_length(spark, sf_dir):
     padded = lambda x: I.max_length(F.concat(F.lit("  "), x, F.lit("\t")))
     return _per_column(spark, sf_dir, "lineitem", padded, "longest")

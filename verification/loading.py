@@ -14,7 +14,7 @@ from loadstone.operators.quality import (
 )
 from loadstone.operators.schema import column_comment, parse_spec, template_fields
 from loadstone.plans.load import load, resolve_fields
-from loadstone.sinks.orc import measure_rows, rows_per_part, write_orc
+from loadstone.sinks.orc import measure_rows, write_orc
 from loadstone.sinks.tables import DestinationError, resolve_table
 from loadstone.sources.delimited import scan_lines
 from loadstone.storage import part_files, scratch_dir
@@ -26,8 +26,6 @@ from verification.registry import (
     lines,
     query,
     scratch_database,
-    table,
-    text,
     text_columns,
     text_file,
     text_sql,
@@ -44,8 +42,8 @@ def load_with_spec(spark, sf_dir):
 @query(
     "revenue_by_flag",
     """SELECT l_returnflag, l_linestatus, count(*) AS rows,
-      sum(CAST(l_quantity AS DECIMAL(12,2))) AS quantity,
-      sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS price,
+      CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS quantity,
+      CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS price,
       min(CAST(l_shipdate AS DATE)) AS first_shipped FROM lineitem GROUP BY ALL""",
 )
 def revenue_by_flag(spark, sf_dir):
@@ -193,7 +191,7 @@ _BROKEN_SQL = (
     f"""SELECT {_BROKEN_SQL} AS line, CASE WHEN {_BAD_KEY} THEN 0 ELSE 4 END AS col_idx,
       CASE WHEN {_BAD_KEY} THEN 'o_orderkey' ELSE 'o_orderdate' END AS col_name,
       CASE WHEN {_BAD_KEY} THEN 'INT64' ELSE 'DATE(format=yyyy-MM-dd)' END AS type,
-      CASE WHEN {_BAD_KEY} THEN length({_KEY_TEXT}) ELSE 10 END AS len,
+      CAST(CASE WHEN {_BAD_KEY} THEN length({_KEY_TEXT}) ELSE 10 END AS INTEGER) AS len,
       CASE WHEN {_BAD_KEY} THEN {_KEY_TEXT} ELSE {_DATE_TEXT} END AS value
     FROM orders WHERE {_BAD_ROW}""",
 )
@@ -241,9 +239,9 @@ def load_row_count(spark, sf_dir):
         spark.read.orc(path)
         .agg(F.count(F.lit(1)).alias("stored"))
         .select(
-            F.lit(result.rows_read).alias("rows_read"),
-            F.lit(result.rows_written).alias("rows_written"),
-            F.lit(result.bad).alias("bad"),
+            F.lit(result.rows_read).cast("bigint").alias("rows_read"),
+            F.lit(result.rows_written).cast("bigint").alias("rows_written"),
+            F.lit(result.bad).cast("bigint").alias("bad"),
             "stored",
         )
     )

@@ -100,7 +100,7 @@ def sample(spark, sf_dir):
     taken = sample_lines(source).withColumn("hit", F.lit(1))
     joined = source.join(F.broadcast(taken), "value", "left")
     return joined.agg(F.count("hit").alias("found"), F.count(F.lit(1)).alias("loaded")).select(
-        F.lit(taken.count()).alias("sampled"), "found", "loaded"
+        F.lit(taken.count()).cast("bigint").alias("sampled"), "found", "loaded"
     )
 
 
