@@ -182,7 +182,8 @@ def export_csv_gz(spark, sf_dir):
 
 def _read_sequence(spark, path):
     """Keys and values of SequenceFile parts as rows."""
-    return spark.sparkContext.sequenceFile(path).toDF("key string, value string")
+    pairs = spark.sparkContext.sequenceFile(path)
+    return spark.createDataFrame(pairs, "key string, value string", verifySchema=False)
 
 
 @query("export_seqfile", f"SELECT '' AS key, {_ORDER_LINE} || chr(10) AS value FROM orders")
