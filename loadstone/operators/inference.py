@@ -89,7 +89,7 @@ def common_date_format(x: Column) -> Column:
 # --- inference ------------------------------------------------------------
 
 
-def test_bits(t: Column) -> Column:
+def value_bits(t: Column) -> Column:
     """All tests of one trimmed value as bits of an integer.
 
     The cheap tests come first; casts and parses that fail are dear. A number is
@@ -123,7 +123,7 @@ def column_statistics(
     texts = values.select("idx", trimmed(F.col("x")).alias("t"))
     tested = texts.select(
         "idx",
-        test_bits(F.col("t")).alias("bits"),
+        value_bits(F.col("t")).alias("bits"),
         F.length("t").alias("len"),
         scale_of(F.col("t")).alias("scale"),
     )

@@ -28,8 +28,6 @@ from loadstone.sources.delimited import (
 
 BAD = "__bad"
 
-BAD_ROW_COLUMNS = ("line", "col_idx", "col_name", "type", "len", "value")
-
 
 class LoadError(RuntimeError):
     """A load stopped by bad rows."""
