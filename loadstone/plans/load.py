@@ -61,7 +61,7 @@ from loadstone.sources.delimited import (
     scan_lines,
     source_paths,
 )
-from loadstone.storage import MEGABYTE, shared_scratch, total_bytes
+from loadstone.storage import MEGABYTE, scratch_dir, total_bytes
 
 log = logging.getLogger(__name__)
 
@@ -229,8 +229,8 @@ def _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb)
         # All of it fits into one part: nothing to cap or to merge.
         return with_writers(lines, partitions, splits), None
     # The probe goes below the staging folder under a name that readers skip.
-    probe = f"{path.rstrip('/')}/_probe-{uuid.uuid4().hex}" if path else shared_scratch(spark)
-    per_row = measure_rows(lines, fields, probe, delimiter) if probe else None
+    probe = f"{path.rstrip('/')}/_probe-{uuid.uuid4().hex}" if path else scratch_dir(spark)
+    per_row = measure_rows(lines, fields, probe, delimiter)
     if per_row is None:
         return with_writers(lines, partitions, splits), None
     orc_bytes, text_bytes = per_row

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,28 +11,18 @@ from pyspark.sql import functions as F
 MEGABYTE = 1024 * 1024
 
 
-def shared_scratch(spark: SparkSession, label: str = "run") -> str | None:
-    """A new path for intermediate output, in the shared folder the session
-    names in ``spark.checkpoint.dir``; None if it names none.
+def scratch_dir(spark: SparkSession, label: str = "run") -> str:
+    """A new path for intermediate output that all executors share.
 
-    A local session without that setting gets a folder of its own.
+    It lies in the folder the session names in ``spark.checkpoint.dir``, and in
+    the warehouse folder of a session that names none.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            return None
-        base = tempfile.mkdtemp(prefix="loadstone-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/loadstone-{label}-{uuid.uuid4().hex}"
 
 
-def scratch_dir(spark: SparkSession, label: str = "run") -> str:
-    """A new path for intermediate output that all executors share."""
-    path = shared_scratch(spark, label)
-    if path is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return path
-
-
 def _path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath

@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
+from verification.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,9 +12,9 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql().get(name)) is None
+    assert compare(spark, con, SF, name, QUERIES[name], ORACLES.get(name)) is None
 
 
 def test_entry(spark):
@@ -21,4 +22,6 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
