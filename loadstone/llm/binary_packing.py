@@ -14,6 +14,7 @@ here and one Arrow value; its pieces leave as rows of bounded size.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,41 +23,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadstone.llm.merges import WordMerges
 from loadstone.llm.tables import bounded_batches, column
 
 # Most chunks of text whose tokens a task remembers; a speed-up that no result depends on.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
+
+# A word of Latin letters, each of which is stable under NFC and lowered to one
+# letter, and the marks behind it: two pre-tokens for sure. Other chunks take the
+# tokenizer itself.
+_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]{1,40})([.,!*$&%#?;:]{0,12})")
 
 
 def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[str]], list[bytes]]:
     """Texts to their ids, as little-endian 32-bit integers, with the end mark.
 
-    For tokenizers that drop white space and never join what it separates: each
-    blank-separated chunk is then encoded on its own, once for many texts.
+    For lower-casing byte-level tokenizers with word ends that drop white space and
+    never join what it separates: each blank-separated chunk is then encoded on its
+    own, once for many texts, and plain words all together.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
+    merges = WordMerges(tokenizer_json)
     known: dict[str, bytes] = {}
     end = np.array([end_id], "<u4").tobytes()
 
+    def learn(chunks: list[str]) -> None:
+        plain = {c: m.groups() for c in chunks if (m := _PLAIN.fullmatch(c))}
+        parts = list({x.lower() for pair in plain.values() for x in pair})
+        ids = dict(zip(parts, merges.encode([x.encode() for x in parts])))
+        for chunk, (word, marks) in plain.items():
+            known[chunk] = ids[word.lower()] + ids[marks]
+        rest = [c for c in chunks if c not in plain]
+        for chunk, found in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            known[chunk] = np.array(found.ids, "<u4").tobytes()
+
     def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            chunks = text.replace("\n", " ").split(" ")
-            try:
-                out.append(b"".join([known[c] for c in chunks]) + end)
-                continue
-            except KeyError:
-                pass
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list({c for c in chunks if c not in known})
-            for chunk, ids in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[chunk] = np.array(ids.ids, "<u4").tobytes()
-            out.append(b"".join([known[c] for c in chunks]) + end)
-        return out
+        if len(known) > REMEMBERED:
+            known.clear()
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        learn(list({c for chunks in split for c in chunks if c not in known}))
+        return [b"".join([known[c] for c in chunks]) + end for chunks in split]
 
     return encode
 

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import binary_packing, hash_mixing, reversible_lines
+from loadstone.llm import binary_packing, fast_minhash, hash_mixing, reversible_lines
 from loadstone.llm.tables import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op10_reversible_lines(spark, sf_dir):
     return cleaned.select(
         "row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query("op8_fast_minhash")
+def op8_fast_minhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fast_minhash.near_duplicates(docs, shingle=3, percent=85)
