@@ -8,7 +8,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import binary_packing, fast_minhash, hash_mixing, reversible_lines
+from loadstone.llm import (
+    binary_packing,
+    dictionary_toxicity,
+    fast_minhash,
+    hash_mixing,
+    pairwise_quality,
+    reversible_lines,
+)
 from loadstone.llm.tables import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +135,23 @@ def op10_reversible_lines(spark, sf_dir):
 def op8_fast_minhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fast_minhash.near_duplicates(docs, shingle=3, percent=85)
+
+
+@query("op5_pairwise_quality")
+def op5_pairwise_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pairwise_quality.train_quality(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+    return pairwise_quality.score_quality(docs, model)
+
+
+@query("op7_dictionary_toxicity")
+def op7_dictionary_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = dictionary_toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = dictionary_toxicity.score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        F.col("toxicity_held_out").alias("held_out"),
+        F.col("toxicity_score").alias("score"),
+        (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -22,7 +22,6 @@ document. Empty tables give empty tables.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadstone.llm.tables import bounded_batches, column, whole, written
 
@@ -280,7 +280,16 @@ def dropped_keys(state: LineState, refs: DataFrame) -> DataFrame:
     return lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
 
-@F.pandas_udf("struct<text:string,n_lines:bigint,n_dropped:bigint>")
+_CUT = T.StructType(
+    [
+        T.StructField("text", T.StringType()),
+        T.StructField("n_lines", T.LongType()),
+        T.StructField("n_dropped", T.LongType()),
+    ]
+)
+
+
+@F.pandas_udf(_CUT)
 def _cut(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
     from hashlib import md5
 
