@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loadstone.llm import (
     binary_packing,
+    block_topk,
     dictionary_toxicity,
     fast_minhash,
     hash_mixing,
@@ -155,3 +156,25 @@ def op7_dictionary_toxicity(spark, sf_dir):
         F.col("toxicity_score").alias("score"),
         (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+_TOP_SQL = """
+WITH rows AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN max(embedding)] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+  GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+  FROM rows q JOIN rows d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 20"""
+
+
+@query("op4_block_topk", _TOP_SQL)
+def op4_block_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return block_topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
