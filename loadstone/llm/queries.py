@@ -16,6 +16,7 @@ from loadstone.llm import (
     hash_mixing,
     pairwise_quality,
     reversible_lines,
+    rp_forest,
 )
 from loadstone.llm.tables import table, written
 
@@ -178,3 +179,9 @@ SELECT * FROM ranked WHERE rank <= 20"""
 def op4_block_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return block_topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op1_rp_forest")
+def op1_rp_forest(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return rp_forest.near_vectors(vectors, threshold=0.93)
