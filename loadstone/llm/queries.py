@@ -16,6 +16,7 @@ from loadstone.llm import (
     fast_minhash,
     hash_mixing,
     pairwise_quality,
+    pii_bootstrap,
     reversible_lines,
     rp_forest,
 )
@@ -246,3 +247,20 @@ def op2_chat_windows(spark, sf_dir):
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query("op3_pii_bootstrap")
+def op3_pii_bootstrap(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii_bootstrap.find_personal_data(docs)
+    written_out = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii_bootstrap.KINDS],
+        F.sha2(written_out(base), 256).alias("base_sha256"),
+        written_out(F.col("spans")).alias("spans"),
+    )
