@@ -26,7 +26,7 @@ ZONE_FORMAT = "yyyy-MM-dd HH:mm:ss z"
 ZONE_FORMAT_CLOSE = "yyyy-MM-dd HH:mm:ssz"
 OFFSET_MARK = "XXXXX"
 DEFAULT_PRECISION, DEFAULT_SCALE = 18, 5
-MAX_PRECISION = 37
+MAX_PRECISION = 38
 
 DEFAULT_FORMATS = {
     DATE: DATE_FORMAT,
@@ -36,6 +36,10 @@ DEFAULT_FORMATS = {
 }
 
 
+# Integer columns of a destination that are narrower than a bigint.
+NARROW_INTEGERS = {"int": T.IntegerType(), "smallint": T.ShortType(), "tinyint": T.ByteType()}
+
+
 class SchemaError(ValueError):
     """A schema that cannot be resolved or decoded."""
 
@@ -63,6 +67,10 @@ class FieldSpec:
     format: str | None = None
     zone: str | None = None
     comment: str | None = None
+    # An inferred length is what was seen, not a limit, and an inferred scale cuts nothing off.
+    inferred: bool = False
+    # The Spark type of a destination column that is narrower than the kind's own.
+    target: str | None = None
 
     def __post_init__(self) -> None:
         if self.format is None and self.kind in DEFAULT_FORMATS:
@@ -95,15 +103,20 @@ class FieldSpec:
         if self.kind == STRING:
             return T.StringType()
         if self.kind == INT64:
-            return T.LongType()
+            return NARROW_INTEGERS.get(self.target, T.LongType())
         if self.kind == FLOAT64:
-            return T.DoubleType()
+            return T.FloatType() if self.target == "float" else T.DoubleType()
         if self.kind == NUMERIC:
             return T.DecimalType(self.precision, self.scale)
         if self.kind == DATE:
             return T.DateType()
         return T.TimestampType()
 
+    @property
+    def limit(self) -> int | None:
+        """The length that a string is cut to."""
+        return None if self.inferred or self.kind != STRING else self.length
+
     @property
     def struct_field(self) -> T.StructField:
         metadata = {"comment": self.comment} if self.comment else None

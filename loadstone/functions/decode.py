@@ -28,7 +28,6 @@ from loadstone.fields import (
     TIMESTAMP_OFFSET,
     ZONE_FORMAT,
     FieldSpec,
-    pattern_letters,
 )
 from loadstone.functions.text import char_is, ends_in_digit, has, trimmed
 
@@ -55,8 +54,22 @@ def decode_float64(x: Column) -> Column:
     return F.when(x != "", F.coalesce(number, named))
 
 
-def decode_numeric(x: Column, precision: int, scale: int) -> Column:
-    """A decimal; digits beyond ``scale`` are cut off, not rounded."""
+def decode_narrow_int(x: Column, target: str) -> Column:
+    """An integer of a narrower column; out of its range is unreadable."""
+    return decode_int64(x).try_cast(target)
+
+
+def decode_float32(x: Column) -> Column:
+    """A double that fits a float; a finite number beyond its range is unreadable."""
+    value = decode_float64(x)
+    narrow = value.cast("float")
+    infinite = lambda c: F.abs(c) == float("inf")
+    return F.when(~infinite(narrow) | infinite(value) | F.isnan(value), narrow)
+
+
+def decode_numeric(x: Column, precision: int, scale: int, exact: bool = False) -> Column:
+    """A decimal; digits beyond ``scale`` are cut off, not rounded. If ``exact``, text
+    that would lose a digit is unreadable instead."""
     target = f"decimal({precision},{scale})"
     dot = F.instr(x, ".")
     plain = (
@@ -65,7 +78,8 @@ def decode_numeric(x: Column, precision: int, scale: int) -> Column:
         & ((dot == 0) | (F.length(x) - dot <= scale))
     )
     text = trimmed(x)
-    valid = text.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]*)\z")
+    digits = f"[0-9]{{0,{scale}}}0*" if exact else "[0-9]*"
+    valid = text.rlike(rf"^-?([0-9]+(\.{digits})?|\.{digits})\z")
     kept = F.regexp_extract(text, rf"^-?[0-9]*(\.[0-9]{{0,{scale}}})?", 0)
     # A point without digits on either side reads as zero.
     cut = F.when(kept.isin(".", "-."), F.lit(0).cast(target)).otherwise(kept.try_cast(target))
@@ -83,8 +97,7 @@ def decode_date(x: Column, fmt: str = DATE_FORMAT) -> Column:
 
 def decode_ts_offset(x: Column, fmt: str = OFFSET_FORMAT) -> Column:
     """Text with an offset, to the instant it names."""
-    value = F.try_to_timestamp(trimmed(x), F.lit(fmt))
-    return F.when(x != "", _whole_seconds(value, fmt))
+    return F.when(x != "", F.try_to_timestamp(trimmed(x), F.lit(fmt)))
 
 
 def decode_ts_zoned(x: Column, fmt: str = ZONE_FORMAT) -> Column:
@@ -104,19 +117,19 @@ def decode_ts_local(x: Column, zone: str, fmt: str = LOCAL_FORMAT) -> Column:
         iso = (F.length(x) == 19) & _iso_time_marks(x) & ends_in_digit(x)
         quick = F.timestamp_seconds(F.unix_timestamp(x.try_cast("timestamp_ntz")))
         utc = F.coalesce(F.when(iso, quick), utc)
-    return F.when(x != "", _whole_seconds(F.to_utc_timestamp(utc, zone), fmt))
+    return F.when(x != "", F.to_utc_timestamp(utc, zone))
 
 
 def decode(spec: FieldSpec, x: Column) -> Column:
     """The decoder ``spec`` declares, applied to the text column ``x``."""
     if spec.kind == STRING:
-        return decode_string(x, spec.length)
+        return decode_string(x, spec.limit)
     if spec.kind == INT64:
-        return decode_int64(x)
+        return decode_narrow_int(x, spec.target) if spec.target else decode_int64(x)
     if spec.kind == FLOAT64:
-        return decode_float64(x)
+        return decode_float32(x) if spec.target == "float" else decode_float64(x)
     if spec.kind == NUMERIC:
-        return decode_numeric(x, spec.precision, spec.scale)
+        return decode_numeric(x, spec.precision, spec.scale, exact=spec.inferred)
     if spec.kind == DATE:
         return decode_date(x, spec.format)
     if spec.kind == TIMESTAMP_LOCAL:
@@ -133,7 +146,3 @@ def _iso_date_marks(x: Column) -> Column:
 def _iso_time_marks(x: Column) -> Column:
     return _iso_date_marks(x) & char_is(x, 11, " ") & char_is(x, 14, ":") & char_is(x, 17, ":")
 
-
-def _whole_seconds(ts: Column, fmt: str) -> Column:
-    """Timestamps hold whole seconds; only a pattern with a fraction needs the cut."""
-    return F.date_trunc("second", ts) if "S" in pattern_letters(fmt) else ts

@@ -60,7 +60,7 @@ def fmt_scalar(c: Column) -> Column:
 def fmt_null(text: Column, name: str, required: bool = False) -> Column:
     """NULL is an empty field; in a required column it is an error."""
     if required:
-        return F.coalesce(text, F.raise_error(F.lit(f"missing required field {name}")))
+        return F.coalesce(text, F.raise_error(F.lit(f"{name} is required and has no value")))
     return F.coalesce(text, F.lit(""))
 
 
@@ -78,7 +78,7 @@ def fmt_value(c: Column, dtype: T.DataType) -> Column:
         return fmt_string(c)
     if is_scalar(dtype):
         return fmt_scalar(c)
-    raise ExportTypeError(f"unhandled type {dtype.simpleString()}")
+    raise ExportTypeError(f"{dtype.simpleString()} has no text form")
 
 
 def is_scalar(dtype: T.DataType) -> bool:

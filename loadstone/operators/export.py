@@ -29,7 +29,7 @@ def check_types(schema: T.StructType) -> None:
     """Reject a table with an unsupported column before any of it is read."""
     bad = unsupported_columns(schema)
     if bad:
-        raise ExportTypeError("unhandled type " + ", ".join(f"{n} {t}" for n, t in bad))
+        raise ExportTypeError("columns without a text form: " + ", ".join(f"{n} {t}" for n, t in bad))
 
 
 def export_lines(df: DataFrame) -> DataFrame:

@@ -142,10 +142,10 @@ def decide(name: str, stats: Row, zone: str = DEFAULT_ZONE) -> FieldSpec:
         if bits & _INT_BIT:
             return FieldSpec(name, INT64)
         if length > MAX_NUMBER_LENGTH:
-            return FieldSpec(name, STRING, length=length)
+            return FieldSpec(name, STRING, length=length, inferred=True)
         if low is not None and low == high:
             # The precision counts point and minus too.
-            return FieldSpec(name, NUMERIC, precision=length, scale=low)
+            return FieldSpec(name, NUMERIC, precision=length, scale=low, inferred=True)
         return FieldSpec(name, FLOAT64)
     # Each column is decoded with the format that matched it.
     for kind, target in (
@@ -160,7 +160,7 @@ def decide(name: str, stats: Row, zone: str = DEFAULT_ZONE) -> FieldSpec:
     for fmt, bit in _DATE_BITS.items():
         if bits & bit:
             return FieldSpec(name, DATE, format=fmt)
-    return FieldSpec(name, STRING, length=length)
+    return FieldSpec(name, STRING, length=length, inferred=True)
 
 
 def infer_fields(

@@ -10,6 +10,8 @@ once, so no shuffle may follow them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -26,7 +28,8 @@ from loadstone.sources.delimited import (
     split_fields,
 )
 
-BAD = "__bad"
+_FAILED = "undecodable column "
+BAD, SURPLUS, CUT = "__bad", "__surplus", "__cut"
 
 
 class LoadError(RuntimeError):
@@ -39,7 +42,7 @@ def _is_bad(spec: FieldSpec, i: int) -> Column:
 
 def _decoded(lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str) -> DataFrame:
     """The line, text columns f<i> and typed columns v<i>."""
-    text = split_fields(lines, len(fields), delimiter)
+    text = split_fields(lines, len(fields), delimiter, SURPLUS)
     return text.select("*", *[decode(s, F.col(f"f{i}")).alias(f"v{i}") for i, s in enumerate(fields)])
 
 
@@ -63,23 +66,31 @@ def first_bad_column(fields: Sequence[FieldSpec]) -> Column:
     return F.coalesce(*tests) if tests else F.lit(None).cast("int")
 
 
+def _loses_text(fields: Sequence[FieldSpec]) -> Column:
+    """Whether a string of a row is cut to its declared length."""
+    tests = [F.length(F.col(f"f{i}")) > s.limit for i, s in enumerate(fields) if s.limit]
+    return reduce(or_, tests) if tests else F.lit(False)
+
+
 def _marked(
     lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str, *extra: str
 ) -> DataFrame:
     """Typed columns v<i> and the index of the first bad one."""
     values = [f"v{i}" for i in range(len(fields))]
     return _decoded(lines, fields, delimiter).select(
-        *extra, *values, first_bad_column(fields).alias(BAD)
+        *extra, *values, SURPLUS, _loses_text(fields).alias(CUT), first_bad_column(fields).alias(BAD)
     )
 
 
 def _counted(marked: DataFrame, observation: Observation | None) -> DataFrame:
-    """Observe the counts. This also keeps a filter on the bad mark above the
+    """Observe the counts, of rows that lose text too. This also keeps a filter on the bad mark above the
     decoding: pushed below, it would split the line and decode for each use."""
     return marked.observe(
         observation or Observation(),
         F.count(F.lit(1)).alias("rows"),
         F.count(F.col(BAD)).alias("bad"),
+        F.count_if(F.col(SURPLUS)).alias("surplus"),
+        F.count_if(F.col(CUT)).alias("cut"),
     )
 
 
@@ -103,7 +114,7 @@ def strict_rows(
     """Every line as a typed row; the first bad value fails the job at once."""
     counted = _counted(_marked(lines, fields, delimiter, LINE), observation)
     message = F.concat(
-        F.lit("Failed on column "),
+        F.lit(_FAILED),
         F.col(BAD).cast("string"),
         F.lit(" "),
         _of_column([f"{s.name} {s.describe()}" for s in fields]),
@@ -142,7 +153,7 @@ def bad_rows(
     lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str = DEFAULT_DELIMITER
 ) -> DataFrame:
     """The rows that do not decode, with their first bad column."""
-    marked = _decoded(lines, fields, delimiter).select(LINE, first_bad_column(fields).alias(BAD))
+    marked = _marked(lines, fields, delimiter, LINE).select(LINE, SURPLUS, CUT, BAD)
     value = _bad_text(delimiter)
     return _counted(marked, None).where(F.col(BAD).isNotNull()).select(
         F.col(LINE).alias("line"),
@@ -174,7 +185,7 @@ def reaches_limit(bad: Column | int, limit: Column | int):
 
 def enforce_limit(bad: int, limit: int) -> None:
     if reaches_limit(bad, limit):
-        raise LoadError(f"{bad} bad rows reach the error limit {limit}")
+        raise LoadError(f"{bad} rows are bad; the load allows fewer than {max(limit, 1)}")
 
 
 def failed_value(error: BaseException) -> str | None:
@@ -182,5 +193,5 @@ def failed_value(error: BaseException) -> str | None:
     if not isinstance(error, (PySparkException, Py4JError)):
         return None
     text = str(error)
-    at = text.find("Failed on column ")
+    at = text.find(_FAILED)
     return text[at:].splitlines()[0] if at >= 0 else None

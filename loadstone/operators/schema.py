@@ -16,6 +16,7 @@ from loadstone.fields import (
     DEFAULT_SCALE,
     FLOAT64,
     INT64,
+    NARROW_INTEGERS,
     NUMERIC,
     OFFSET_MARK,
     STRING,
@@ -26,15 +27,11 @@ from loadstone.fields import (
     FieldSpec,
     SchemaError,
 )
-from loadstone.sources.delimited import first_line_width
+from loadstone.sources.delimited import widest_line
 
 # Fixed value: the alphabet of generated column names.
 NAME_CHARS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
-# Decimal sizes that say nothing: a bare NUMERIC column in Spark, and the fixed
-# size of the warehouse type of that name.
-_UNSIZED_DECIMALS = {(10, 0), (38, 9)}
-
 
 # --- specification string -------------------------------------------------
 
@@ -45,7 +42,7 @@ def parse_spec(schema: str) -> list[FieldSpec]:
     The args of a field may themselves hold a colon (``ts:TIMESTAMP:HH:mm``).
     """
     if not schema:
-        raise SchemaError("schema not provided")
+        raise SchemaError("no schema: give a specification, a template or autodetect")
     return [_parse_field(item) for item in schema.split(",")]
 
 
@@ -65,9 +62,9 @@ def _parse_field(item: str) -> FieldSpec:
         return _timestamp(name, args)
     if kind in (INT64, FLOAT64):
         if args:
-            raise SchemaError(f"unknown args {args} for {kind} field")
+            raise SchemaError(f"{name}: {kind} takes no args, got {args!r}")
         return FieldSpec(name, kind)
-    raise SchemaError(f"unsupported type {kind}")
+    raise SchemaError(f"{name}: there is no type {kind!r}")
 
 
 def _timestamp(name: str, args: str | None) -> FieldSpec:
@@ -129,13 +126,15 @@ def _template_field(field: T.StructField) -> FieldSpec:
         spec = FieldSpec(name, STRING, length=_int(name, args) if args else None)
     elif isinstance(dtype, T.LongType):
         spec = FieldSpec(name, INT64)
+    elif dtype in NARROW_INTEGERS.values():
+        spec = FieldSpec(name, INT64, target=dtype.simpleString())
     elif isinstance(dtype, T.DoubleType):
         spec = FieldSpec(name, FLOAT64)
+    elif isinstance(dtype, T.FloatType):
+        spec = FieldSpec(name, FLOAT64, target="float")
     elif isinstance(dtype, T.DecimalType):
         if args:
             precision, scale = _size(name, args, ",")
-        elif (dtype.precision, dtype.scale) in _UNSIZED_DECIMALS:
-            precision, scale = DEFAULT_PRECISION, DEFAULT_SCALE
         else:
             precision, scale = dtype.precision, dtype.scale
         spec = FieldSpec(name, NUMERIC, precision=precision, scale=scale)
@@ -144,7 +143,7 @@ def _template_field(field: T.StructField) -> FieldSpec:
     elif isinstance(dtype, T.TimestampType):
         spec = _timestamp(name, args)
     else:
-        raise SchemaError(f"{name}: loading of {dtype.simpleString()} columns is not supported")
+        raise SchemaError(f"{name}: text cannot be decoded to {dtype.simpleString()}")
     return spec.with_comment(args)
 
 
@@ -152,13 +151,9 @@ def _template_field(field: T.StructField) -> FieldSpec:
 
 
 def generated_name(i: int) -> str:
-    """a..z, 0..9, then two characters, the low one first: 36 is ab, 37 is bb."""
-    n = len(NAME_CHARS)
-    if i < n:
-        return NAME_CHARS[i]
-    if i >= n * n:
-        raise SchemaError(f"no generated name for column {i}; give the names in the schema")
-    return NAME_CHARS[i % n] + NAME_CHARS[i // n]
+    """a..z, 0..9, then two characters and more, the low one first: 36 is ab, 37 is bb."""
+    high, low = divmod(i, len(NAME_CHARS))
+    return NAME_CHARS[low] + (generated_name(high) if high else "")
 
 
 def autodetect_names(
@@ -168,12 +163,12 @@ def autodetect_names(
     schema: str = "",
 ) -> list[str]:
     """Column names for inference: from the template, else from a comma
-    separated list (verbatim), else generated for the fields of the first line."""
+    separated list (verbatim), else generated for the fields of the widest line."""
     if template is not None:
         return template.fieldNames()
     if schema:
         return schema.split(",")
-    return [generated_name(i) for i in range(first_line_width(lines, delimiter))]
+    return [generated_name(i) for i in range(widest_line(lines, delimiter))]
 
 
 def copy_comments(fields: Sequence[FieldSpec], template: T.StructType | None) -> list[FieldSpec]:
@@ -196,7 +191,7 @@ def schema_provider(
     if autodetect:
         return "autodetect"
     if template and template_schema is None:
-        raise SchemaError(f"template table {template} doesn't exist")
+        raise SchemaError(f"no table {template} to take the schema from")
     return "template" if template_schema is not None else "spec"
 
 

@@ -15,7 +15,7 @@ from loadstone.session import compiled_methods
 from loadstone.sinks.orc import write_orc
 from loadstone.sinks.text import EXPORT_ROWS_PER_PART, write_csv_gz, write_sequence
 from loadstone.sources.tables import export_filter, export_scan, export_streams
-from loadstone.storage import part_files
+from loadstone.storage import delete_files, part_files
 
 log = logging.getLogger(__name__)
 
@@ -53,8 +53,9 @@ def export(
 ) -> ExportResult:
     """Export a table (catalog name or DataFrame) to part files under ``dest``.
 
-    ``where`` is a SQL predicate on the source, ``partitions`` the most parallel
-    streams. One stage without a shuffle: scan, filter, format, write.
+    ``where`` is a SQL predicate on the source, ``partitions`` the number of
+    parallel streams. Scan, filter, format and write are one stage; rows are only dealt
+    out anew where fewer splits than ``partitions`` hold any.
     """
     chosen, started = export_format(fmt), time.monotonic()
     rows = export_streams(export_filter(export_scan(spark, source), where), partitions)
@@ -67,6 +68,10 @@ def export(
         F.count(F.lit(1)).alias("parts"),
         F.count_distinct(F.regexp_extract("name", "^part-([0-9]+)", 1)).alias("streams"),
     ).first()
+    if count == 0:
+        # Spark leaves one part without rows, to keep the schema; a stream without rows has none.
+        delete_files(spark, dest)
+        files = {"streams": 0, "parts": 0}
     result = ExportResult(
         dest, chosen, count, files["streams"], files["parts"], time.monotonic() - started
     )

@@ -36,7 +36,6 @@ from loadstone.sinks.orc import (
     measure_rows,
     rows_per_part,
     with_writers,
-    write_orc,
     writers_for,
 )
 from loadstone.sinks.tables import (
@@ -46,14 +45,13 @@ from loadstone.sinks.tables import (
     existing_schema,
     guard_destination,
     guard_staging,
+    publish_table,
     register_external,
     resolve_table,
-    save_table,
+    stage_parts,
 )
 from loadstone.sources.delimited import (
     DEFAULT_DELIMITER,
-    DEFAULT_SAMPLE_ROWS,
-    HEAD_LIMIT,
     delimiter_char,
     is_splittable,
     sample_lines,
@@ -74,6 +72,8 @@ class LoadResult:
     bad: int
     table: str | None
     path: str | None
+    surplus: int = 0  # rows with text in fields beyond the schema
+    cut: int = 0  # rows with a string longer than its declared length
 
 
 def resolve_fields(
@@ -87,7 +87,7 @@ def resolve_fields(
     database: str | None = None,
     catalog: str | None = None,
     autodetect: bool = False,
-    sample_rows: int | None = DEFAULT_SAMPLE_ROWS,
+    sample_rows: int | None = None,
     zone: str = DEFAULT_ZONE,
 ) -> list[FieldSpec]:
     """The schema of a load, once per job: inferred, or from the template or
@@ -117,7 +117,7 @@ def load(
     schema: str = "",
     template: str | None = None,
     autodetect: bool = False,
-    sample_rows: int | None = DEFAULT_SAMPLE_ROWS,
+    sample_rows: int | None = None,
     zone: str = DEFAULT_ZONE,
     error_limit: int = 0,
     quarantine: str | None = None,
@@ -140,6 +140,7 @@ def load(
     A limit of 0 or 1 fails in the task that meets the first bad value. A higher
     limit drops bad rows, counts them over the whole job, and publishes nothing
     when they reach it; ``quarantine`` names a folder that then receives them.
+    Whatever fails, what was there before the load is still there after it.
     """
     check_mode(mode)
     delimiter = delimiter_char(delimiter)
@@ -147,12 +148,15 @@ def load(
         raise ValueError("give a table, a path or both")
     if external and (table is None or path is None):
         raise ValueError("an external table needs a table and a path")
+    strict = error_limit <= 1
+    if strict and quarantine:
+        raise ValueError("a load that fails at its first bad row has none to quarantine")
     name = resolve_table(table, database, catalog) if table else None
     lines = sources if isinstance(sources, DataFrame) else scan_lines(spark, sources)
 
     # A sample of files goes by the order of the sources; of a DataFrame, by its own.
     sample, rest = lines, sample_rows
-    if autodetect and lines is not sources and sample_rows is not None and sample_rows <= HEAD_LIMIT:
+    if autodetect and lines is not sources and sample_rows is not None:
         sample, rest = sample_sources(spark, sources, sample_rows), None
     # Before the destination is touched: the schema may come from it.
     fields = resolve_fields(
@@ -175,47 +179,40 @@ def load(
         guard_staging(spark, path, mode, shared=external)
 
     lines, cap = _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb)
-
-    strict = error_limit <= 1
-    # Without a staging folder of its own a load publishes as it commits, so a
-    # limit above the first bad row is checked in a pass ahead of it.
-    staged = path is not None and not (external and mode == "append")
-    if not strict and not staged:
-        with compiled_methods(spark):
-            bad = count_rows(lines, fields, delimiter).first()["bad"]
-        _check(bad, error_limit, lines, fields, delimiter, quarantine)
-
     observation = Observation()
     rows = (strict_rows if strict else good_rows)(lines, fields, delimiter, observation)
+    counts: dict[str, int] = {}
+
+    def check() -> None:
+        """Called when all rows are written and none of them shows yet."""
+        counts.update(observed(observation) or count_rows(lines, fields, delimiter).first().asDict())
+        if not strict:
+            _check(counts["bad"], error_limit, lines, fields, delimiter, quarantine)
+
     try:
         with compiled_methods(spark):
             if path:
-                write_orc(rows, path, "append", cap)
+                stage_parts(rows, path, mode, cap, check)
             else:
-                save_table(rows, name, mode, cap)
+                publish_table(rows, name, mode, cap, check, checked_by_job=strict)
     except Exception as e:
         message = failed_value(e)
         if message is None:
             raise
         raise LoadError(message) from e
-    counts = observed(observation) or count_rows(lines, fields, delimiter).first().asDict()
-    read, bad = counts["rows"], counts["bad"]
-    written = read - bad
-
-    if staged:
-        if not strict:
-            _check(bad, error_limit, lines, fields, delimiter, quarantine)
-        # A count over the finished parts, which reads none of their columns.
-        parts = spark.read.schema(struct_type(fields)).orc(path)
-        written = parts.count()
-        if written != read - bad:
-            log.error("rows read do not match rows written (%d != %d)", read - bad, written)
-        if name and not external:
-            save_table(_with_comments(parts, fields), name, mode, cap)
+    if name and path and not external:
+        parts = _with_comments(spark.read.schema(struct_type(fields)).orc(path), fields)
+        publish_table(parts, name, mode, cap)
     if external:
-        register_external(spark, path, name, lifetime_ms)
-    log.info("wrote %d rows", written)
-    return LoadResult(fields, read, written, bad, str(name) if name else None, path)
+        register_external(spark, path, name, lifetime_ms, replace=mode == "replace")
+    read, bad = counts["rows"], counts["bad"]
+    surplus, cut = counts.get("surplus", 0), counts.get("cut", 0)
+    log.info("wrote %d rows", read - bad)
+    if surplus or cut:
+        log.warning("%d rows had fields beyond the schema, %d had strings cut to length", surplus, cut)
+    return LoadResult(
+        fields, read, read - bad, bad, str(name) if name else None, path, surplus, cut
+    )
 
 
 def _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb):

@@ -21,12 +21,18 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
     With the limit in force Spark generates such a stage as small methods
     instead. Set it for good in sessions that build their own DataFrames.
     """
-    before = spark.conf.get(_METHOD_LIMIT, None)
-    spark.conf.set(_METHOD_LIMIT, HOTSPOT_METHOD_LIMIT)
+    with session_settings(spark, {_METHOD_LIMIT: HOTSPOT_METHOD_LIMIT}):
+        yield
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict) -> Iterator[None]:
+    """Settings that hold for a while, and are put back as they were."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_METHOD_LIMIT)
-        else:
-            spark.conf.set(_METHOD_LIMIT, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

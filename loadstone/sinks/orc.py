@@ -73,7 +73,7 @@ def with_writers(lines: DataFrame, writers: int | None, splits: int | None = Non
     if writers is None:
         return lines
     if writers < 1:
-        raise ValueError("parallelism must be positive")
+        raise ValueError("at least one writer is required")
     merge = splits is not None and writers <= splits
     return lines.coalesce(writers) if merge else lines.repartition(writers)
 

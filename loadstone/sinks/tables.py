@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from loadstone.fields import quoted
-from loadstone.sinks.orc import orc_writer
-from loadstone.storage import delete_files, is_empty, qualified
+from loadstone.session import session_settings
+from loadstone.sinks.orc import ORC_OPTIONS, orc_writer, write_orc
+from loadstone.storage import delete_files, delete_tree, is_empty, move_files, qualified
 
 MODES = ("error", "append", "replace")
 
@@ -74,21 +76,44 @@ def check_mode(mode: str) -> str:
 
 
 def guard_staging(spark: SparkSession, path: str, mode: str, shared: bool = False) -> None:
-    """Make ``path`` ready for new parts.
+    """``path`` must be empty, unless its parts are to be replaced, or it is
+    ``shared``: an external table that is appended to."""
+    if mode != "replace" and not (mode == "append" and shared) and not is_empty(spark, path):
+        raise DestinationError(f"there are files under {path} already")
 
-    ``replace`` deletes the files directly under it. Otherwise it must be empty,
-    unless it is ``shared``: an external table that is appended to.
+
+def stage_parts(
+    df: DataFrame, path: str, mode: str, rows_per_part: int | None, check: Callable[[], None]
+) -> None:
+    """Write ORC parts under ``path``; ``check`` may still refuse them.
+
+    Parts are written to a folder beside the old ones, under a name that readers
+    skip. They move in, and those that they replace are deleted, when all is well.
     """
-    if mode == "replace":
-        delete_files(spark, path)
-    elif not (mode == "append" and shared) and not is_empty(spark, path):
-        raise DestinationError(f"{path} is not empty")
+    spark = df.sparkSession
+    if is_empty(spark, path):
+        try:
+            write_orc(df, path, "append", rows_per_part)
+            check()
+        except BaseException:
+            delete_files(spark, path)
+            raise
+        return
+    fresh = f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    try:
+        write_orc(df, fresh, "append", rows_per_part)
+        check()
+        if mode == "replace":
+            delete_files(spark, path, keep_folders=True)
+        move_files(spark, fresh, path)
+    finally:
+        delete_tree(spark, fresh)
 
 
 def guard_destination(
     spark: SparkSession, name: TableName, mode: str, external_path: str | None = None
 ) -> None:
-    """``error`` needs the table absent; ``replace`` drops an external one.
+    """``error`` needs the table absent.
 
     A table that stays while parts are added under ``external_path`` must be
     external and lie there.
@@ -96,10 +121,10 @@ def guard_destination(
     if not spark.catalog.tableExists(str(name)):
         return
     if mode == "error":
-        raise DestinationError(f"table {name} exists")
+        raise DestinationError(f"there is a table {name} already")
     if mode == "replace" and is_external(spark, name):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    elif external_path and table_location(spark, name) != qualified(spark, external_path):
+        return
+    if external_path and table_location(spark, name) != qualified(spark, external_path):
         raise DestinationError(f"table {name} is not external over {external_path}")
 
 
@@ -120,12 +145,15 @@ def register_external(
     path: str,
     name: TableName,
     lifetime_ms: int = DEFAULT_LIFETIME_MS,
+    replace: bool = False,
 ) -> None:
     """An external table over the ORC files under ``path``, its schema theirs.
 
     A lifetime above 0 is kept as the property ``expires_at`` (epoch
     milliseconds); dropping expired tables is up to the catalog's owner.
     """
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     if spark.catalog.tableExists(str(name)):
         spark.catalog.refreshTable(str(name))
         return
@@ -136,18 +164,63 @@ def register_external(
     spark.sql(f"CREATE TABLE {name} USING orc OPTIONS ({options}){properties}")
 
 
-def save_table(
-    df: DataFrame, name: TableName, mode: str, rows_per_part: int | None = None
+def publish_table(
+    df: DataFrame,
+    name: TableName,
+    mode: str,
+    rows_per_part: int | None = None,
+    check: Callable[[], None] = lambda: None,
+    checked_by_job: bool = True,
 ) -> None:
-    """Write a native table in one job; nothing shows before the job commits."""
-    exists = df.sparkSession.catalog.tableExists(str(name))
-    if mode == "append" and exists:
-        columns = df.sparkSession.table(str(name)).columns
+    """Write a native table; ``check`` may still refuse what was written.
+
+    A new or replaced table is written under another name beside it, and takes its
+    place when it is complete: until then the old one stays. Rows to append are
+    committed by the job that writes them if that job itself fails for a bad row,
+    and are written to a table of their own first if it does not.
+    """
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(str(name)):
+        columns = spark.table(str(name)).columns
         check_columns(df.columns, columns, name)
-        df.select(*[quoted(c) for c in columns]).write.insertInto(str(name))
+        if checked_by_job:
+            _append(df, name, columns, rows_per_part)
+            check()
+            return
+        fresh = _write_beside(df, name, rows_per_part, check)
+        try:
+            _append(spark.table(str(fresh)), name, columns, rows_per_part)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         return
-    spark_mode = {"append": "append", "replace": "overwrite", "error": "errorifexists"}[mode]
-    orc_writer(df, spark_mode, rows_per_part).saveAsTable(str(name))
+    fresh = _write_beside(df, name, rows_per_part, check)
+    if mode == "replace":
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # A new name lies in the catalog of the old one.
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {replace(name, catalog=None)}")
+
+
+def _write_beside(
+    df: DataFrame, name: TableName, rows_per_part: int | None, check: Callable[[], None]
+) -> TableName:
+    fresh = replace(name, table=f"{name.table}_new_{uuid.uuid4().hex[:12]}")
+    try:
+        orc_writer(df, "errorifexists", rows_per_part).saveAsTable(str(fresh))
+        check()
+    except BaseException:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    return fresh
+
+
+def _append(
+    df: DataFrame, name: TableName, columns: Sequence[str], rows_per_part: int | None
+) -> None:
+    """Append by name, with the options of the ORC writer, which an insert takes from the session."""
+    settings = {"spark.sql.orc.compression.codec": ORC_OPTIONS["compression"]}
+    settings["spark.sql.files.maxRecordsPerFile"] = str(rows_per_part or 0)
+    with session_settings(df.sparkSession, settings):
+        df.select(*[quoted(c) for c in columns]).write.insertInto(str(name))
 
 
 def check_columns(given: Sequence[str], wanted: Sequence[str], name: TableName) -> None:

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 DEFAULT_DELIMITER = "þ"
 DEFAULT_SAMPLE_ROWS = 4096
 
-# Largest sample taken through the driver; a larger one is read as a plan.
-HEAD_LIMIT = 20_000
+# Most bytes of a sample, which passes through the driver.
+SAMPLE_BYTES = 64 * 1024 * 1024
 
-# File suffixes that Hadoop reads through a codec.
-COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+# Suffixes of files that Hadoop cannot cut into splits.
+UNSPLITTABLE_SUFFIXES = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
 
 LINE = "__line"
 
@@ -39,15 +39,14 @@ def scan_lines(spark: SparkSession, sources: str | list[str]) -> DataFrame:
 
 
 def is_splittable(lines: DataFrame) -> bool:
-    """Whether the first file of a scan can be cut into splits (it is not compressed)."""
-    first = lines.select(F.input_file_name().alias("name")).take(1)
-    return not (first and first[0]["name"].lower().endswith(COMPRESSED_SUFFIXES))
+    """Whether all files of a scan can be cut into splits."""
+    return not any(f.lower().endswith(UNSPLITTABLE_SUFFIXES) for f in lines.inputFiles())
 
 
 def delimiter_char(delimiter: str) -> str:
-    if not delimiter:
-        raise ValueError("delimiter is empty")
-    return delimiter[0]
+    if len(delimiter) != 1:
+        raise ValueError(f"a delimiter is one character, not {delimiter!r}")
+    return delimiter
 
 
 def split_pattern(delimiter: str) -> str:
@@ -68,55 +67,64 @@ def field_text(fields: Column, i: int | Column) -> Column:
     return F.coalesce(F.get(fields, F.lit(i)), F.lit(""))
 
 
-def split_fields(lines: DataFrame, width: int, delimiter: str = DEFAULT_DELIMITER) -> DataFrame:
-    """``value`` to text columns ``f0 .. f<width-1>`` beside the line itself."""
+def split_fields(
+    lines: DataFrame, width: int, delimiter: str = DEFAULT_DELIMITER, surplus: str | None = None
+) -> DataFrame:
+    """``value`` to text columns ``f0 .. f<width-1>`` beside the line itself, and a
+    column that marks lines with text beyond these, if it is given a name."""
     cut = lines.select(
         F.col("value").alias(LINE), field_array(F.col("value"), delimiter, width).alias("__fields")
     )
+    rest = F.coalesce(F.get(F.col("__fields"), F.lit(width)), F.lit(""))
+    more = [(F.rtrim(rest, F.lit(delimiter)) != "").alias(surplus)] if surplus else []
     return cut.select(
-        LINE, *[field_text(F.col("__fields"), i).alias(f"f{i}") for i in range(width)]
+        LINE, *[field_text(F.col("__fields"), i).alias(f"f{i}") for i in range(width)], *more
     )
 
 
-def sample_lines(lines: DataFrame, rows: int | None = DEFAULT_SAMPLE_ROWS) -> DataFrame:
-    """The first ``rows`` lines, the sample that schema inference reads.
+def head_of(lines: DataFrame, rows: int) -> list:
+    """The first ``rows`` lines, as many of them as SAMPLE_BYTES hold, one at least."""
+    sizes, fit, total = lines.select(F.octet_length("value")).take(rows), 0, 0
+    for (size,) in sizes:
+        total += size
+        if fit and total > SAMPLE_BYTES:
+            break
+        fit += 1
+    return lines.select("value").take(fit) if fit else []
 
-    A limit that feeds an aggregation would start a task for each split of the
-    input. Up to HEAD_LIMIT rows are therefore fetched the way ``take`` does,
-    reading only the first splits; ``None`` means the whole input.
-    """
+
+def sample_lines(lines: DataFrame, rows: int | None = None) -> DataFrame:
+    """The first ``rows`` lines for schema inference, read from the first splits only;
+    ``None`` means the whole input."""
     if rows is None:
         return lines
     if rows <= 0:
         raise ValueError("sample must have at least one row")
-    if rows > HEAD_LIMIT:
-        return lines.limit(rows)
-    return lines.sparkSession.createDataFrame(lines.select("value").take(rows), "value string")
+    return lines.sparkSession.createDataFrame(head_of(lines, rows), "value string")
 
 
 def sample_sources(spark: SparkSession, sources: str | list[str], rows: int) -> DataFrame:
     """The first ``rows`` lines of the sources, in the order they are listed.
 
     A scan of all sources packs their files by size, so the sample goes through
-    them one by one, as far as it needs to.
+    them one by one, as far as it needs to, and stops at SAMPLE_BYTES.
     """
     if rows <= 0:
         raise ValueError("sample must have at least one row")
-    head = []
+    head: list = []
     for path in source_paths(sources):
-        head += scan_lines(spark, path).take(rows - len(head))
-        if len(head) == rows:
+        head += head_of(scan_lines(spark, path), rows - len(head))
+        if len(head) == rows or sum(len(r[0]) for r in head) >= SAMPLE_BYTES:
             break
     return spark.createDataFrame(head, "value string")
 
 
-def first_line_width(lines: DataFrame, delimiter: str = DEFAULT_DELIMITER) -> int:
-    """Number of fields in the first line, trailing empty fields not counted."""
-    head = lines.select("value").take(1)
-    if not head:
+def widest_line(lines: DataFrame, delimiter: str = DEFAULT_DELIMITER) -> int:
+    """Most fields of any line, empty ones at its end not counted."""
+    kept = F.rtrim("value", F.lit(delimiter_char(delimiter)))
+    bare = (kept == "") & (F.col("value") != "")  # nothing but delimiters
+    fields = F.when(bare, 0).otherwise(F.size(field_array(kept, delimiter)))
+    most = lines.select(F.max(fields)).first()[0]
+    if most is None:
         raise ValueError("cannot tell the number of fields of an empty input")
-    line, ch = head[0]["value"], delimiter_char(delimiter)
-    kept = line.rstrip(ch)
-    if line and not kept:
-        return 0  # nothing but delimiters
-    return kept.count(ch) + 1
+    return most

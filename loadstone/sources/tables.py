@@ -17,15 +17,19 @@ def export_filter(df: DataFrame, where: str | None) -> DataFrame:
 
 
 def export_streams(df: DataFrame, streams: int | None) -> DataFrame:
-    """At most ``streams`` parallel streams.
+    """``streams`` parallel streams.
 
-    Merging splits needs no shuffle, and "at most" never asks for more of them.
+    Splits that hold rows are merged, without a shuffle, if there are that many of
+    them. Otherwise the rows are dealt out round-robin, before they are formatted: a
+    file of one row group is one split with rows, however many splits Spark makes.
     """
     if streams is None:
         return df
     if streams < 1:
         raise ValueError("at least one stream is required")
-    return df.coalesce(streams)
+    if streams == 1 or count_per_stream(df).count() >= streams:
+        return df.coalesce(streams)
+    return df.repartition(streams)
 
 
 def count_per_stream(df: DataFrame) -> DataFrame:

@@ -40,12 +40,12 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     return not fs.exists(jpath) or not fs.listStatusIterator(jpath).hasNext()
 
 
-def delete_files(spark: SparkSession, path: str) -> None:
+def delete_files(spark: SparkSession, path: str, keep_folders: bool = False) -> None:
     """Delete the files directly under ``path``; folders below it stay."""
     fs, jpath = _path(spark, path)
     if not fs.exists(jpath):
         return
-    if fs.getContentSummary(jpath).getDirectoryCount() == 1:
+    if not keep_folders and fs.getContentSummary(jpath).getDirectoryCount() == 1:
         fs.delete(jpath, True)
         return
     for status in _children(fs, jpath):
@@ -53,6 +53,17 @@ def delete_files(spark: SparkSession, path: str) -> None:
             fs.delete(status.getPath(), False)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the files directly under ``source`` to the folder ``target``."""
+    fs, jpath = _path(spark, source)
+    into = _path(spark, target)[1]
+    for status in list(_children(fs, jpath)):
+        name = status.getPath().getName()
+        moved = spark._jvm.org.apache.hadoop.fs.Path(into, name)
+        if status.isFile() and not name.startswith("_") and not fs.rename(status.getPath(), moved):
+            raise OSError(f"cannot move {name} to {target}")
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, jpath = _path(spark, path)
     fs.delete(jpath, True)

@@ -242,3 +242,34 @@ def decode_ts_local(spark, sf_dir):
         fmt_timestamp(D.decode_ts_local(x, "America/Chicago")).alias("chicago"),
         fmt_timestamp(D.decode_ts_local(x, "Asia/Tokyo", "yyyyMMddHHmmss")).alias("tokyo"),
     )
+
+
+@query(
+    "decode_ts_seasons",
+    """SELECT event_id, CASE event_type
+        WHEN 'click' THEN epoch_us(ts + INTERVAL '6 hours')
+        WHEN 'view' THEN epoch_us(ts + INTERVAL '182 days' + INTERVAL '5 hours')
+        WHEN 'error' THEN epoch_us(TIMESTAMP '2020-03-08 08:30:00.000001') + event_id % 1000
+        ELSE epoch_us(TIMESTAMP '2020-11-01 06:30:00.25') END AS micros,
+      CASE WHEN event_type = 'view' THEN epoch_us(ts + INTERVAL '182 days' + INTERVAL '7 hours')
+        WHEN event_type = 'click' THEN epoch_us(ts + INTERVAL '8 hours') END AS pacific
+    FROM events""",
+)
+def decode_ts_seasons(spark, sf_dir):
+    """Winter and summer, a time that the clock skips in spring and one that it shows
+    twice in autumn, all with fractions, which stay."""
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    summer = F.col("ts") + F.expr("INTERVAL 182 DAYS")
+    skipped = F.concat(F.lit("2020-03-08 02:30:00."), F.lpad((F.col("event_id") % 1000 + 1).cast("string"), 6, "0"))
+    pattern = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    x = variants(
+        "event_type",
+        {"click": stamp(F.col("ts")), "view": stamp(summer), "error": skipped},
+        F.lit("2020-11-01 01:30:00.250000"),
+    )
+    zoned = F.when(F.col("event_type").isin("click", "view"), F.concat(x, F.lit(" America/Los_Angeles")))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.unix_micros(D.decode_ts_local(x, "America/Chicago", pattern)).alias("micros"),
+        F.unix_micros(D.decode_ts_zoned(zoned, pattern + " VV")).alias("pacific"),
+    )

@@ -1,5 +1,7 @@
 """Schemas of a load, bad rows, and the sinks of the load job."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from loadstone.fields import SchemaError
@@ -26,6 +28,7 @@ from verification.registry import (
     lines,
     query,
     scratch_database,
+    table,
     text_columns,
     text_file,
     text_sql,
@@ -374,3 +377,152 @@ def native(spark, sf_dir):
             raise
     load(spark, source, name, path=path, error_limit=2**62, **options)
     return spark.table(name)
+
+
+@query(
+    "load_autodetect",
+    f"""SELECT 'lineitem' AS source, CAST(l_orderkey AS VARCHAR) || ' ' || l_linenumber AS id,
+      CASE WHEN l_linenumber > 3 THEN '  ' || l_returnflag || ' and more  ' ELSE l_returnflag END AS word,
+      CAST(CAST(l_tax AS DECIMAL(12,2)) + CASE WHEN l_linenumber > 3 THEN 0.00001 ELSE 0 END AS DOUBLE) AS number
+    FROM lineitem
+    UNION ALL SELECT 'events', CAST(event_id AS VARCHAR),
+      CASE WHEN event_id % 7 = 6 THEN props || props ELSE props END,
+      CAST(CAST(value AS DECIMAL(12,2)) + CASE WHEN event_id % 7 = 6 THEN 0.125 ELSE 0 END AS DOUBLE) FROM events""",
+)
+def load_autodetect(spark, sf_dir):
+    """Inferred loads of whole tables in which later values are longer, padded and of
+    another scale than the first ones: nothing is cut."""
+    lineitem, events = text_columns("lineitem"), text_columns("events")
+    late, some = F.col("l_linenumber") > 3, F.col("event_id") % 7 == 6
+    flag, tax, props = lineitem["l_returnflag"], lineitem["l_tax"], events["props"]
+    value = F.col("value").cast("decimal(12,2)")
+    sources = {
+        "lineitem": table(spark, sf_dir, "lineitem").select(
+            F.concat_ws(" ", lineitem["l_orderkey"], lineitem["l_linenumber"]).alias("id"),
+            F.when(late, F.concat(F.lit("  "), flag, F.lit(" and more  "))).otherwise(flag).alias("word"),
+            F.when(late, F.concat(tax, F.lit("001"))).otherwise(tax).alias("number"),
+        ),
+        "events": table(spark, sf_dir, "events").select(
+            F.concat(F.lit("#"), events["event_id"]).alias("id"),
+            F.when(some, F.concat(props, props)).otherwise(props).alias("word"),
+            F.when(some, (value + F.lit(0.125).cast("decimal(12,3)")).cast("string"))
+            .otherwise(events["value"]).alias("number"),
+        ),
+    }
+    result = None
+    for name, df in sources.items():
+        path = scratch_dir(spark, "inferred")
+        given = df.select(F.concat_ws("þ", "id", "word", "number").alias("value"))
+        load(spark, text_file(spark, given, name), path=path, autodetect=True, schema="id,word,number")
+        rows = spark.read.orc(path).select(
+            F.lit(name).alias("source"),
+            F.ltrim(F.col("id"), F.lit("#")).alias("id"),
+            "word",
+            F.col("number").cast("double").alias("number"),
+        )
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+_TYPED = """o_orderkey INT, o_custkey DECIMAL(10,0), o_orderstatus STRING, o_totalprice DECIMAL(38,9),
+  o_orderdate DATE, o_orderpriority STRING"""
+
+
+@query(
+    "append_to_typed_table",
+    f"""SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS DECIMAL(10,0)) AS o_custkey,
+      o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 0.123456789 AS DECIMAL(38,9)) AS o_totalprice,
+      CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderstatus <> 'P'""",
+)
+def append_to_typed_table(spark, sf_dir):
+    """A destination's declared sizes count; a key beyond an INT is a bad value."""
+    name = f"{scratch_database(spark)}.typed"
+    spark.sql(f"CREATE TABLE {name} ({_TYPED}) USING orc")
+    columns = text_columns("orders")
+    price = F.col("o_totalprice").cast("decimal(12,2)") + F.lit("0.123456789").cast("decimal(10,9)")
+    far = F.concat(F.lit("9999999999"), columns["o_orderkey"])
+    source = lines(
+        spark, sf_dir, "orders",
+        o_orderkey=F.when(F.col("o_orderstatus") == "P", far).otherwise(columns["o_orderkey"]),
+        o_custkey=F.concat(columns["o_custkey"], F.lit(".7")),
+        o_totalprice=price.cast("string"),
+    )
+    load(spark, source, name, mode="append", error_limit=2**62)
+    return spark.table(name)
+
+
+@query(
+    "replace_after_failure",
+    """SELECT kind, bad, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+    FROM orders, (SELECT unnest(['native', 'staged', 'external']) AS kind),
+      (SELECT unnest(['first', 'counted']) AS bad) GROUP BY kind, bad""",
+)
+def replace_after_failure(spark, sf_dir):
+    """What a table holds after a replace that fails at the first bad row, and after
+    one that fails at its limit: what it held before."""
+    database, good = scratch_database(spark), lines(spark, sf_dir, "orders")
+    broken, result = _broken_orders(spark, sf_dir), None
+    for kind in ("native", "staged", "external"):
+        name, options = f"{database}.{kind}", {"schema": ORDERS_SPEC, "external": kind == "external"}
+        if kind != "native":
+            options["path"] = scratch_dir(spark, kind)
+        load(spark, good, name, **options)
+        for bad, limit in (("first", 0), ("counted", 2)):
+            try:
+                load(spark, broken, name, mode="replace", error_limit=limit, **options)
+            except LoadError:
+                pass
+            rows = spark.table(name).agg(
+                F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys")
+            ).select(F.lit(kind).alias("kind"), F.lit(bad).alias("bad"), "rows", "keys")
+            result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+@query(
+    "table_lifetime",
+    """SELECT lifetime AS kept_for_ms, count(*) AS rows
+    FROM orders, (SELECT CAST(unnest([86400000, 604800000]) AS BIGINT) AS lifetime) GROUP BY lifetime
+    UNION ALL SELECT CAST(0 AS BIGINT), count(*) FROM orders""",
+)
+def table_lifetime(spark, sf_dir):
+    """Lifetimes that external tables carry, to the minute; none for 0."""
+    database, result = scratch_database(spark), None
+    source = lines(spark, sf_dir, "orders")
+    for n, lifetime in enumerate((86_400_000, None, 0)):
+        name, options = f"{database}.t{n}", {} if lifetime is None else {"lifetime_ms": lifetime}
+        started = int(time.time() * 1000)
+        load(spark, source, name, path=scratch_dir(spark, "kept"), external=True, schema=ORDERS_SPEC, **options)
+        properties = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'expires_at'")
+        expires = F.coalesce(F.max(F.col("value").cast("bigint")) - started, F.lit(0))
+        kept = properties.agg((F.round(expires / 600_000) * 600_000).cast("bigint").alias("kept_for_ms"))
+        rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows"))
+        both = kept.first()[0]
+        rows = rows.select(F.lit(both).cast("bigint").alias("kept_for_ms"), "rows")
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+@query(
+    "table_names",
+    """SELECT n AS given, count(*) AS rows FROM orders,
+      (SELECT unnest(['table', 'database.table', 'catalog:database.table', 'catalog.database.table']) AS n)
+    GROUP BY n""",
+)
+def table_names(spark, sf_dir):
+    """One load for each way to name a table, read back by its full name."""
+    database = scratch_database(spark)
+    source, result = lines(spark, sf_dir, "orders"), None
+    ways = {
+        "table": ("a", {"database": database}),
+        "database.table": (f"{database}.b", {}),
+        "catalog:database.table": (f"spark_catalog:{database}.c", {}),
+        "catalog.database.table": (f"spark_catalog.{database}.d", {}),
+    }
+    for given, (name, defaults) in ways.items():
+        load(spark, source, name, schema=ORDERS_SPEC, **defaults)
+        rows = spark.table(f"spark_catalog.{database}.{name[-1]}").agg(F.count(F.lit(1)).alias("rows"))
+        rows = rows.select(F.lit(given).alias("given"), "rows")
+        result = rows if result is None else result.unionByName(rows)
+    return result

@@ -92,13 +92,12 @@ def split(spark, sf_dir):
     least(count(*), {DEFAULT_SAMPLE_ROWS}) AS found, count(*) AS loaded FROM events""",
 )
 def sample(spark, sf_dir):
-    """The default sample: its size, how many of it are source lines, and that the
+    """A sample: its size, how many of it are source lines, and that the
     source still has all of its rows."""
     path = text_file(spark, lines(spark, sf_dir, "events"), "sample")
     source = scan_lines(spark, path)
-    # The sample has at most DEFAULT_SAMPLE_ROWS rows, so it may be broadcast.
-    taken = sample_lines(source).withColumn("hit", F.lit(1))
-    joined = source.join(F.broadcast(taken), "value", "left")
+    taken = sample_lines(source, DEFAULT_SAMPLE_ROWS).withColumn("hit", F.lit(1))
+    joined = source.join(taken, "value", "left")
     return joined.agg(F.count("hit").alias("found"), F.count(F.lit(1)).alias("loaded")).select(
         F.lit(taken.count()).cast("bigint").alias("sampled"), "found", "loaded"
     )
@@ -119,12 +118,17 @@ def filter_table(spark, sf_dir):
 
 @query(
     "export_partitions",
-    "SELECT count(*) AS rows, true AS within FROM lineitem",
+    """SELECT n AS streams, count(*) AS rows, true AS even
+    FROM lineitem, (SELECT CAST(unnest([1, 3, 8]) AS BIGINT) AS n) GROUP BY n""",
 )
 def streams(spark, sf_dir):
-    """Rows over all streams, and whether there are as few as asked for: half the splits."""
-    source = table(spark, sf_dir, "lineitem")
-    most = max(1, source.rdd.getNumPartitions() // 2)
-    return count_per_stream(export_streams(source, most)).agg(
-        F.sum("rows").alias("rows"), (F.count(F.lit(1)) <= most).alias("within")
-    )
+    """Rows over 1, 3 and 8 streams, whatever the splits of the table, and whether
+    the streams are even."""
+    source, result = table(spark, sf_dir, "lineitem"), None
+    for n in (1, 3, 8):
+        counts = count_per_stream(export_streams(source, n)).agg(
+            F.count(F.lit(1)).alias("streams"), F.sum("rows").alias("rows"),
+            (F.max("rows") <= 1.1 * F.min("rows")).alias("even"),
+        )
+        result = counts if result is None else result.unionByName(counts)
+    return result
