@@ -27,7 +27,10 @@ from loadstone.llm.merges import WordMerges
 from loadstone.llm.tables import bounded_batches, column
 
 # Most chunks of text whose tokens a task remembers; a speed-up that no result depends on.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+
+# Letters whose chunks are held at once.
+AT_ONCE = 2_000_000
 
 # A word of Latin letters, each of which is stable under NFC and lowered to one
 # letter, and the marks behind it: two pre-tokens for sure. Other chunks take the
@@ -60,13 +63,23 @@ def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[str]], lis
         for chunk, found in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[chunk] = np.array(found.ids, "<u4").tobytes()
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def encode_some(texts: list[str]) -> list[bytes]:
         if len(known) > REMEMBERED:
             known.clear()
         split = [text.replace("\n", " ").split(" ") for text in texts]
         learn(list({c for chunks in split for c in chunks if c not in known}))
         return [b"".join([known[c] for c in chunks]) + end for chunks in split]
 
+    def encode(texts: list[str]) -> list[bytes]:
+        out, some, size = [], [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= AT_ONCE:  # a chunk takes ten times the memory of its letters
+                out += encode_some(some)
+                some, size = [], 0
+        return out + encode_some(some)
+
     return encode
 
 

@@ -9,7 +9,7 @@ from loadstone.fields import quoted
 from loadstone.storage import scratch_dir
 
 # Most bytes of one Arrow batch on its way to Python.
-BATCH_BYTES = 32 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
