@@ -79,8 +79,11 @@ def main() -> None:
         ),
         "format_lineitem": lambda: noop(export_lines(lineitem)),
         "export_orders_csv_gz": lambda: export(spark, orders, next(paths)),
-        "export_lineitem_csv_gz": lambda: export(spark, lineitem, next(paths)),
-        "export_documents_csv_gz": lambda: export(spark, documents, next(paths)),
+        "export_lineitem_csv_gz": lambda: export(spark, lineitem, next(paths), partitions=int(cpus)),
+        "export_documents_csv_gz": lambda: export(spark, documents, next(paths), partitions=int(cpus)),
+        "export_lineitem_seq": lambda: export(
+            spark, lineitem, next(paths), fmt="seq", partitions=int(cpus)
+        ),
         "export_orders_seq": lambda: export(spark, orders, next(paths), fmt="seq"),
     }
     rows = {"lineitem": lineitem.count(), "orders": orders.count(), "documents": documents.count()}

@@ -61,7 +61,7 @@ def test_required(one, spark):
     assert one("x", T.StringType(), nullable=False) == "x"
     df = spark.createDataFrame([(None,), ("x",)], "c string")
     text = X.fmt_null(X.fmt_string(F.col("c")), "c", required=True)
-    with pytest.raises(Exception, match="missing required field c"):
+    with pytest.raises(Exception, match="c is required and has no value"):
         df.select(text).collect()
 
 
@@ -81,7 +81,7 @@ def test_rows(spark):
 
 @pytest.mark.parametrize("sql", ["array(1)", "map(1, 2)", "struct(1)", "X'00'", "INTERVAL 1 DAY"])
 def test_unsupported_types(spark, sql):
-    with pytest.raises(X.ExportTypeError, match="unhandled type bad"):
+    with pytest.raises(X.ExportTypeError, match="columns without a text form: bad"):
         export_lines(spark.sql(f"SELECT 1 AS ok, {sql} AS bad"))
 
 

@@ -67,7 +67,7 @@ def test_empty_source(spark, tmp_path):
 
 
 def test_first_bad_value_fails(spark, mixed, tmp_path):
-    message = r"Failed on column 0 id INT64 value='x' line: xþ1þ2020-01-01|column 2 day"
+    message = r"undecodable column 0 id INT64 value='x' line: xþ1þ2020-01-01|column 2 day"
     with pytest.raises(LoadError, match=message):
         load(spark, mixed, path=str(tmp_path / "out"), schema=SPEC)
     assert not list((tmp_path / "out").glob("part-*"))
@@ -76,7 +76,7 @@ def test_first_bad_value_fails(spark, mixed, tmp_path):
 def test_limit_counts_the_whole_job(spark, mixed, tmp_path, database):
     options = {"schema": SPEC, "mode": "replace", "partitions": 3}
     table, path = f"{database}.t", str(tmp_path / "out")
-    with pytest.raises(LoadError, match="3 bad rows reach the error limit 3"):
+    with pytest.raises(LoadError, match="3 rows are bad; the load allows fewer than 3"):
         load(spark, mixed, table, path=path, error_limit=3, **options)
     assert not spark.catalog.tableExists(table)
     result = load(spark, mixed, table, path=path, error_limit=4, **options)

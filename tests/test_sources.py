@@ -78,7 +78,8 @@ def test_sample(spark, file_of):
 def test_streams(spark):
     df = spark.range(0, 100, 1, 8)
     assert X.export_streams(df, 3).rdd.getNumPartitions() == 3
-    assert X.export_streams(df, 30).rdd.getNumPartitions() == 8
+    spread = X.export_streams(df, 30)
+    assert spread.rdd.getNumPartitions() == 30 and X.count_per_stream(spread).count() == 30
     assert [r["rows"] for r in X.count_per_stream(X.export_streams(df, 2)).collect()] == [50, 50]
     with pytest.raises(ValueError):
         X.export_streams(df, 0)
