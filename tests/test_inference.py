@@ -61,38 +61,27 @@ def test_short_rows_count_as_empty_and_surplus_is_ignored(text):
     assert [f.kind for f in fields] == ["INT64", "STRING", "STRING"]
 
 
-# The shape of the 21-column file: first values, and what they infer to.
+# A wide row: keys of many digits, padded text, numbers and three ways to write a time.
 SHAPE = [
-    ("201203050546552711690119", "STRING(length=24)"),
+    ("7" * 22, "STRING(length=22)"),
     ("", "STRING"),
-    ("201203040159212649727197", "STRING(length=24)"),
-    ("201203040159212109923211", "STRING(length=24)"),
-    ("3700.0014      ", "NUMERIC(precision=9, scale=4)"),
-    ("2012-03-05 05:55:26+00:00", "TIMESTAMP_ZONED(format=yyyy-MM-dd HH:mm:ssz)"),
+    ("123456.75   ", "NUMERIC(precision=9, scale=2)"),
+    ("1999-12-31 23:59:58+00:00", "TIMESTAMP_ZONED(format=yyyy-MM-dd HH:mm:ssz)"),
     ("0", "INT64"),
-    ("20140212091903235501    ", "STRING(length=20)"),
-    ("201203050369213414995359", "STRING(length=24)"),
-    ("1", "INT64"),
-    ("2012-03-05 05:55:26+00:00", "TIMESTAMP_ZONED(format=yyyy-MM-dd HH:mm:ssz)"),
-    ("2012030402003815703097  ", "STRING(length=22)"),
-    ("2012030402003815703017  ", "STRING(length=22)"),
-    ("2012-03-05 05:55:26+00:00", "TIMESTAMP_ZONED(format=yyyy-MM-dd HH:mm:ssz)"),
-    ("2012-03-10 13:12:12-06:00", "TIMESTAMP_ZONED(format=yyyy-MM-dd HH:mm:ssz)"),
-    ("TestString", "STRING(length=10)"),
-    ("TestString", "STRING(length=10)"),
-    ("TestString", "STRING(length=10)"),
-    ("TestString", "STRING(length=10)"),
-    ("1", "INT64"),
-    ("2012-03-10 18:02:35", "TIMESTAMP_LOCAL(format=yyyy-MM-dd HH:mm:ss, zone=America/Los_Angeles)"),
+    ("8" * 20 + "    ", "STRING(length=20)"),
+    ("1999-12-31 23:59:58-03:00", "TIMESTAMP_ZONED(format=yyyy-MM-dd HH:mm:ssz)"),
+    ("some words", "STRING(length=10)"),
+    ("1999-12-31 23:59:58", "TIMESTAMP_LOCAL(format=yyyy-MM-dd HH:mm:ss, zone=America/Los_Angeles)"),
+    ("-15", "INT64"),
 ]
 
 
-def test_shape_of_21_columns(spark, text):
+def test_shape_of_a_wide_row(spark, text):
     """What is inferred also decodes: every row, every column."""
     lines = text(*["þ".join(v for v, _ in SHAPE)] * 49)
     fields = resolve_fields(spark, lines, autodetect=True)
     assert [f.describe() for f in fields] == [kind for _, kind in SHAPE]
-    assert [f.name for f in fields] == list("abcdefghijklmnopqrstu")
+    assert [f.name for f in fields] == list("abcdefghij")
     assert count_rows(lines, fields).first().asDict() == {"rows": 49, "bad": 0}
     row = typed_rows(lines, fields).first()
     assert row["b"] is None and [c for c in row.asDict() if row[c] is None] == ["b"]

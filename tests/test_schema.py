@@ -4,12 +4,9 @@ from pyspark.sql import types as T
 from loadstone.fields import FieldSpec, SchemaError
 from loadstone.operators import schema as S
 
-SPEC_21 = (
-    "key1:STRING:24,key2:STRING:24,key3:STRING:24,key4:STRING:24,STATUS:STRING:15,"
-    "date1:TIMESTAMP,qty1:NUMERIC:14.4,key5:STRING:24,key6:STRING:24,qty2:NUMERIC:14.4,"
-    "date2:TIMESTAMP,key7:STRING:24,key8:STRING:24,timestamp1:TIMESTAMP,timestamp2:TIMESTAMP,"
-    "id1:STRING:40,id2:STRING:40,id3:STRING:40,id4:STRING:40,id5:NUMERIC:5.0,"
-    "rank:TIMESTAMP:America/Chicago"
+SPEC_OF_ALL_TYPES = (
+    "Order:STRING:12,Customer:STRING:30,price:NUMERIC:11.3,units:NUMERIC:6.0,booked:TIMESTAMP,"
+    "weight:FLOAT64,lines:INT64,due:DATE:dd.MM.yyyy,sent:TIMESTAMP:Europe/Berlin,note"
 )
 
 
@@ -25,21 +22,20 @@ def offset(name):
     return FieldSpec(name, "TIMESTAMP_OFFSET", format="yyyy-MM-dd HH:mm:ssXXXXX")
 
 
-def test_spec_of_21_columns():
-    expected = (
-        [string(f"key{i}", 24) for i in range(1, 5)]
-        + [string("status", 15), offset("date1"), numeric("qty1", 14, 4)]
-        + [string("key5", 24), string("key6", 24), numeric("qty2", 14, 4), offset("date2")]
-        + [string("key7", 24), string("key8", 24), offset("timestamp1"), offset("timestamp2")]
-        + [string(f"id{i}", 40) for i in range(1, 5)]
-        + [numeric("id5", 5, 0)]
-        + [
-            FieldSpec(
-                "rank", "TIMESTAMP_LOCAL", format="yyyy-MM-dd HH:mm:ss", zone="America/Chicago"
-            )
-        ]
-    )
-    assert S.parse_spec(SPEC_21) == expected
+def test_spec_of_all_types():
+    local = FieldSpec("sent", "TIMESTAMP_LOCAL", format="yyyy-MM-dd HH:mm:ss", zone="Europe/Berlin")
+    assert S.parse_spec(SPEC_OF_ALL_TYPES) == [
+        string("order", 12),
+        string("customer", 30),
+        numeric("price", 11, 3),
+        numeric("units", 6, 0),
+        offset("booked"),
+        FieldSpec("weight", "FLOAT64"),
+        FieldSpec("lines", "INT64"),
+        FieldSpec("due", "DATE", format="dd.MM.yyyy"),
+        local,
+        FieldSpec("note"),
+    ]
 
 
 @pytest.mark.parametrize(
@@ -196,7 +192,7 @@ def test_check_fields(spark, fields):
 
 
 def test_check_fields_accepts(spark):
-    fields = S.parse_spec(SPEC_21)
+    fields = S.parse_spec(SPEC_OF_ALL_TYPES)
     assert S.check_fields(spark, fields) == fields
 
 
