@@ -28,12 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.llm.components import connected_components
-from loadstone.llm.tables import bounded_batches, written
+from loadstone.llm.tables import bounded_batches, drawn, written
 
 TREES = 5
 LEAF = 2048
 CHUNK = 2048
 SAMPLE = 20_000  # vectors that the splits are fitted on
+FORESTS = 1000  # lengths of vectors that get a forest; vectors of others share a leaf
 LEAST_SAMPLE = 8  # sample vectors below which a node is not split
 MARGIN = 0.5  # of the standard deviation of a projected link at the threshold
 BLOCK = 512
@@ -103,7 +104,8 @@ def plant(sample: np.ndarray, largest: int, threshold: float, trees: int) -> lis
     most = max(0, int(math.log2(max(1, len(sample)) / LEAST_SAMPLE))) if len(sample) >= LEAST_SAMPLE else 0
     depth = min(most, _TREE_BITS, max(0, math.ceil(math.log2(max(1, largest) / LEAF))))
     spread = math.sqrt(2 * (1 - threshold)) / math.sqrt(max(1, sample.shape[1]))
-    return [ProjectionTree.fit(sample, depth, MARGIN * spread, seed) for seed in range(trees)]
+    # Trees without a split are all the same leaf.
+    return [ProjectionTree.fit(sample, depth, MARGIN * spread, seed) for seed in range(trees if depth else 1)]
 
 
 def _leaf_keys(classes: DataFrame, forests: dict[int, list[ProjectionTree]]) -> DataFrame:
@@ -122,6 +124,9 @@ def _leaf_keys(classes: DataFrame, forests: dict[int, list[ProjectionTree]]) ->
                 at = np.flatnonzero(lengths == width)
                 rows = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
                 rows = unit_rows(rows.reshape(len(at), width))
+                if width not in planted:  # of more lengths than there are forests: one leaf
+                    for i in at.tolist():
+                        keys[i].append(0)
                 for number, tree in enumerate(planted.get(width, [])):
                     for leaf, held in tree.leaves(rows):
                         key = (number << _TREE_BITS) + leaf
@@ -245,10 +250,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, trees: int = TREES
 def _forests(classes: DataFrame, threshold: float, trees: int) -> dict[int, list[ProjectionTree]]:
     """A forest for each length of vectors, fitted on a sample of at most ``SAMPLE``,
     always the same vectors."""
-    sample = classes.orderBy("digest").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
+    few = drawn(classes, F.col("digest"), SAMPLE, classes.count())
+    sample = few.select("embedding").toArrow().column(0).combine_chunks()
     lengths = sample.value_lengths().to_numpy(zero_copy_only=False) if len(sample) else np.zeros(0, int)
     sizes = classes.groupBy(F.size("embedding").alias("width"), "label").count()
-    largest = {r[0]: r[1] for r in sizes.groupBy("width").agg(F.max("count")).limit(1000).collect()}
+    largest = {r[0]: r[1] for r in sizes.groupBy("width").agg(F.max("count")).limit(FORESTS).collect()}
     forests = {}
     for width, most in largest.items():
         at = np.flatnonzero(lengths == width)

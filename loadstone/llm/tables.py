@@ -10,6 +10,7 @@ from loadstone.storage import scratch_dir
 
 # Most bytes of one Arrow batch on its way to Python.
 BATCH_BYTES = 8 * 1024 * 1024
+FEW_VALUES = 1_000_000  # ids, digests or counts that may be broadcast: some 30 MB
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -44,6 +45,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drawn(df: DataFrame, digest: Column, rows: int, total: int) -> DataFrame:
+    """At most ``rows`` of ``total`` rows, always the same: those of the smallest digests
+    (hex). A threshold a little above what that takes leaves few rows to order."""
+    if total > rows:
+        share = min(1.0, 1.2 * rows / total)
+        df = df.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < int(share * 2**32))
+    return df.orderBy(digest).limit(rows)
+
+
+def small_side(df: DataFrame, values: Column | None = None) -> DataFrame:
+    """A side of a join to broadcast, if it is small; else as it is, for Spark to join
+    by its key. ``values`` is the number of values that a row holds, one if not given.
+
+    It keeps whole texts out of a shuffle where a list of ids or digests selects them.
+    """
+    total = F.count(F.lit(1)) if values is None else F.sum(values)
+    return F.broadcast(df) if (df.agg(total).first()[0] or 0) <= FEW_VALUES else df
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, unless the session does so already: rows of
     very long texts would otherwise meet ten thousand at a time."""
