@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadstone.llm.tables import bounded_batches, column, whole, written
+from loadstone.llm.tables import bounded_batches, column, small_side, whole, written
 
 # The white space that is stripped from a line, and the letters lowered.
 SPACE = " \t\n\x0b\x0c\r"
@@ -251,6 +251,7 @@ def _probe(state: LineState, refs: DataFrame) -> DataFrame:
     shard = shard_of(F.col("key"), state.shards)
     loads = refs.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("rows"))
     parts = loads.select("shard", F.ceil(F.col("rows") / PROBE_ROWS).cast("int").alias("parts"))
+    parts = small_side(written(parts, "line-parts"))  # two integers for each shard
     known = state.filters.join(parts, "shard")
     copies = known.select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "filter")
     dealt = (
@@ -319,5 +320,5 @@ def clean_lines(
     rows = docs.select(
         whole(docs).alias("row"), column(docs, doc_id).alias("of"), column(docs, text).alias("text")
     )
-    joined = rows.join(drops, F.col("of") == F.col("doc_id"), "left")
+    joined = rows.join(small_side(drops, F.size("keys")), F.col("of") == F.col("doc_id"), "left")
     return joined.select("row", _cut("text", "keys").alias("cut")).select("row", "cut.*")
