@@ -18,7 +18,7 @@ from loadstone.llm import (
     reversible_lines,
 )
 from loadstone.llm.queries import END_ID, LONGEST, word_tokenizer
-from loadstone.llm.tables import column, table, whole, written
+from loadstone.llm.tables import column, small_side, table, whole, written
 
 TOXIC = 0.5
 
@@ -49,7 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = fast_minhash.near_duplicates(docs, shingle=5, percent=80)
     found = written(found.select("doc_id", "kept").where("doc_id IS NOT NULL"), "kept-documents")
     gone = found.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    stay = docs.join(gone, column(docs, "doc_id") == F.col("gone"), "left_anti")
+    stay = docs.join(small_side(gone), column(docs, "doc_id") == F.col("gone"), "left_anti")
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if again.isEmpty():
         return stay

@@ -32,6 +32,15 @@ def _hang_smaller(links: DataFrame) -> DataFrame:
     )
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether the links are stars: every larger end has one link, and is no smaller end."""
+    ends = links.select(F.col("high").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select("low", F.lit(0), F.lit(1))
+    )
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(id, component) of every id that has a link, the component being its smallest id.
 
@@ -41,13 +50,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     tidy = links.select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
     tidy = checkpointed(tidy.where("high != low").distinct())
-    before = None
-    while True:
+    while not _settled(tidy):
         tidy = checkpointed(_hang_smaller(_hang_larger(tidy)))
-        mark = F.sum(F.xxhash64("high", "low").cast("decimal(20,0)")).alias("mark")
-        now = tuple(tidy.agg(F.count(F.lit(1)), mark).first())
-        if now == before:
-            break
-        before = now
     roots = tidy.select(F.col("low").alias("id"), F.col("low").alias("component")).distinct()
     return tidy.select(F.col("high").alias("id"), F.col("low").alias("component")).union(roots)

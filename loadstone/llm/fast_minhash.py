@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadstone.llm.components import connected_components
-from loadstone.llm.tables import bounded_batches, column, written
+from loadstone.llm.tables import bounded_batches, column, small_side, written
 
 BANDS, ROWS = 20, 4
 BLOCK = 256  # documents that one comparing task takes beside its leader or other block
@@ -150,11 +150,11 @@ def _compare_to_leader(units: DataFrame, shingle: int, percent: int) -> DataFram
 
 
 def _compare_blocks(units: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links between documents of different components in one pair of blocks: enough
-    of them to join what is alike, one for each join."""
+    """Links between the components that one pair of blocks has alike documents of:
+    enough of them to join these, one for each join."""
 
     def run(group: pa.Table) -> pa.Table:
-        docs, comps = group.column("doc").to_pylist(), group.column("component").to_pylist()
+        comps = group.column("component").to_pylist()
         sets = [shingle_set(words_of(t), shingle) for t in group.column("text").to_pylist()]
         root = {c: c for c in comps}
 
@@ -172,8 +172,8 @@ def _compare_blocks(units: DataFrame, shingle: int, percent: int) -> DataFrame:
             x, y = find(comps[i]), find(comps[j])
             if x != y:
                 root[max(x, y)] = min(x, y)
-                a.append(docs[i])
-                b.append(docs[j])
+                a.append(comps[i])
+                b.append(comps[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return units.groupBy("band", "left", "right").applyInArrow(run, "a bigint, b bigint")
@@ -223,9 +223,10 @@ def near_duplicates(
     filled = written(
         members.join(heads.where("leader != most"), "band").select("band", "leader", "rep"), "buckets"
     )
+    wanted = written(filled.select(F.col("rep").alias("doc")).distinct(), "bucket-ids")
     texts = written(
         docs.select(column(docs, doc_id).cast("bigint").alias("doc"), column(docs, text).alias("text")).join(
-            filled.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi"
+            small_side(wanted), "doc", "left_semi"
         ),
         "bucket-texts",
     )
@@ -245,11 +246,12 @@ def near_duplicates(
 
     rest = _open_buckets(filled, found)
     blocks = written(_compare_blocks(rest.join(texts, "doc"), shingle, percent), "block-links")
-    if not blocks.isEmpty():
-        found = connected_components(links.union(blocks))
-
-    known = classes.join(found, F.col("rep") == F.col("id"), "left").select(
-        F.col("digest").alias("of"), F.coalesce("component", "rep").alias("component_id")
+    placed = classes.join(found, F.col("rep") == F.col("id"), "left").select(
+        F.col("digest").alias("of"), F.coalesce("component", "rep").alias("first")
+    )
+    joined = connected_components(blocks)
+    known = placed.join(joined, F.col("first") == F.col("id"), "left").select(
+        "of", F.coalesce("component", "first").alias("component_id")
     )
     linked = usable.join(known, F.col("digest") == F.col("of")).select("doc_id", "n_shingles", "component_id")
     alone = sketches.where("digest IS NULL OR doc_id IS NULL").select(
