@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadstone.llm.tables import column, whole, written
+from loadstone.llm.tables import column, small_side, whole, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS = 60
@@ -111,7 +111,7 @@ def plan_mix(
         inside = F.shiftright("place", shift) == F.col("bucket")
         known = state.select(F.col("source").alias("of"), "need", "bucket", "below")
         rows = sized.select("source", "size", "place").join(
-            known, F.col("source").eqNullSafe(F.col("of")) & inside
+            small_side(known), F.col("source").eqNullSafe(F.col("of")) & inside
         )
         shift -= DIGIT_BITS
         digits = rows.groupBy(
@@ -144,19 +144,20 @@ def plan_mix(
     )
     # A need that no bucket exceeds takes its whole source once more.
     rest = F.when(F.col("need") > 0, F.lit(2**HASH_BITS)).otherwise(F.lit(-1))
-    return goals.join(found, F.col("source").eqNullSafe(F.col("of")), "left").select(
+    plan = goals.join(found, F.col("source").eqNullSafe(F.col("of")), "left").select(
         "source", "source_size", "target", "passes",
         F.coalesce("threshold", rest).alias("threshold"),
     )
+    return written(plan, "mix-plan")
 
 
 def apply_mix(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Every document with the number of ``copies`` that the mix takes of it.
 
-    One pass and no sort; the plan has a row per source, which Spark broadcasts
-    while it is small and joins by source, splitting hot ones, when it is not.
+    One pass and no sort; the plan has a row per source, which is broadcast if these
+    are few, and joined by source, splitting hot ones, if not.
     """
-    known = plan.withColumnRenamed("source", "of")
+    known = small_side(plan.withColumnRenamed("source", "of"))
     once_more = (F.col("place") <= F.col("threshold")).cast("int")
     return sized.join(known, F.col("source").eqNullSafe(F.col("of"))).select(
         "row", "size", "source_size", "target", (F.col("passes") + once_more).alias("copies")
