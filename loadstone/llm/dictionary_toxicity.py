@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -76,6 +76,18 @@ def typical_units(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     A document counts for a unit if most contexts it has it in are new, so copies
     of one document count once.
     """
+    least = max(MIN_DOCS, MIN_SHARE * len(toxic))
+
+    def odds(bad: Counter, good: Counter, unit: bytes) -> float:
+        return (bad[unit] + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (good[unit] + 0.5)
+
+    def held(texts: list[str]) -> Counter:
+        return Counter(u for t in texts for u in {u for w in set(words_of(t)) for u in units(w)})
+
+    # Copies counted, first: only units that may pass have their contexts looked at.
+    bad = Counter({u: n for u, n in held(toxic).items() if n >= least})
+    good = Counter(u for t in ordinary for u in held([t]) if u in bad)
+    may = {u for u in bad if odds(bad, good, u) > MIN_ODDS / 4}
 
     def fresh(texts: list[str]) -> Counter:
         seen: set = set()
@@ -85,7 +97,8 @@ def typical_units(toxic: list[str], ordinary: list[str]) -> list[bytes]:
             contexts = defaultdict(list)
             for context in set(zip(words, words[1:], words[2:])):
                 for unit in units(context[1]):
-                    contexts[unit].append(context)
+                    if unit in may:
+                        contexts[unit].append(context)
             for unit, found in contexts.items():
                 counts[unit] += 2 * sum(c not in seen for c in found) > len(found)
             for found in contexts.values():
@@ -93,9 +106,8 @@ def typical_units(toxic: list[str], ordinary: list[str]) -> list[bytes]:
         return counts
 
     bad, good = fresh(toxic), fresh(ordinary)
-    least = max(MIN_DOCS, MIN_SHARE * len(toxic))
-    odds = lambda u: (bad[u] + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (good[u] + 0.5)
-    return sorted((u for u, n in bad.items() if n >= least and odds(u) > MIN_ODDS), key=lambda u: (-bad[u], u))
+    typical = (u for u, n in bad.items() if n >= least and odds(bad, good, u) > MIN_ODDS)
+    return sorted(typical, key=lambda u: (-bad[u], u))
 
 
 @dataclass(frozen=True)
@@ -147,30 +159,37 @@ def train_dictionary(size: int, samples: list[bytes]) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def fit(toxic: list[str], ordinary: list[str], seed: int = 5) -> ToxicityModel | None:
-    """Dictionaries from one half of the sample, thresholds from the other."""
-    if not toxic or not ordinary:
-        return None
-    rng, code = np.random.default_rng(seed), coder()
-    learn, check = (toxic[::2], ordinary[::2]), (toxic[1::2], ordinary[1::2])
+def learn(toxic: list[str], ordinary: list[str], seed: int) -> ToxicityModel | None:
+    """Both dictionaries; None if nothing sets the toxic texts apart."""
     from xxhash import xxh3_64_digest
 
-    typical = typical_units(*learn)
+    rng, code = np.random.default_rng(seed), coder()
+    typical = typical_units(toxic, ordinary)
     if not typical:
         return None
     known = set(typical)
-    codes = [xxh3_64_digest(u) for t in learn[0] for w in words_of(t) for u in units(w) if u in known]
+    codes = [xxh3_64_digest(u) for t in toxic for w in words_of(t) for u in units(w) if u in known]
     codes = [codes[i] for i in rng.permutation(len(codes))]
     passages = [b"".join(codes[i : i + WINDOW_WORDS]) for i in range(0, len(codes), WINDOW_WORDS)]
-    prose = [w for t in learn[1] for w in windows(words_of(t), code)]
+    prose = [w for t in ordinary for w in windows(words_of(t), code)]
     prose = [prose[i] for i in rng.permutation(len(prose))[:20_000]]
     bad = train_dictionary(max(1024, 32 * len(typical)), passages)
     # Every typical unit has a place in the dictionary, whatever training left out.
     bad = b"".join(c for c in map(xxh3_64_digest, typical) if c not in bad) + bad
-    model = ToxicityModel(train_dictionary(4096, prose), bad)
-    evidence = model.scorer()
-    found = [np.array([evidence(t) for t in texts]) for texts in check]
-    if not len(found[0]):
+    return ToxicityModel(train_dictionary(4096, prose), bad)
+
+
+def fit(toxic: list[str], ordinary: list[str], seed: int = 5) -> ToxicityModel | None:
+    """The cut from dictionaries of one half of the sample and the evidence that they
+    find in the other; then dictionaries of the whole sample."""
+    if not toxic or not ordinary:
+        return None
+    model, half = learn(toxic, ordinary, seed), learn(toxic[::2], ordinary[::2], seed)
+    if model is None or half is None:
+        return model
+    evidence = half.scorer()
+    found = [np.array([evidence(t) for t in texts]) for texts in (toxic[1::2], ordinary[1::2])]
+    if not len(found[0]) or not len(found[1]):
         return model
     # The cut with the best sum of both rates; in the middle of the gap that it lies in.
     levels = np.unique(np.concatenate([found[0], found[1], [0.0]]))
@@ -178,7 +197,7 @@ def fit(toxic: list[str], ordinary: list[str], seed: int = 5) -> ToxicityModel |
     if not len(cuts):
         return model
     rates = [(found[0] >= c).mean() + (found[1] < c).mean() for c in cuts]
-    return ToxicityModel(model.ordinary, model.toxic, model.window_gap, float(cuts[int(np.argmax(rates))]))
+    return replace(model, cut=float(cuts[int(np.argmax(rates))]))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
