@@ -27,10 +27,10 @@ from loadstone.llm.merges import WordMerges
 from loadstone.llm.tables import bounded_batches, column
 
 # Most chunks of text whose tokens a task remembers; a speed-up that no result depends on.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 
 # Letters whose chunks are held at once.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
 
 # A word of Latin letters, each of which is stable under NFC and lowered to one
 # letter, and the marks behind it: two pre-tokens for sure. Other chunks take the

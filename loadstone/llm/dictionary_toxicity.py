@@ -33,7 +33,7 @@ SAMPLE_CHARS = 40_000  # longest text that is drawn for fitting
 WINDOW_WORDS = 8
 STEM = 4
 MIN_SHARE, MIN_DOCS, MIN_ODDS = 0.02, 5, 8.0  # what makes a unit typical of toxic text
-REMEMBERED = 200_000  # words whose codes a task remembers; no result depends on it
+REMEMBERED = 100_000  # words whose codes a task remembers; no result depends on it
 
 _EDGES = b".,!*$&%#?;:()[]{}\"'"
 
