@@ -5,10 +5,11 @@ stem (its first letters), so that zstandard finds whole words and stems and neve
 chance runs of letters. A window of words is compressed twice: with a dictionary
 trained on ordinary text, and with that dictionary behind one trained on toxic text.
 The bytes that the toxic dictionary saves are the window's gap. A document's evidence
-is the sum of the gaps of its windows that reach the window threshold, and both
-thresholds are calibrated on labelled documents that the dictionaries have not seen.
+is the sum of the gaps of its windows that reach the window threshold, less a rate for
+each of its windows, so that ordinary text of any length stays below the cut. The rate
+and the cut are calibrated on labelled documents that the dictionaries have not seen.
 
-Null and empty texts have one empty window and no evidence. Repeated rows score alike.
+Null and empty texts have one empty window and no gap. Repeated rows score alike.
 Without labelled documents of both kinds, or with nothing that sets toxic ones apart,
 every score is 0.
 """
@@ -26,15 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.llm.pairwise_quality import held_out, labelled_sample
-from loadstone.llm.tables import bounded_batches, column
+from loadstone.llm.tables import bounded_batches, column, written
 
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 4000  # most labelled documents a model is fitted on
-SAMPLE_CHARS = 40_000  # longest text that is drawn for fitting
+SAMPLE_CHARS, PIECES = 40_000, 8  # longest part of a text that dictionaries are made of, its pieces
 WINDOW_WORDS = 8
 STEM = 4
+GAPS = 256  # gaps are counted up to this one; windows have fewer bytes
 MIN_SHARE, MIN_DOCS, MIN_ODDS = 0.02, 5, 8.0  # what makes a unit typical of toxic text
 REMEMBERED = 100_000  # words whose codes a task remembers; no result depends on it
 
+# From a model to (toxic, half, windows by gap) of every text of a sample.
+Measure = Callable[["ToxicityModel"], list[tuple[int, int, np.ndarray]]]
+
 _EDGES = b".,!*$&%#?;:()[]{}\"'"
 
 
@@ -114,22 +119,28 @@ def typical_units(toxic: list[str], ordinary: list[str]) -> list[bytes]:
 class ToxicityModel:
     ordinary: bytes
     toxic: bytes
-    window_gap: int = 4
+    rate: float = 0.0  # what a window of ordinary text may have
     cut: float = 4.0
+    window_gap: int = 4
 
-    def scorer(self) -> Callable[[str | None], float]:
-        """Evidence of a text; the compressors are made once."""
+    def counter(self) -> Callable[[str | None], np.ndarray]:
+        """The number of windows of a text by their gap; the compressors are made once."""
         plain, both, code = compressor(self.ordinary), compressor(self.toxic + self.ordinary), coder()
 
-        def evidence(text: str | None) -> float:
-            total = 0
+        def counts(text: str | None) -> np.ndarray:
+            found = np.zeros(GAPS, np.int64)
             for window in windows(words_of(text), code):
                 gap = len(plain.compress(window)) - len(both.compress(window))
-                if gap >= self.window_gap:
-                    total += gap
-            return float(total)
+                found[max(0, min(GAPS - 1, gap))] += 1
+            return found
+
+        return counts
 
-        return evidence
+    def evidence(self, counts: np.ndarray) -> np.ndarray:
+        """The gaps from ``window_gap`` on above those expected of so many windows, for
+        one text or one in each row. Ordinary text has the less of it the longer it is."""
+        gaps = np.arange(GAPS) * (np.arange(GAPS) >= self.window_gap)
+        return counts @ gaps - self.rate * counts.sum(axis=-1)
 
     def score(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-20.0, min(20.0, (evidence - self.cut) / max(1.0, self.cut / 3)))))
@@ -179,36 +190,90 @@ def learn(toxic: list[str], ordinary: list[str], seed: int) -> ToxicityModel | N
     return ToxicityModel(train_dictionary(4096, prose), bad)
 
 
-def fit(toxic: list[str], ordinary: list[str], seed: int = 5) -> ToxicityModel | None:
-    """The cut from dictionaries of one half of the sample and the evidence that they
-    find in the other; then dictionaries of the whole sample."""
+def fit(
+    toxic: list[tuple[int, str]], ordinary: list[tuple[int, str]], measure: Measure | None = None, seed: int = 5
+) -> ToxicityModel | None:
+    """Thresholds from dictionaries of half 0 of the sample and the gaps that they find in
+    half 1, then dictionaries of the whole sample. The texts come with their half.
+    ``measure`` counts the gaps in the whole texts, where these are more than what is given.
+
+    A sample that has no half for each is calibrated on what its dictionaries are made of.
+    """
     if not toxic or not ordinary:
         return None
-    model, half = learn(toxic, ordinary, seed), learn(toxic[::2], ordinary[::2], seed)
-    if model is None or half is None:
-        return model
-    evidence = half.scorer()
-    found = [np.array([evidence(t) for t in texts]) for texts in (toxic[1::2], ordinary[1::2])]
-    if not len(found[0]) or not len(found[1]):
-        return model
-    # The cut with the best sum of both rates; in the middle of the gap that it lies in.
-    levels = np.unique(np.concatenate([found[0], found[1], [0.0]]))
-    cuts = (levels[1:] + levels[:-1]) / 2
-    if not len(cuts):
-        return model
-    rates = [(found[0] >= c).mean() + (found[1] < c).mean() for c in cuts]
-    return replace(model, cut=float(cuts[int(np.argmax(rates))]))
+
+    def local(model: ToxicityModel) -> list[tuple[int, int, np.ndarray]]:
+        count = model.counter()
+        return [(kind, h, count(t)) for kind, rows in ((1, toxic), (0, ordinary)) for h, t in rows]
+
+    texts = [[t for _, t in rows] for rows in (toxic, ordinary)]
+    model = learn(*texts, seed)
+    if model is None:
+        return None
+    half = learn(*[[t for h, t in rows if h == 0] for rows in (toxic, ordinary)], seed)
+    parted = half is not None and all(any(h == 1 for h, _ in rows) for rows in (toxic, ordinary))
+    found = (measure or local)(half if parted else model)
+    counts = [np.array([c for k, h, c in found if k == kind and (h == 1 or not parted)]) for kind in (1, 0)]
+    return calibrated(model, *counts)
+
+
+def calibrated(model: ToxicityModel, toxic: np.ndarray, ordinary: np.ndarray) -> ToxicityModel:
+    """The rate and the cut with the best sum of both rates, over all texts and over the
+    longest quarter of either kind; the cut is in the middle of the gap that it lies in."""
+    longest = [x.sum(axis=1) >= np.quantile(x.sum(axis=1), 0.75) for x in (toxic, ordinary)]
+    gaps = replace(model, rate=0.0)
+    mean = [gaps.evidence(x).sum() / x.sum() for x in (toxic, ordinary)]
+    low = max(mean[1], 0.5 / ordinary.sum())
+    best, chosen = -1.0, model
+    for power in (0.5, 0.25, 0.75) if mean[0] > low else (0.5,):
+        tried = replace(model, rate=float(low * (max(mean[0], low) / low) ** power))
+        bad, good = tried.evidence(toxic), tried.evidence(ordinary)
+        levels = np.unique(np.concatenate([bad, good, [0.0]]))
+        cuts = (levels[1:] + levels[:-1]) / 2
+        for cut in cuts[cuts > 0]:
+            rates = sum(f.mean() + f[part].mean() for f, part in zip((bad >= cut, good < cut), longest))
+            if rates > best + 1e-9:
+                best, chosen = rates, replace(tried, cut=float(cut))
+    return chosen
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
     """A model from a bounded sample of the labelled documents: ``SAMPLE_TOXIC`` and
-    ``SAMPLE_ORDINARY`` of them, texts of up to ``SAMPLE_CHARS``."""
+    ``SAMPLE_ORDINARY`` of them, of every length. Of a text above ``SAMPLE_CHARS`` the
+    dictionaries are made of pieces from all over it; thresholds come from whole texts.
+    Copies are in the same half."""
+    bounded_batches(docs.sparkSession)
+    kinds = ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))
+    drawn = [
+        labelled_sample(docs, labels, "toxic", value, limit)
+        .select(F.coalesce("text", F.lit("")).alias("text"), F.lit(value).alias("toxic"))
+        for value, limit in kinds
+    ]
+    sample = written(drawn[0].union(drawn[1]), "toxicity-sample")
+    half = (F.conv(F.substring(F.md5("text"), 1, 1), 16, 10).cast("int") % 2).alias("half")
+    length, piece = F.length("text"), SAMPLE_CHARS // PIECES
+    at = F.sequence(F.lit(0), F.lit(PIECES - 1))
+    pieces = F.transform(
+        at, lambda i: F.substring("text", 1 + F.floor(i * (length - piece) / (PIECES - 1)).cast("int"), F.lit(piece))
+    )
+    text = F.when(length <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat_ws(" ", pieces))
     texts = [
-        [r[0] or "" for r in labelled_sample(docs, labels, "toxic", value, limit, SAMPLE_CHARS)
-         .orderBy(F.md5("text")).collect()]
-        for value, limit in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))
+        [(r[0], r[1]) for r in sample.where(F.col("toxic") == value).orderBy(F.md5("text"))
+         .select(half, text.alias("text")).collect()]
+        for value, _ in kinds
     ]
-    return fit(*texts)
+
+    def measure(model: ToxicityModel) -> list[tuple[int, int, np.ndarray]]:
+        @F.pandas_udf("array<bigint>")
+        def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            count = model.counter()
+            for some in batches:
+                yield some.map(count)
+
+        rows = sample.select("toxic", half, counts("text")).collect()
+        return [(r[0], r[1], np.array(r[2])) for r in rows]
+
+    return fit(*texts, measure)
 
 
 def score_toxicity(
@@ -219,9 +284,9 @@ def score_toxicity(
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        evidence = model.scorer() if model else None
+        count = model.counter() if model else None
         for texts in batches:
-            yield texts.map(lambda t: model.score(evidence(t)) if evidence else 0.0).astype(float)
+            yield texts.map(lambda t: model.score(model.evidence(count(t))) if count else 0.0).astype(float)
 
     return docs.select(
         "*",
