@@ -34,7 +34,7 @@ SAMPLE_CHARS, PIECES = 40_000, 8  # longest part of a text that dictionaries are
 WINDOW_WORDS = 8
 STEM = 4
 GAPS = 256  # gaps are counted up to this one; windows have fewer bytes
-MIN_SHARE, MIN_DOCS, MIN_ODDS = 0.02, 5, 8.0  # what makes a unit typical of toxic text
+CHANCE = 0.01  # of any unit being typical of toxic text by chance
 REMEMBERED = 100_000  # words whose codes a task remembers; no result depends on it
 
 # From a model to (toxic, half, windows by gap) of every text of a sample.
@@ -75,44 +75,67 @@ def windows(words: list[bytes], code: Callable[[bytes], bytes]) -> list[bytes]:
     return [b"".join(codes[i : i + WINDOW_WORDS]) for i in range(0, max(1, len(codes)), WINDOW_WORDS)]
 
 
-def typical_units(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Units that set toxic documents apart, most frequent first.
+def typical_units(toxic: list[str], ordinary: list[str]) -> list[tuple[bytes, float]]:
+    """Units that set toxic documents apart, most frequent first, and how many times as
+    frequent they are there as in ordinary ones.
 
-    A document counts for a unit if most contexts it has it in are new, so copies
-    of one document count once.
+    A unit is judged against chance, whatever its share of the documents: by the documents
+    that hold it and by its frequency within them, each at the level that leaves ``CHANCE``
+    for all units together. A document counts for a unit if most contexts it has it in are
+    new, so copies of one document count once.
     """
-    least = max(MIN_DOCS, MIN_SHARE * len(toxic))
-
-    def odds(bad: Counter, good: Counter, unit: bytes) -> float:
-        return (bad[unit] + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (good[unit] + 0.5)
-
-    def held(texts: list[str]) -> Counter:
-        return Counter(u for t in texts for u in {u for w in set(words_of(t)) for u in units(w)})
-
-    # Copies counted, first: only units that may pass have their contexts looked at.
-    bad = Counter({u: n for u, n in held(toxic).items() if n >= least})
-    good = Counter(u for t in ordinary for u in held([t]) if u in bad)
-    may = {u for u in bad if odds(bad, good, u) > MIN_ODDS / 4}
-
-    def fresh(texts: list[str]) -> Counter:
+    sizes = [[len(words_of(t)) for t in texts] for texts in (toxic, ordinary)]
+    n_words = [max(1, sum(x)) for x in sizes]
+    share = max(len(toxic) / (len(toxic) + len(ordinary)), n_words[0] / sum(n_words))
+    held = Counter(u for t in toxic for u in {u for w in set(words_of(t)) for u in units(w)})
+    level = CHANCE / max(1, 2 * sum(n > 1 for n in held.values()))
+    # What no count in ordinary text could make significant needs no look at its contexts.
+    may = {u for u, n in held.items() if share**n <= level}
+
+    def fresh(texts: list[str]) -> dict[bytes, np.ndarray]:
+        """By unit: documents, occurrences, sum of frequencies and of their squares."""
         seen: set = set()
-        counts: Counter = Counter()
+        sums: dict[bytes, np.ndarray] = defaultdict(lambda: np.zeros(4))
         for text in texts:
             words = [b"", *words_of(text), b""]
-            contexts = defaultdict(list)
-            for context in set(zip(words, words[1:], words[2:])):
+            contexts, times = defaultdict(set), Counter()
+            for context in zip(words, words[1:], words[2:]):
                 for unit in units(context[1]):
                     if unit in may:
-                        contexts[unit].append(context)
+                        contexts[unit].add(context)
+                        times[unit] += 1
             for unit, found in contexts.items():
-                counts[unit] += 2 * sum(c not in seen for c in found) > len(found)
+                if 2 * sum(c not in seen for c in found) > len(found):
+                    often = times[unit] / (len(words) - 2)
+                    sums[unit] += (1, times[unit], often, often**2)
             for found in contexts.values():
                 seen.update(found)
-        return counts
+        return sums
 
     bad, good = fresh(toxic), fresh(ordinary)
-    typical = (u for u, n in bad.items() if n >= least and odds(bad, good, u) > MIN_ODDS)
-    return sorted(typical, key=lambda u: (-bad[u], u))
+    typical = []
+    for unit, x in bad.items():
+        y = good.get(unit, np.zeros(4))
+        means = [z[2] / n for z, n in ((x, len(toxic)), (y, len(ordinary)))]
+        error = sum((z[3] / n - m * m) / n for z, n, m in zip((x, y), map(len, (toxic, ordinary)), means))
+        by_frequency = math.erfc((means[0] - means[1]) / math.sqrt(2 * max(error, 1e-30))) / 2
+        if min(by_frequency, chance(int(x[0]), int(x[0] + y[0]), share)) <= level:
+            typical.append((unit, x[1] / n_words[0] * n_words[1] / (y[1] + 0.5)))
+    return sorted(typical, key=lambda u: (-bad[u[0]][0], u[0]))
+
+
+def chance(least: int, of: int, share: float) -> float:
+    """The probability that at least ``least`` of ``of`` documents are toxic."""
+    if share >= 1:
+        return 1.0
+    ways = math.lgamma(of + 1)
+    return sum(
+        math.exp(
+            ways - math.lgamma(k + 1) - math.lgamma(of - k + 1)
+            + k * math.log(share) + (of - k) * math.log(1 - share)
+        )
+        for k in range(least, of + 1)
+    )
 
 
 @dataclass(frozen=True)
@@ -175,7 +198,7 @@ def learn(toxic: list[str], ordinary: list[str], seed: int) -> ToxicityModel | N
     from xxhash import xxh3_64_digest
 
     rng, code = np.random.default_rng(seed), coder()
-    typical = typical_units(toxic, ordinary)
+    typical = [u for u, _ in typical_units(toxic, ordinary)]
     if not typical:
         return None
     known = set(typical)

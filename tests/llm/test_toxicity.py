@@ -30,3 +30,17 @@ def test_long_texts(spark):
     assert not [i for i in range(1000, 1024) if found[i]]
     assert all(found[i] for i in range(2000, 2008))
     assert sum(found[i] == bool(v) for i, (v, _) in docs.items() if i < 400) >= 390
+
+
+def test_small_language(spark):
+    rng = random.Random(2)
+    theirs = [a + b for a in ("oste", "uru", "ami", "elle", "ippo") for b in ("ja", "zo", "que", "ll", "rra", "ñi")]
+    for first in (0, 10_000):  # other documents are held out
+        docs = {}
+        for i in range(600):
+            docs[first + i] = (int(i % 4 == 0), prose(rng, rng.randint(60, 200), "vexil", 0.04 if i % 4 == 0 else 0))
+        for i in range(1000, 1200):  # the marker is ordinary, but not as often
+            docs[first + i] = (int(i % 5 == 0), prose(rng, rng.randint(60, 200), "bomeri", 0.05 if i % 5 == 0 else 0.001, theirs))
+        found = predicted(spark, docs)
+        small = [(found[first + i], i % 5 == 0) for i in range(1000, 1200)]
+        assert sum(f for f, toxic in small if toxic) >= 36 and sum(f for f, toxic in small if not toxic) <= 8
