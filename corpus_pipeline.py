@@ -44,17 +44,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id.
-    Documents without an id stay; of rows that repeat an id one stays."""
-    found = fast_minhash.near_duplicates(docs, shingle=5, percent=80)
-    found = written(found.select("doc_id", "kept").where("doc_id IS NOT NULL"), "kept-documents")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    stay = docs.join(small_side(gone), column(docs, "doc_id") == F.col("gone"), "left_anti")
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if again.isEmpty():
-        return stay
-    once = stay.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return once.union(stay.where("doc_id IS NULL"))
+    """One row of each group of near-duplicate texts, that with the smallest id; rows
+    without an id come last. Rows are told apart by a key, not by their id: of several
+    texts under one id only those go that resemble a text that stays."""
+    keyed = written(
+        docs.select(F.monotonically_increasing_id().alias("key"), whole(docs).alias("row")), "keyed-documents"
+    )
+    doc_id, text = (F.col("row").getField(c) for c in ("doc_id", "text"))
+    found = fast_minhash.near_duplicates(
+        keyed.select("key", text.alias("text")), doc_id="key", shingle=5, percent=80
+    )
+    found = written(found.select(F.col("doc_id").alias("key"), "component_id"), "near-groups")
+    order = F.struct(doc_id.isNull().alias("last"), doc_id.alias("id"), F.md5(text).alias("digest"), "key")
+    first = found.join(keyed.select("key", order.alias("order")), "key").groupBy("component_id")
+    first = first.agg(F.min("order").getField("key").alias("key"))
+    gone = written(found.select("key").join(first, "key", "left_anti"), "near-copies")
+    return keyed.join(small_side(gone), "key", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
