@@ -6,8 +6,14 @@ chance runs of letters. A window of words is compressed twice: with a dictionary
 trained on ordinary text, and with that dictionary behind one trained on toxic text.
 The bytes that the toxic dictionary saves are the window's gap. A document's evidence
 is the sum of the gaps of its windows that reach the window threshold, less a rate for
-each of its windows, so that ordinary text of any length stays below the cut. The rate
-and the cut are calibrated on labelled documents that the dictionaries have not seen.
+each of its windows, so that ordinary text of any length stays below the cut. The window
+threshold, the rate and the cut are calibrated on labelled documents that the dictionaries
+have not seen, or on the sample itself where it is too small to be halved.
+
+The toxic dictionary is not trained on toxic text as it stands but on a list of words and
+stems: those of toxic text that are typical of it beyond chance, in made-up passages, the
+whole list in front. The ordinary dictionary is trained on real windows. A toxic phrase of
+words that are each ordinary has no evidence.
 
 Null and empty texts have one empty window and no gap. Repeated rows score alike.
 Without labelled documents of both kinds, or with nothing that sets toxic ones apart,
@@ -33,6 +39,7 @@ SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 4000  # most labelled documents a model is
 SAMPLE_CHARS, PIECES = 40_000, 8  # longest part of a text that dictionaries are made of, its pieces
 WINDOW_WORDS = 8
 STEM = 4
+WINDOW_GAPS = (4, 1, 2, 6, 8, 12, 16)  # tried; of equally good ones the first is taken
 GAPS = 256  # gaps are counted up to this one; windows have fewer bytes
 CHANCE = 0.01  # of any unit being typical of toxic text by chance
 REMEMBERED = 100_000  # words whose codes a task remembers; no result depends on it
@@ -241,22 +248,29 @@ def fit(
 
 
 def calibrated(model: ToxicityModel, toxic: np.ndarray, ordinary: np.ndarray) -> ToxicityModel:
-    """The rate and the cut with the best sum of both rates, over all texts and over the
-    longest quarter of either kind; the cut is in the middle of the gap that it lies in."""
+    """The window gap, the rate and the cut with the best sum of both rates, over all texts
+    and over the longest quarter of either kind; the cut is in the middle of the gap that it
+    lies in. A window gap replaces those tried before it if it is better by more than one of the
+    longest toxic texts: less is chance."""
     longest = [x.sum(axis=1) >= np.quantile(x.sum(axis=1), 0.75) for x in (toxic, ordinary)]
-    gaps = replace(model, rate=0.0)
-    mean = [gaps.evidence(x).sum() / x.sum() for x in (toxic, ordinary)]
-    low = max(mean[1], 0.5 / ordinary.sum())
+    least = 1 / len(toxic) + 1 / longest[0].sum()
     best, chosen = -1.0, model
-    for power in (0.5, 0.25, 0.75) if mean[0] > low else (0.5,):
-        tried = replace(model, rate=float(low * (max(mean[0], low) / low) ** power))
-        bad, good = tried.evidence(toxic), tried.evidence(ordinary)
-        levels = np.unique(np.concatenate([bad, good, [0.0]]))
-        cuts = (levels[1:] + levels[:-1]) / 2
-        for cut in cuts[cuts > 0]:
-            rates = sum(f.mean() + f[part].mean() for f, part in zip((bad >= cut, good < cut), longest))
-            if rates > best + 1e-9:
-                best, chosen = rates, replace(tried, cut=float(cut))
+    for window_gap in WINDOW_GAPS:
+        gaps = replace(model, window_gap=window_gap, rate=0.0)
+        mean = [gaps.evidence(x).sum() / x.sum() for x in (toxic, ordinary)]
+        low = max(mean[1], 0.5 / ordinary.sum())
+        own, here = -1.0, gaps
+        for power in (0.5, 0.25, 0.75) if mean[0] > low else (0.5,):
+            tried = replace(gaps, rate=float(low * (max(mean[0], low) / low) ** power))
+            bad, good = tried.evidence(toxic), tried.evidence(ordinary)
+            levels = np.unique(np.concatenate([bad, good, [0.0]]))
+            cuts = (levels[1:] + levels[:-1]) / 2
+            for cut in cuts[cuts > 0]:
+                rates = sum(f.mean() + f[part].mean() for f, part in zip((bad >= cut, good < cut), longest))
+                if rates > own + 1e-9:
+                    own, here = rates, replace(tried, cut=float(cut))
+        if own > best + least:
+            best, chosen = own, here
     return chosen
 
 

@@ -44,3 +44,16 @@ def test_small_language(spark):
         found = predicted(spark, docs)
         small = [(found[first + i], i % 5 == 0) for i in range(1000, 1200)]
         assert sum(f for f, toxic in small if toxic) >= 36 and sum(f for f, toxic in small if not toxic) <= 8
+
+
+def test_window_gap_is_calibrated():
+    import numpy as np
+
+    counts = np.zeros((2, 40, dictionary_toxicity.GAPS), np.int64)
+    counts[:, :, 0] = 30
+    counts[1, :, 5] = np.arange(40) % 9  # ordinary windows have small gaps, at any number
+    counts[0, :, 5] = np.arange(40) % 2
+    counts[0, :, 14] = 1
+    model = dictionary_toxicity.calibrated(dictionary_toxicity.ToxicityModel(b"", b""), *counts)
+    assert (model.evidence(counts[0]) >= model.cut).all() and (model.evidence(counts[1]) < model.cut).all()
+    assert model.window_gap > 5
