@@ -14,6 +14,7 @@ from loadstone.llm import (
     chat_windows,
     dictionary_toxicity,
     fast_minhash,
+    filter_audit,
     hash_mixing,
     pairwise_quality,
     pii_bootstrap,
@@ -264,3 +265,49 @@ def op3_pii_bootstrap(spark, sf_dir):
         F.sha2(written_out(base), 256).alias("base_sha256"),
         written_out(F.col("spans")).alias("spans"),
     )
+
+
+_AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+flags AS (
+  SELECT t.doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false) AS e,
+    coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM texts t LEFT JOIN marks USING (doc_id)),
+sets AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS fails,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flags GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT v.l || w.l || x.l || y.l || z.l AS filter_order
+  FROM letters v, letters w, letters x, letters y, letters z
+  WHERE len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5),
+steps AS (
+  SELECT filter_order, step, letter, 1 << (ascii(letter) - 65) AS bit,
+    coalesce((SELECT sum(1 << (ascii(filter_order[i]) - 65)) FROM range(1, step) r(i)), 0)::INT AS before
+  FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step, filter_order[step] AS letter FROM orders)),
+counted AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails & before = 0 AND fails & bit != 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails & before != 0 AND fails & bit != 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails & before = 0 AND fails & bit != 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & bit != 0), 0)::BIGINT AS toxic_lost
+  FROM sets, steps GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted"""
+
+
+@query("op13_filter_audit", _AUDIT_SQL)
+def op13_filter_audit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit_filters(docs, table(spark, sf_dir, "labels"))
