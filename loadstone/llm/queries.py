@@ -20,6 +20,7 @@ from loadstone.llm import (
     pii_bootstrap,
     reversible_lines,
     rp_forest,
+    turn_repair,
 )
 from loadstone.llm.tables import table, written
 
@@ -311,3 +312,75 @@ FROM counted"""
 def op13_filter_audit(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return filter_audit.audit_filters(docs, table(spark, sf_dir, "labels"))
+
+
+_REPAIR_SQL = r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [ascii(x) FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS bytes
+  FROM conversations),
+fated AS (
+  SELECT *, xor(list_reduce([4294967295::BIGINT] || bytes::BIGINT[], lambda c, b:
+    list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS fate
+  FROM given),
+live AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM fated WHERE fate > 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM live),
+judged AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM judged),
+counted AS (
+  SELECT conv_id, count(*) AS n,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+hops(s, mid, letters, cost, added) AS (VALUES
+  (0, 0, '', 0, []::VARCHAR[]), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []),
+  (0, 2, 'I', 2, ['user:']), (1, 2, 'I', 2, ['user:']), (3, 2, 'I', 2, ['user:']), (2, 3, 'I', 2, ['assistant:']),
+  (0, 3, 'II', 4, ['user:', 'assistant:']), (1, 3, 'II', 4, ['user:', 'assistant:'])),
+kept(mid, t, initial) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')),
+arcs AS (
+  SELECT f.conv_id, f.i, h.s, e.t, {'cost': h.cost + e.cost, 'audit': h.letters || e.letter, 'body': h.added || e.body} AS w
+  FROM faults f, hops h, LATERAL (
+    SELECT h.mid AS t, 3 AS cost, 'D' AS letter, []::VARCHAR[] AS body
+    UNION ALL SELECT k.t, (f.fault = 'truncated')::INT, 'K', [f.role || ':' || f.text] FROM kept k
+      WHERE k.mid = h.mid AND k.initial = f.initial AND f.fault IN ('', 'truncated')
+    UNION ALL SELECT CASE h.mid WHEN 2 THEN 3 ELSE 2 END, 2 + (f.fault = 'truncated')::INT, 'R',
+      [CASE h.mid WHEN 2 THEN 'assistant:' ELSE 'user:' END || f.text] WHERE f.fault IN ('', 'truncated')) e),
+steps AS (
+  SELECT conv_id, i, s, t, min(w) AS w FROM arcs GROUP BY ALL),
+paths AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, {'cost': 0, 'audit': '', 'body': []::VARCHAR[]} AS w FROM counted
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, a.t,
+    min({'cost': p.w.cost + a.w.cost, 'audit': p.w.audit || a.w.audit, 'body': p.w.body || a.w.body})
+  FROM paths p JOIN steps a ON a.conv_id = p.conv_id AND a.i = p.i + 1 AND a.s = p.s
+  GROUP BY p.conv_id, p.i, a.t),
+ended AS (
+  SELECT p.conv_id, min({'cost': p.w.cost + 2 * length(e.letters), 'audit': p.w.audit || e.letters, 'body': p.w.body || e.body}) AS w
+  FROM paths p JOIN counted c ON c.conv_id = p.conv_id AND c.n = p.i
+  JOIN (VALUES (0, '', []::VARCHAR[]), (1, 'II', ['user:', 'assistant:']), (2, 'I', ['assistant:']), (3, '', [])) e(s, letters, body)
+    ON e.s = p.s
+  GROUP BY p.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.cost, 0)::BIGINT AS cost, coalesce(w.audit, '') AS audit,
+  sha256(coalesce(array_to_string(w.body, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (conv_id) LEFT JOIN ended USING (conv_id)"""
+
+
+@query("op11_turn_repair", _REPAIR_SQL)
+def op11_turn_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.repair_conversations(turn_repair.damaged_turns(turns), live="live").digests()
