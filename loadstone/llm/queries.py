@@ -16,6 +16,7 @@ from loadstone.llm import (
     fast_minhash,
     filter_audit,
     hash_mixing,
+    merge_automaton,
     pairwise_quality,
     pii_bootstrap,
     reversible_lines,
@@ -41,11 +42,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def word_tokenizer() -> str:
-    """The public tokenizer the packing query is defined by."""
+def tokenizer_file(name: str) -> str:
+    """The public tokenizer file a query is defined by."""
     import public_tokenizers
 
-    return Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+def word_tokenizer() -> str:
+    return tokenizer_file("word_bpe_49k.json")
+
+
+def byte_tokenizer() -> str:
+    return tokenizer_file("byte_bpe_50k.json")
 
 
 @query("op6_binary_packing")
@@ -384,3 +393,15 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (con
 def op11_turn_repair(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return turn_repair.repair_conversations(turn_repair.damaged_turns(turns), live="live").digests()
+
+
+@query("op12_merge_automaton")
+def op12_merge_automaton(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = merge_automaton.encode_documents(docs, byte_tokenizer())
+    return merge_automaton.decode_documents(encoded, byte_tokenizer()).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
