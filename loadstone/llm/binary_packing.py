@@ -19,17 +19,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadstone.llm.merges import WordMerges
-from loadstone.llm.tables import bounded_batches, column
+from loadstone.llm.tables import bounded_batches, column, without_cycle_search
 
-# Most chunks of text whose tokens a task remembers; a speed-up that no result depends on.
-REMEMBERED = 120_000
+# Chunks of text, and words in them, whose tokens a task remembers, twice over; a speed-up
+# that no result depends on.
+REMEMBERED = 150_000
 
-# Letters whose chunks are held at once.
+# Bytes whose chunks are held at once.
 AT_ONCE = 1_000_000
 
 # A word of Latin letters, each of which is stable under NFC and lowered to one
@@ -37,9 +38,15 @@ AT_ONCE = 1_000_000
 # tokenizer itself.
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]{1,40})([.,!*$&%#?;:]{0,12})")
 
+# Lowers A-Z and turns newlines into blanks.
+_LOWERED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
+# Where these occur, letters are not lowered ahead of the tokenizer: lead bytes of
+# combining marks, which NFC joins to some small letters only, and special tokens.
+_AS_THEY_ARE = (b"\xcc", b"\xcd", b"<|")
 
-def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[str]], list[bytes]]:
-    """Texts to their ids, as little-endian 32-bit integers, with the end mark.
+
+def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[bytes]], list[bytes]]:
+    """UTF-8 texts to their ids, as little-endian 32-bit integers, with the end mark.
 
     For lower-casing byte-level tokenizers with word ends that drop white space and
     never join what it separates: each blank-separated chunk is then encoded on its
@@ -50,27 +57,39 @@ def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[str]], lis
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
     merges = WordMerges(tokenizer_json)
-    known: dict[str, bytes] = {}
+    known, words = _Generations(), _Generations()
     end = np.array([end_id], "<u4").tobytes()
 
-    def learn(chunks: list[str]) -> None:
-        plain = {c: m.groups() for c in chunks if (m := _PLAIN.fullmatch(c))}
-        parts = list({x.lower() for pair in plain.values() for x in pair})
-        ids = dict(zip(parts, merges.encode([x.encode() for x in parts])))
-        for chunk, (word, marks) in plain.items():
-            known[chunk] = ids[word.lower()] + ids[marks]
-        rest = [c for c in chunks if c not in plain]
-        for chunk, found in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[chunk] = np.array(found.ids, "<u4").tobytes()
-
-    def encode_some(texts: list[str]) -> list[bytes]:
-        if len(known) > REMEMBERED:
-            known.clear()
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        learn(list({c for chunks in split for c in chunks if c not in known}))
-        return [b"".join([known[c] for c in chunks]) + end for chunks in split]
-
-    def encode(texts: list[str]) -> list[bytes]:
+    def learn(chunks: list[bytes]) -> None:
+        plain, rest = [], []
+        for chunk in chunks:
+            found = _PLAIN.fullmatch(text := chunk.decode())
+            if found:
+                word, marks = found.groups()
+                plain.append((chunk, word.lower().encode(), marks.encode()))
+            else:
+                rest.append((chunk, text))
+        parts = {word for _, word, _ in plain}
+        parts.update(marks for _, _, marks in plain)
+        new = list(words.without(parts))
+        words.young.update(zip(new, merges.encode(new)))
+        ids = words.young
+        known.young.update((chunk, ids[word] + ids[marks]) for chunk, word, marks in plain)
+        encoded = tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
+        known.young.update((chunk, np.array(e.ids, "<u4").tobytes()) for (chunk, _), e in zip(rest, encoded))
+
+    def encode_some(texts: list[bytes]) -> list[bytes]:
+        split, chunks = [], set()
+        for text in texts:
+            odd = any(x in text for x in _AS_THEY_ARE)
+            found = (text.replace(b"\n", b" ") if odd else text.translate(_LOWERED)).split(b" ")
+            split.append(found)
+            chunks.update(found)
+        learn(list(known.without(chunks)))
+        ids = known.young
+        return [b"".join([*map(ids.__getitem__, chunks), end]) for chunks in split]
+
+    def encode(texts: list[bytes]) -> list[bytes]:
         out, some, size = [], [], 0
         for text in texts:
             some.append(text)
@@ -83,6 +102,24 @@ def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[str]], lis
     return encode
 
 
+class _Generations:
+    """A memory of two generations: what the young one asks for is taken over from the old
+    one, which goes when the young one is full."""
+
+    def __init__(self):
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def without(self, keys: set[bytes]) -> set[bytes]:
+        """The keys that neither knows; all others are in the young one afterwards."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        missing = keys.difference(self.young)
+        back = missing.intersection(self.old)
+        self.young.update((k, self.old[k]) for k in back)
+        return missing - back
+
+
 def piece_lengths(tokens: int, longest: int) -> list[int]:
     rest = tokens % longest
     binary = [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
@@ -99,7 +136,8 @@ def pack_binary(
     longest: int = 4096,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit
-    integers), doc_tokens, sequence_id, offset. ``length`` is also the bucket.
+    integers), doc_tokens, sequence_id, offset. ``length`` is also the bucket;
+    pieces that are made together come bucket by bucket.
 
     A single pass without a shuffle. ``longest`` must be a power of two.
     """
@@ -121,10 +159,15 @@ def pack_binary(
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a file of fixed size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with without_cycle_search():
+            yield from cut_all(batches)
+
+    def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = chunk_encoder(shared.value, end_id)
         for batch in batches:
             parents, starts, lengths, ids, totals = [], [], [], [], []
-            for row, encoded in enumerate(encode(batch.column(1).to_pylist())):
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for row, encoded in enumerate(encode(texts)):
                 total = len(encoded) // 4
                 at = 0
                 for n in piece_lengths(total, longest):
@@ -134,13 +177,15 @@ def pack_binary(
                     ids.append(encoded[4 * at : 4 * (at + n)])
                     totals.append(total)
                     at += n
+            order = np.argsort(np.array(lengths, np.int64), kind="stable")[::-1]
+            take = lambda values: [values[i] for i in order.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(parents, pa.int64())),
-                    pa.array(starts, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array(totals, pa.int64()),
+                    batch.column(0).take(pa.array(take(parents), pa.int64())),
+                    pa.array(take(starts), pa.int64()),
+                    pa.array(take(lengths), pa.int64()),
+                    pa.array(take(ids), pa.binary()),
+                    pa.array(take(totals), pa.int64()),
                 ],
                 names=["doc_id", "start", "length", "ids", "doc_tokens"],
             )
@@ -151,3 +196,14 @@ def pack_binary(
         F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("bigint").alias("offset"),
     )
+
+
+def write_buckets(pieces: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The pieces as Parquet in one folder for each length, ``length=...``, from which
+    training reads sequences of one shape. No shuffle: every task writes to all folders."""
+    pieces.write.mode(mode).partitionBy("length").parquet(path)
+
+
+def read_bucket(spark: SparkSession, path: str, length: int) -> DataFrame:
+    """The sequences of one length; other folders are not opened."""
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/length={length}")

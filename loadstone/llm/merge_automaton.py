@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadstone.llm.merges import byte_letters
-from loadstone.llm.tables import bounded_batches, column
+from loadstone.llm.tables import bounded_batches, column, without_cycle_search
 
 # Fixed value: how byte-level tokenizers cut text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -282,10 +282,11 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, *, doc_id: str = "doc
     shared = docs.sparkSession.sparkContext.broadcast(compile_merges(tokenizer_json))  # as large as the file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
-        for batch in batches:
-            ids = [encoder.encode(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        with without_cycle_search():
+            encoder = Encoder(shared.value)
+            for batch in batches:
+                ids = [encoder.encode(x) for x in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return given.mapInArrow(run, schema)
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +74,16 @@ def bounded_batches(spark: SparkSession) -> None:
     set_to = spark.conf.get(_BATCH, None)
     if set_to is None or set_to.lower().rstrip("b") in ("-1", "2147483647", "9223372036854775807"):
         spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
+@contextmanager
+def without_cycle_search() -> Iterator[None]:
+    """No search for reference cycles while a task fills large dictionaries: these have
+    none, and walking them again and again takes a third of such a task's time."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
