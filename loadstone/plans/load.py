@@ -38,9 +38,11 @@ from loadstone.sinks.orc import (
     with_writers,
     writers_for,
 )
+from loadstone.sinks.publish import recover_parts, recover_table
 from loadstone.sinks.tables import (
     DEFAULT_LIFETIME_MS,
     TableName,
+    adopt_table,
     check_mode,
     existing_schema,
     guard_destination,
@@ -124,6 +126,7 @@ def load(
     mode: str = "error",
     external: bool = False,
     lifetime_ms: int = DEFAULT_LIFETIME_MS,
+    adopt: bool = False,
     partitions: int | None = None,
     part_mb: float = DEFAULT_PART_MB,
     catalog: str | None = None,
@@ -133,14 +136,16 @@ def load(
 
     ``path`` is the staging folder of the ORC parts. With ``external`` the table
     is registered over it; otherwise the parts are loaded into the native
-    ``table`` once all of them are written and the error limit holds. Without a
+    ``table`` once all of them are written and the error limit holds: they are
+    copied, or moved with ``adopt``, which leaves the folder empty. Without a
     ``path`` the native table is written directly. Without a ``table`` the parts
     are the result.
 
     A limit of 0 or 1 fails in the task that meets the first bad value. A higher
     limit drops bad rows, counts them over the whole job, and publishes nothing
     when they reach it; ``quarantine`` names a folder that then receives them.
-    Whatever fails, what was there before the load is still there after it.
+    Whatever fails, what was there before the load is still there after it; what a lost
+    driver left half done, the next load of the same table or path finishes or undoes.
     """
     check_mode(mode)
     delimiter = delimiter_char(delimiter)
@@ -151,7 +156,13 @@ def load(
     strict = error_limit <= 1
     if strict and quarantine:
         raise ValueError("a load that fails at its first bad row has none to quarantine")
+    if adopt and (external or table is None or path is None):
+        raise ValueError("parts are adopted from a path by a native table")
     name = resolve_table(table, database, catalog) if table else None
+    if name:
+        recover_table(spark, name)
+    if path:
+        recover_parts(spark, path)
     lines = sources if isinstance(sources, DataFrame) else scan_lines(spark, sources)
 
     # A sample of files goes by the order of the sources; of a DataFrame, by its own.
@@ -200,7 +211,9 @@ def load(
         if message is None:
             raise
         raise LoadError(message) from e
-    if name and path and not external:
+    if adopt:
+        adopt_table(spark, path, struct_type(fields), name, mode, cap)
+    elif name and path and not external:
         parts = _with_comments(spark.read.schema(struct_type(fields)).orc(path), fields)
         publish_table(parts, name, mode, cap)
     if external:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from loadstone.fields import quoted
+from loadstone.names import TableName, resolve_table, sql_text, table_exists
 from loadstone.session import session_settings
+from loadstone.sinks import publish
 from loadstone.sinks.orc import ORC_OPTIONS, orc_writer, write_orc
-from loadstone.storage import delete_files, delete_tree, is_empty, move_files, qualified
+from loadstone.storage import delete_files, delete_tree, is_empty, qualified
+
+__all__ = ["TableName", "resolve_table"]
 
 MODES = ("error", "append", "replace")
 
@@ -25,39 +27,6 @@ class DestinationError(RuntimeError):
     """A destination that already holds something."""
 
 
-@dataclass(frozen=True)
-class TableName:
-    catalog: str | None
-    database: str | None
-    table: str
-
-    def __str__(self) -> str:
-        parts = [p for p in (self.catalog, self.database, self.table) if p]
-        return ".".join(quoted(p) for p in parts)
-
-
-def resolve_table(spec: str, database: str | None = None, catalog: str | None = None) -> TableName:
-    """``[catalog:][database.]table``, also ``catalog.database.table``, with defaults.
-
-    The default database may itself be given as ``catalog:database``.
-    """
-    if database and ":" in database:
-        catalog, _, database = database.partition(":")
-    head, colon, rest = spec.rpartition(":")
-    parts = rest.split(".")
-    if colon:
-        if not head or len(parts) != 2:
-            raise ValueError(f"{spec!r}: a table with a catalog needs a database too")
-        return TableName(head, *parts)
-    if not all(parts) or len(parts) > 3:
-        raise ValueError(f"{spec!r} is not [catalog:][database.]table")
-    if len(parts) == 3:
-        return TableName(*parts)
-    if len(parts) == 2:
-        return TableName(catalog, *parts)
-    return TableName(catalog if database else None, database, parts[0])
-
-
 def existing_schema(spark: SparkSession, name: TableName | None) -> T.StructType | None:
     if name is None or not spark.catalog.tableExists(str(name)):
         return None
@@ -87,8 +56,8 @@ def stage_parts(
 ) -> None:
     """Write ORC parts under ``path``; ``check`` may still refuse them.
 
-    Parts are written to a folder beside the old ones, under a name that readers
-    skip. They move in, and those that they replace are deleted, when all is well.
+    Parts that replace or join others are written to a folder beside them first, under a
+    name that readers skip, and take their place by a journal when all is well.
     """
     spark = df.sparkSession
     if is_empty(spark, path):
@@ -99,15 +68,15 @@ def stage_parts(
             delete_files(spark, path)
             raise
         return
-    fresh = f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    fresh = publish.fresh_folder(path)
     try:
         write_orc(df, fresh, "append", rows_per_part)
         check()
-        if mode == "replace":
-            delete_files(spark, path, keep_folders=True)
-        move_files(spark, fresh, path)
-    finally:
+    except BaseException:
         delete_tree(spark, fresh)
+        raise
+    publish.step("parts written")
+    (publish.replace_files if mode == "replace" else publish.add_files)(spark, fresh, path)
 
 
 def guard_destination(
@@ -152,16 +121,18 @@ def register_external(
     A lifetime above 0 is kept as the property ``expires_at`` (epoch
     milliseconds); dropping expired tables is up to the catalog's owner.
     """
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    if spark.catalog.tableExists(str(name)):
+    there = table_exists(spark, name)
+    if there and not replace:
         spark.catalog.refreshTable(str(name))
         return
-    options = "path '{}'".format(path.replace("\\", "\\\\").replace("'", "\\'"))
+    created = publish.fresh_name(name) if there else name
     properties = ""
     if lifetime_ms > 0:
         properties = f" TBLPROPERTIES ('expires_at' = '{int(time.time() * 1000) + lifetime_ms}')"
-    spark.sql(f"CREATE TABLE {name} USING orc OPTIONS ({options}){properties}")
+    spark.sql(f"CREATE TABLE {created} USING orc OPTIONS (path {sql_text(path)}){properties}")
+    if there:
+        publish.step("external table made")
+        publish.swap_in(spark, created, name)
 
 
 def publish_table(
@@ -176,39 +147,58 @@ def publish_table(
 
     A new or replaced table is written under another name beside it, and takes its
     place when it is complete: until then the old one stays. Rows to append are
-    committed by the job that writes them if that job itself fails for a bad row,
-    and are written to a table of their own first if it does not.
+    committed by the job that writes them if that job itself fails for a bad row;
+    if it does not, they are written to a table of their own first, whose files the
+    old one then takes over.
     """
     spark = df.sparkSession
-    if mode == "append" and spark.catalog.tableExists(str(name)):
+    if mode == "append" and table_exists(spark, name):
         columns = spark.table(str(name)).columns
         check_columns(df.columns, columns, name)
         if checked_by_job:
             _append(df, name, columns, rows_per_part)
             check()
             return
-        fresh = _write_beside(df, name, rows_per_part, check)
-        try:
-            _append(spark.table(str(fresh)), name, columns, rows_per_part)
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        _add_table(spark, _write_beside(df, name, rows_per_part, check), name, rows_per_part)
         return
     fresh = _write_beside(df, name, rows_per_part, check)
-    if mode == "replace":
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    # A new name lies in the catalog of the old one.
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {replace(name, catalog=None)}")
+    publish.step("table written")
+    publish.swap_in(spark, fresh, name)
+
+
+def adopt_table(
+    spark: SparkSession, path: str, schema: T.StructType, name: TableName, mode: str, rows_per_part: int | None = None
+) -> None:
+    """The staged ORC parts under ``path`` become, or join, the native table: they are
+    moved to its folder. Between file systems they are copied by a job."""
+    fresh = publish.fresh_name(name)
+    if mode == "append" and table_exists(spark, name):
+        check_columns(schema.names, spark.table(str(name)).columns, name)
+    if not publish.adopt_parts(spark, path, schema, fresh, ORC_OPTIONS):
+        publish_table(spark.read.schema(schema).orc(path), name, mode, rows_per_part)
+    elif mode == "append" and table_exists(spark, name):
+        _add_table(spark, fresh, name, rows_per_part)
+    else:
+        publish.swap_in(spark, fresh, name)
+
+
+def _add_table(spark: SparkSession, fresh: TableName, name: TableName, rows_per_part: int | None) -> None:
+    """The rows of ``fresh`` join those of ``name``, as files if they fit."""
+    publish.step("table written")
+    if not publish.append_table(spark, fresh, name):
+        _append(spark.table(str(fresh)), name, spark.table(str(name)).columns, rows_per_part)
+    publish.drop_table(spark, fresh)
 
 
 def _write_beside(
     df: DataFrame, name: TableName, rows_per_part: int | None, check: Callable[[], None]
 ) -> TableName:
-    fresh = replace(name, table=f"{name.table}_new_{uuid.uuid4().hex[:12]}")
+    fresh = publish.fresh_name(name)
     try:
         orc_writer(df, "errorifexists", rows_per_part).saveAsTable(str(fresh))
         check()
     except BaseException:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {fresh}")
+        publish.drop_table(df.sparkSession, fresh)
         raise
     return fresh
 

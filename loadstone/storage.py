@@ -54,9 +54,11 @@ def delete_files(spark: SparkSession, path: str, keep_folders: bool = False) ->
 
 
 def move_files(spark: SparkSession, source: str, target: str) -> None:
-    """Move the files directly under ``source`` to the folder ``target``."""
+    """Move the files directly under ``source``, if it is there, to the folder ``target``."""
     fs, jpath = _path(spark, source)
     into = _path(spark, target)[1]
+    if not fs.exists(jpath):
+        return
     for status in list(_children(fs, jpath)):
         name = status.getPath().getName()
         moved = spark._jvm.org.apache.hadoop.fs.Path(into, name)
@@ -64,6 +66,53 @@ def move_files(spark: SparkSession, source: str, target: str) -> None:
             raise OSError(f"cannot move {name} to {target}")
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``, without hidden ones."""
+    fs, jpath = _path(spark, path)
+    return [s.getPath().getName() for s in _children(fs, jpath) if s.isFile() and not s.getPath().getName().startswith(("_loadstone", "._"))]
+
+
+def hidden_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path`` that readers skip; none if there is no such folder."""
+    fs, jpath = _path(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(jpath, "[_.]*")) if fs.exists(jpath) else None
+    return [s.getPath().getName() for s in found or []]
+
+
+def delete_named(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Delete these files under ``path``, as far as they are there."""
+    fs, jpath = _path(spark, path)
+    for name in names:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(jpath, name), False)
+
+
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, jpath = _path(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(jpath.getParent(), f".{jpath.getName()}")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, jpath):
+        raise OSError(f"cannot write {path}")
+
+
+def read_whole(spark: SparkSession, path: str) -> str:
+    fs, jpath = _path(spark, path)
+    given = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(given, "UTF-8")
+    finally:
+        given.close()
+
+
+def file_system(spark: SparkSession, path: str) -> str:
+    """The file system that a path lies in; files are moved within one only."""
+    return _path(spark, path)[0].getUri().toString()
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, jpath = _path(spark, path)
     fs.delete(jpath, True)

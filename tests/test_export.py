@@ -148,7 +148,10 @@ def test_orc(spark, numbers, tmp_path):
 
 def test_table_by_name(spark, numbers, tmp_path):
     numbers.createOrReplaceTempView("numbers")
-    assert export(spark, "numbers", str(tmp_path / "out"), where="id < 10").rows == 10
+    try:
+        assert export(spark, "numbers", str(tmp_path / "out"), where="id < 10").rows == 10
+    finally:
+        spark.catalog.dropTempView("numbers")
 
 
 def test_formats_decode_back(spark):

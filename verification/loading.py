@@ -1,6 +1,7 @@
 """Schemas of a load, bad rows, and the sinks of the load job."""
 
 import time
+from unittest import mock
 
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from loadstone.operators.quality import (
 )
 from loadstone.operators.schema import column_comment, parse_spec, template_fields
 from loadstone.plans.load import load, resolve_fields
+from loadstone.sinks import publish
 from loadstone.sinks.orc import measure_rows, write_orc
 from loadstone.sinks.tables import DestinationError, resolve_table
 from loadstone.sources.delimited import scan_lines
@@ -375,10 +377,60 @@ def native(spark, sf_dir):
     except LoadError:
         if spark.catalog.tableExists(name):
             raise
-    load(spark, source, name, path=path, error_limit=2**62, **options)
+    load(spark, source, name, path=path, error_limit=2**62, adopt=True, **options)
     return spark.table(name)
 
 
+class _Lost(BaseException):
+    """The end of a driver."""
+
+
+# The step before the one that decides, and that one; tests/test_publish.py has them all.
+_PUBLISHES = {"replace": (1, 2), "retyped": (1, 2), "append": (0, 1)}
+
+
+@query(
+    "publish_recovery",
+    """SELECT kind, CAST(step AS BIGINT) AS step, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+    FROM (VALUES ('replace', 1, false), ('replace', 2, true), ('retyped', 1, false), ('retyped', 2, true),
+      ('append', 0, false), ('append', 1, true)) k(kind, step, decided), orders
+    WHERE CASE WHEN NOT decided THEN o_orderkey % 2 = 0 WHEN kind = 'append' THEN true ELSE o_orderkey % 2 = 1 END
+    GROUP BY kind, step""",
+)
+def publish_recovery(spark, sf_dir):
+    """What a table holds after a load whose driver is lost between two steps of its publish,
+    and a recovery: all of the old state or all of the new one."""
+    database, result = scratch_database(spark), None
+    orders = text_columns("orders")
+    even, odd = (
+        table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == n).select(F.concat_ws("þ", *orders.values()).alias("value"))
+        for n in (0, 1)
+    )
+    for kind, steps in _PUBLISHES.items():
+        for n in steps:
+            name, reached = f"{database}.{kind}_{n}", []
+            load(spark, even, name, schema=ORDERS_SPEC)
+
+            def step(done, reached=reached, n=n):
+                reached.append(done)
+                if len(reached) == n + 1:
+                    raise _Lost
+
+            how = {"mode": "replace", "autodetect": kind == "retyped"}
+            if kind == "append":
+                how = {"mode": "append", "error_limit": 2}
+            with mock.patch.object(publish, "step", step):
+                try:
+                    load(spark, odd, name, schema=ORDERS_SPEC, **how)
+                except _Lost:
+                    pass
+            publish.recover_table(spark, resolve_table(name))
+            rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))
+            rows = rows.select(F.lit(kind).alias("kind"), F.lit(n).cast("bigint").alias("step"), "rows", "keys")
+            result = rows if result is None else result.unionByName(rows)
+    return result
+
+
 @query(
     "load_autodetect",
     f"""SELECT 'lineitem' AS source, CAST(l_orderkey AS VARCHAR) || ' ' || l_linenumber AS id,
