@@ -223,13 +223,18 @@ def near_duplicates(
     filled = written(
         members.join(heads.where("leader != most"), "band").select("band", "leader", "rep"), "buckets"
     )
-    wanted = written(filled.select(F.col("rep").alias("doc")).distinct(), "bucket-ids")
+    again = usable.groupBy(F.col("doc_id").alias("doc")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wanted = filled.select(F.col("rep").alias("doc")).distinct()
+    wanted = written(wanted.join(again, "doc", "left").select("doc", F.col("n").isNotNull().alias("again")), "bucket-ids")
     texts = written(
         docs.select(column(docs, doc_id).cast("bigint").alias("doc"), column(docs, text).alias("text")).join(
-            small_side(wanted), "doc", "left_semi"
+            small_side(wanted), "doc"
         ),
         "bucket-texts",
     )
+    # An id on many rows brings each of its texts once.
+    once = texts.where("again").withColumn("digest", F.md5("text")).dropDuplicates(["doc", "digest"])
+    texts = texts.where("NOT again").select("doc", "text").union(once.select("doc", "text"))
 
     pairs = filled.where("rep != leader").select("leader", "rep").distinct()
     parts = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))

@@ -254,7 +254,8 @@ def _forests(classes: DataFrame, threshold: float, trees: int) -> dict[int, list
     sample = few.select("embedding").toArrow().column(0).combine_chunks()
     lengths = sample.value_lengths().to_numpy(zero_copy_only=False) if len(sample) else np.zeros(0, int)
     sizes = classes.groupBy(F.size("embedding").alias("width"), "label").count()
-    largest = {r[0]: r[1] for r in sizes.groupBy("width").agg(F.max("count")).limit(FORESTS).collect()}
+    most = sizes.groupBy("width").agg(F.max("count").alias("most")).orderBy(F.desc("most"), "width")
+    largest = {r[0]: r[1] for r in most.limit(FORESTS).collect()}
     forests = {}
     for width, most in largest.items():
         at = np.flatnonzero(lengths == width)
