@@ -9,20 +9,25 @@ once, so no shuffle may follow them.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
 from py4j.protocol import Py4JError
+from pyspark import InheritableThread
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.fields import STRING, FieldSpec
+from loadstone.fields import STRING, FieldSpec, quoted
 from loadstone.functions.decode import decode
 from loadstone.sources.delimited import (
+    BLOCK_BYTES,
     DEFAULT_DELIMITER,
     LINE,
+    PLACE,
     field_array,
     field_text,
     split_fields,
@@ -30,6 +35,7 @@ from loadstone.sources.delimited import (
 
 _FAILED = "undecodable column "
 BAD, SURPLUS, CUT = "__bad", "__surplus", "__cut"
+REJECTED = "__rejected"
 
 
 class LoadError(RuntimeError):
@@ -85,8 +91,10 @@ def _marked(
 def _counted(marked: DataFrame, observation: Observation | None) -> DataFrame:
     """Observe the counts, of rows that lose text too. This also keeps a filter on the bad mark above the
     decoding: pushed below, it would split the line and decode for each use."""
+    places = [F.max(BLOCK_BYTES).alias("split_bytes")] if BLOCK_BYTES in marked.columns else []
     return marked.observe(
         observation or Observation(),
+        *places,
         F.count(F.lit(1)).alias("rows"),
         F.count(F.col(BAD)).alias("bad"),
         F.count_if(F.col(SURPLUS)).alias("surplus"),
@@ -152,17 +160,65 @@ def observed(observation: Observation) -> dict[str, int] | None:
 def bad_rows(
     lines: DataFrame, fields: Sequence[FieldSpec], delimiter: str = DEFAULT_DELIMITER
 ) -> DataFrame:
-    """The rows that do not decode, with their first bad column."""
-    marked = _marked(lines, fields, delimiter, LINE).select(LINE, SURPLUS, CUT, BAD)
+    """The rows that do not decode, with their first bad column, and their places if the
+    lines have them."""
+    places = [c for c in PLACE if c in lines.columns]
+    marked = _marked(lines, fields, delimiter, LINE, *places).select(LINE, *places, SURPLUS, CUT, BAD)
+    return _counted(marked, None).where(F.col(BAD).isNotNull()).select(*_report(fields, delimiter), *places)
+
+
+def _report(fields: Sequence[FieldSpec], delimiter: str) -> list[Column]:
+    """What is told about a bad row."""
     value = _bad_text(delimiter)
-    return _counted(marked, None).where(F.col(BAD).isNotNull()).select(
+    return [
         F.col(LINE).alias("line"),
         F.col(BAD).alias("col_idx"),
         _of_column([s.name for s in fields]).alias("col_name"),
         _of_column([s.describe() for s in fields]).alias("type"),
         F.length(value).alias("len"),
         value.alias("value"),
-    )
+    ]
+
+
+def split_rows(
+    lines: DataFrame,
+    fields: Sequence[FieldSpec],
+    delimiter: str = DEFAULT_DELIMITER,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Good rows and bad ones, told apart by ``REJECTED``, for a write that is partitioned by
+    it: both outputs come from one pass.
+
+    Files hold the columns of the table and no others. A bad row, whose files never become
+    the table's, has its report as JSON in the first string column, see :func:`carrier`.
+    """
+    places = [c for c in PLACE if c in lines.columns]
+    counted = _counted(_marked(lines, fields, delimiter, LINE, *places), observation)
+    bad = F.col(BAD).isNotNull()
+    report = F.to_json(F.struct(*_report(fields, delimiter), *places))
+    at = carrier(fields)
+    values = [
+        F.when(bad, report).otherwise(F.col(f"v{i}")) if i == at else F.when(~bad, F.col(f"v{i}"))
+        for i in range(len(fields))
+    ]
+    named = [
+        v.alias(s.name, metadata={"comment": s.comment} if s.comment else {}) for v, s in zip(values, fields)
+    ]
+    return counted.select(*named, bad.alias(REJECTED))
+
+
+def carrier(fields: Sequence[FieldSpec]) -> int | None:
+    """The column that reports of bad rows travel in; None if no column is a string."""
+    return next((i for i, s in enumerate(fields) if s.kind == STRING), None)
+
+
+def reports(rejected: DataFrame, fields: Sequence[FieldSpec], places: bool) -> DataFrame:
+    """The reports in the files of bad rows, as :func:`bad_rows` gives them."""
+    kind = "line string, col_idx int, col_name string, type string, len int, value string"
+    if places:
+        kind += f", {PLACE[0]} string, " + ", ".join(f"{c} bigint" for c in PLACE[1:])
+    report = F.from_json(F.col(quoted(fields[carrier(fields)].name)), kind)
+    return rejected.select(report.alias("report")).select("report.*")
 
 
 def count_rows(
@@ -188,6 +244,57 @@ def enforce_limit(bad: int, limit: int) -> None:
         raise LoadError(f"{bad} rows are bad; the load allows fewer than {max(limit, 1)}")
 
 
+class LimitWatch:
+    """Ends a running job when the bad rows of its finished tasks reach the limit.
+
+    The counts are those of the observed metric, which a task adds to when it ends, once;
+    so what stops the job is never more than what it would have counted in the end.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, limit: int, every: float = 0.2):
+        self.spark, self.name, self.limit, self.every = spark, name, limit, every
+        self.tag, self.bad = f"loadstone-{uuid.uuid4().hex}", 0
+        self._over = threading.Event()
+
+    def __enter__(self) -> LimitWatch:
+        jvm = self.spark._jvm
+        self._executions = jvm.org.apache.spark.sql.execution.SQLExecution
+        self._store = self.spark._jsparkSession.sharedState().statusStore()
+        self.spark.sparkContext.addJobTag(self.tag)
+        self._thread = InheritableThread(target=self._watch, daemon=True)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._over.set()
+        self._thread.join()
+        self.spark.sparkContext.removeJobTag(self.tag)
+
+    @property
+    def stopped(self) -> bool:
+        return reaches_limit(self.bad, self.limit)
+
+    def _watch(self) -> None:
+        while not self._over.wait(self.every):
+            self.bad = max(self.bad, self._so_far())
+            if self.stopped:
+                self.spark.sparkContext.cancelJobsWithTag(self.tag)
+                return
+
+    def _so_far(self) -> int:
+        """Bad rows of the finished tasks of the running job."""
+        listed = self._store.executionsList()
+        for i in range(listed.size() - 1, max(-1, listed.size() - 50), -1):
+            run = self._executions.getQueryExecution(listed.apply(i).executionId())
+            if run is not None:
+                counts = run.observedMetrics()
+                if counts.contains(self.name):
+                    row = counts.apply(self.name)
+                    at = row.fieldIndex("bad")
+                    return 0 if row.isNullAt(at) else row.getLong(at)
+        return 0
+
+
 def failed_value(error: BaseException) -> str | None:
     """The message of the bad value that failed a strict job, if that is what failed it."""
     if not isinstance(error, (PySparkException, Py4JError)):

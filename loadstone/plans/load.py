@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,13 +14,17 @@ from pyspark.sql import functions as F
 from loadstone.fields import FieldSpec, quoted, struct_type
 from loadstone.operators.inference import DEFAULT_ZONE, infer_fields
 from loadstone.operators.quality import (
+    LimitWatch,
     LoadError,
     bad_rows,
+    carrier,
     count_rows,
     enforce_limit,
     failed_value,
     good_rows,
     observed,
+    reports,
+    split_rows,
     strict_rows,
 )
 from loadstone.operators.schema import (
@@ -30,10 +35,11 @@ from loadstone.operators.schema import (
     schema_provider,
     template_fields,
 )
-from loadstone.session import compiled_methods
+from loadstone.session import compiled_methods, session_settings
 from loadstone.sinks.orc import (
     DEFAULT_PART_MB,
     measure_rows,
+    part_splits,
     rows_per_part,
     with_writers,
     writers_for,
@@ -47,21 +53,29 @@ from loadstone.sinks.tables import (
     existing_schema,
     guard_destination,
     guard_staging,
+    publish_split,
     publish_table,
     register_external,
     resolve_table,
+    split_folder,
     stage_parts,
+    stage_split,
 )
 from loadstone.sources.delimited import (
     DEFAULT_DELIMITER,
     delimiter_char,
+    even_split_bytes,
     is_splittable,
+    max_split_bytes,
+    numbered,
+    one_split_each,
+    placed_lines,
     sample_lines,
     sample_sources,
     scan_lines,
     source_paths,
 )
-from loadstone.storage import MEGABYTE, scratch_dir, total_bytes
+from loadstone.storage import MEGABYTE, delete_tree, scratch_dir, total_bytes
 
 log = logging.getLogger(__name__)
 
@@ -189,24 +203,43 @@ def load(
     if path:
         guard_staging(spark, path, mode, shared=external)
 
-    lines, cap = _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb)
-    observation = Observation()
-    rows = (strict_rows if strict else good_rows)(lines, fields, delimiter, observation)
+    if quarantine and lines is not sources:
+        lines = placed_lines(lines)
+    layout = _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb, bool(quarantine))
+    lines, cap = layout.lines, layout.rows_per_part
+    # Its name tells the observation of this job from others.
+    observation = Observation(f"load-{uuid.uuid4().hex}")
+    one_pass = quarantine is not None and carrier(fields) is not None
+    make = strict_rows if strict else split_rows if one_pass else good_rows
+    rows = make(lines, fields, delimiter, observation)
     counts: dict[str, int] = {}
+    watch = LimitWatch(spark, observation._name, error_limit)
 
-    def check() -> None:
+    def check(folder: str | None = None) -> None:
         """Called when all rows are written and none of them shows yet."""
         counts.update(observed(observation) or count_rows(lines, fields, delimiter).first().asDict())
+        if counts["bad"] and not strict:
+            log.error("%d bad rows", counts["bad"])
+            if quarantine:
+                found = spark.read.schema(struct_type(fields)).orc(split_folder(folder, True)) if folder else None
+                bad = bad_rows(lines, fields, delimiter) if found is None else reports(found, fields, layout.placed)
+                _quarantine(bad, quarantine, layout.placed, counts.get("split_bytes"))
         if not strict:
-            _check(counts["bad"], error_limit, lines, fields, delimiter, quarantine)
+            enforce_limit(counts["bad"], error_limit)
 
     try:
-        with compiled_methods(spark):
-            if path:
+        with compiled_methods(spark), session_settings(spark, layout.settings), _watched(watch, strict):
+            if one_pass and path:
+                stage_split(rows, path, mode, cap, check)
+            elif one_pass:
+                publish_split(rows, struct_type(fields), name, mode, cap, check)
+            elif path:
                 stage_parts(rows, path, mode, cap, check)
             else:
                 publish_table(rows, name, mode, cap, check, checked_by_job=strict)
     except Exception as e:
+        if watch.stopped and not isinstance(e, LoadError) and not counts:
+            enforce_limit(watch.bad, error_limit)
         message = failed_value(e)
         if message is None:
             raise
@@ -228,37 +261,80 @@ def load(
     )
 
 
-def _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb):
-    """The lines in writer tasks, and the most rows a part may hold."""
-    if isinstance(sources, DataFrame):
-        splits = size = None
-    else:
-        splits = lines.rdd.getNumPartitions()
-        size = total_bytes(spark, source_paths(sources)) if is_splittable(lines) else None
-    if size is not None and size <= part_mb * MEGABYTE:
-        # All of it fits into one part: nothing to cap or to merge.
-        return with_writers(lines, partitions, splits), None
+@dataclass(frozen=True)
+class _Layout:
+    """How the lines are dealt to writers: the lines, the most rows of a part if parts are not
+    sized by splits, the settings of their scan, and whether the lines have their places."""
+
+    lines: DataFrame
+    rows_per_part: int | None = None
+    settings: dict = field(default_factory=dict)
+    placed: bool = False
+
+
+def _layout(spark, sources, lines, fields, delimiter, path, partitions, part_mb, quarantined) -> _Layout:
+    placed = quarantined and not isinstance(sources, DataFrame)
+    settings, files, size = {}, None, None
+    if not isinstance(sources, DataFrame) and is_splittable(lines):
+        size = total_bytes(spark, source_paths(sources))
+        if size > part_mb * MEGABYTE:
+            files = lines.inputFiles()
+    if placed:
+        cores = spark.sparkContext.defaultParallelism
+        settings = one_split_each(spark, even_split_bytes(spark, size, cores) if size else None)
+    if size is not None and files is None:
+        # All of it fits into one part: nothing to cap. Small files are many splits, if each
+        # is a partition of its own.
+        splits = _splits(lines, settings)
+        if placed and partitions is None:
+            partitions = min(splits, cores)
+        return _Layout(with_writers(lines, partitions, splits), None, settings, placed)
     # The probe goes below the staging folder under a name that readers skip.
     probe = f"{path.rstrip('/')}/_probe-{uuid.uuid4().hex}" if path else scratch_dir(spark)
-    per_row = measure_rows(lines, fields, probe, delimiter)
+    per_row = measure_rows(lines, fields, probe, delimiter, files)
     if per_row is None:
-        return with_writers(lines, partitions, splits), None
+        return _Layout(lines if partitions is None else with_writers(lines, partitions), None, settings, placed)
     orc_bytes, text_bytes = per_row
-    if partitions is None and size is not None:
+    if files is None:
+        splits = None if isinstance(sources, DataFrame) else _splits(lines, settings)
+        return _Layout(with_writers(lines, partitions, splits), rows_per_part(orc_bytes, part_mb), settings, placed)
+    # Parts are sized by the bytes that each writer reads, wherever in the input they lie.
+    ratio = orc_bytes / text_bytes
+    split_bytes, _ = part_splits(ratio, part_mb, max_split_bytes(spark))
+    settings = {**settings, "spark.sql.files.maxPartitionBytes": split_bytes}
+    splits = _splits(lines, settings)
+    if partitions is None:
         # Never more than there are splits: that would be a shuffle nobody asked for.
-        partitions = min(splits, writers_for(spark, size, orc_bytes / text_bytes, part_mb))
-    return with_writers(lines, partitions, splits), rows_per_part(orc_bytes, part_mb)
+        partitions = min(splits, writers_for(spark, size, ratio, part_mb))
+    return _Layout(with_writers(lines, partitions, splits), None, settings, placed)
 
 
-def _check(bad, limit, lines, fields, delimiter, quarantine):
-    """Quarantine what is bad, in a second pass made only if there is any, then
-    hold the count against the limit."""
-    if bad:
-        log.error("%d bad rows", bad)
-        if quarantine:
-            with compiled_methods(lines.sparkSession):
-                bad_rows(lines, fields, delimiter).write.mode("append").json(quarantine)
-    enforce_limit(bad, limit)
+def _splits(lines: DataFrame, settings: dict) -> int:
+    with session_settings(lines.sparkSession, settings):
+        # A new plan: splits are cut by the settings at hand.
+        return lines.select("value").rdd.getNumPartitions()
+
+
+@contextmanager
+def _watched(watch: LimitWatch, strict: bool) -> Iterator[None]:
+    """A strict job ends itself."""
+    with nullcontext() if strict else watch:
+        yield
+
+
+def _quarantine(bad: DataFrame, folder: str, placed: bool, split_bytes: int | None) -> None:
+    """The reports of bad rows, with their file and the number of their line in it."""
+    spark = bad.sparkSession
+    if placed:
+        # Read, or decoded, once: what follows asks for them twice.
+        at = scratch_dir(spark, "rejected")
+        bad.write.parquet(at)
+        bad = numbered(spark.read.schema(bad.schema).parquet(at), split_bytes, scratch_dir(spark, "line-counts"))
+    else:
+        bad = bad.select("*", F.lit(None).cast("string").alias("source"), F.lit(None).cast("bigint").alias("row"))
+    bad.write.mode("append").option("ignoreNullFields", "false").json(folder)
+    if placed:
+        delete_tree(spark, at)
 
 
 def _with_comments(df: DataFrame, fields: Sequence[FieldSpec]) -> DataFrame:

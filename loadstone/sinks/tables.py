@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from loadstone.fields import quoted
 from loadstone.names import TableName, resolve_table, sql_text, table_exists
+from loadstone.operators.quality import REJECTED
 from loadstone.session import session_settings
 from loadstone.sinks import publish
 from loadstone.sinks.orc import ORC_OPTIONS, orc_writer, write_orc
-from loadstone.storage import delete_files, delete_tree, is_empty, qualified
+from loadstone.storage import delete_files, delete_tree, is_empty, move_files, qualified
 
 __all__ = ["TableName", "resolve_table"]
 
@@ -79,6 +80,69 @@ def stage_parts(
     (publish.replace_files if mode == "replace" else publish.add_files)(spark, fresh, path)
 
 
+def write_split(df: DataFrame, folder: str, rows_per_part: int | None) -> None:
+    """Rows marked ``REJECTED`` and the others, as ORC parts in one folder each."""
+    # Both files of a task are open at once; it need not sort its rows by the mark.
+    with session_settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": 2}):
+        orc_writer(df, "errorifexists", rows_per_part).partitionBy(REJECTED).save(folder)
+
+
+def split_folder(folder: str, rejected: bool) -> str:
+    return f"{folder}/{REJECTED}={str(rejected).lower()}"
+
+
+def stage_split(
+    df: DataFrame, path: str, mode: str, rows_per_part: int | None, check: Callable[[str], None]
+) -> None:
+    """As :func:`stage_parts`, of rows with bad ones among them, in one pass. ``check``
+    gets the folder of both outputs; only files of good rows move on."""
+    spark = df.sparkSession
+    fresh = publish.fresh_folder(path)
+    try:
+        write_split(df, fresh, rows_per_part)
+        check(fresh)
+    except BaseException:
+        delete_tree(spark, fresh)
+        raise
+    publish.step("parts written")
+    good = split_folder(fresh, False)
+    (publish.replace_files if mode == "replace" else publish.add_files)(spark, good, path)
+    delete_tree(spark, fresh)
+
+
+def publish_split(
+    df: DataFrame,
+    schema: T.StructType,
+    name: TableName,
+    mode: str,
+    rows_per_part: int | None,
+    check: Callable[[str], None],
+) -> None:
+    """As :func:`publish_table`, of rows with bad ones among them, in one pass."""
+    spark = df.sparkSession
+    add = mode == "append" and table_exists(spark, name)
+    if add:
+        check_columns(schema.names, spark.table(str(name)).columns, name)
+    fresh = publish.fresh_name(name)
+    spark.catalog.createTable(str(fresh), source="orc", schema=schema, **ORC_OPTIONS)
+    try:
+        home = publish.location(spark, fresh)
+        folder = publish.fresh_folder(home)
+        write_split(df, folder, rows_per_part)
+        check(folder)
+        move_files(spark, split_folder(folder, False), home)
+        delete_tree(spark, folder)
+        spark.catalog.refreshTable(str(fresh))
+    except BaseException:
+        publish.drop_table(spark, fresh)
+        raise
+    if add:
+        _add_table(spark, fresh, name, rows_per_part)
+        return
+    publish.step("table written")
+    publish.swap_in(spark, fresh, name)
+
+
 def guard_destination(
     spark: SparkSession, name: TableName, mode: str, external_path: str | None = None
 ) -> None:

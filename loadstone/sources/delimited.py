@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loadstone.session import session_settings
+
 DEFAULT_DELIMITER = "þ"
 DEFAULT_SAMPLE_ROWS = 4096
 
@@ -16,6 +21,12 @@ UNSPLITTABLE_SUFFIXES = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
 
 LINE = "__line"
 
+# Where a line of a file stands: its file, the first byte and the length of the split it was
+# read in, and the lines of that split before it.
+FILE, BLOCK, BLOCK_BYTES, NTH = "__file", "__block", "__block_bytes", "__nth"
+PLACE = (FILE, BLOCK, BLOCK_BYTES, NTH)
+_IN_PARTITION = (1 << 33) - 1
+
 _REGEX_META = set("\\^$.|?*+()[]{}")
 
 
@@ -38,6 +49,72 @@ def scan_lines(spark: SparkSession, sources: str | list[str]) -> DataFrame:
     return spark.read.text(source_paths(sources))
 
 
+def placed_lines(scan: DataFrame) -> DataFrame:
+    """The lines of a scan of files with their places, as long as each split is a partition
+    of its own (see :func:`one_split_each`)."""
+    return scan.select(
+        "value",
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.col("_metadata.file_block_length").alias(BLOCK_BYTES),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)).alias(NTH),
+    )
+
+
+def one_split_each(spark: SparkSession, split_bytes: int | None = None) -> dict:
+    """Settings under which a scan packs no two splits into a partition; with
+    ``split_bytes`` files are cut into splits of just that size."""
+    limit, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    if split_bytes:
+        return {limit: split_bytes, cost: split_bytes}
+    # What a split may hold at most is also what opening it is said to cost: it fills a partition.
+    return {cost: max(_bytes(spark, limit), _bytes(spark, cost))}
+
+
+def numbered(rows: DataFrame, split_bytes: int | None, scratch: str) -> DataFrame:
+    """``rows`` with the places of lines, and ``source`` and ``row`` for them: the file, and
+    the number of the line in it, from 1.
+
+    Lines in front of a split are counted, by a scan of the files that need it, in splits of
+    the same size; their sums by file have a row for each split.
+    """
+    spark = rows.sparkSession
+    later = [r[0] for r in rows.where(F.col(BLOCK) > 0).select(FILE).distinct().collect()]
+    row = F.col(NTH) + 1
+    if later:
+        scan = spark.read.text([_literal_path(f) for f in later])
+        places = scan.select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+        with session_settings(spark, one_split_each(spark, split_bytes)):
+            places.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("n")).write.parquet(scratch)
+        upto = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        before = spark.read.parquet(scratch).withColumn("before", F.sum("n").over(upto)).drop("n")
+        rows = rows.join(before, [FILE, BLOCK], "left")
+        row = row + F.coalesce("before", F.lit(0))
+    return rows.select("*", F.col(FILE).alias("source"), row.alias("row")).drop(*PLACE, "before")
+
+
+def _literal_path(uri: str) -> str:
+    """The path a file's URI stands for, its own characters not taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def max_split_bytes(spark: SparkSession) -> int:
+    """The largest split that the session cuts files into."""
+    return _bytes(spark, "spark.sql.files.maxPartitionBytes")
+
+
+def even_split_bytes(spark: SparkSession, total: int, tasks: int) -> int:
+    """The size of splits that gives each task one, within the session's bounds."""
+    least = _bytes(spark, "spark.sql.files.openCostInBytes")
+    return min(max_split_bytes(spark), max(least, -(-total // tasks)))
+
+
+def _bytes(spark: SparkSession, key: str) -> int:
+    text = spark.conf.get(key).lower().rstrip("b")
+    scale = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if scale else text) << scale
+
+
 def is_splittable(lines: DataFrame) -> bool:
     """Whether all files of a scan can be cut into splits."""
     return not any(f.lower().endswith(UNSPLITTABLE_SUFFIXES) for f in lines.inputFiles())
@@ -70,24 +147,25 @@ def field_text(fields: Column, i: int | Column) -> Column:
 def split_fields(
     lines: DataFrame, width: int, delimiter: str = DEFAULT_DELIMITER, surplus: str | None = None
 ) -> DataFrame:
-    """``value`` to text columns ``f0 .. f<width-1>`` beside the line itself, and a
-    column that marks lines with text beyond these, if it is given a name."""
+    """``value`` to text columns ``f0 .. f<width-1>`` beside the line itself and its place, and
+    a column that marks lines with text beyond these, if it is given a name."""
+    places = [c for c in PLACE if c in lines.columns]
     cut = lines.select(
-        F.col("value").alias(LINE), field_array(F.col("value"), delimiter, width).alias("__fields")
+        *places, F.col("value").alias(LINE), field_array(F.col("value"), delimiter, width).alias("__fields")
     )
     rest = F.coalesce(F.get(F.col("__fields"), F.lit(width)), F.lit(""))
     more = [(F.rtrim(rest, F.lit(delimiter)) != "").alias(surplus)] if surplus else []
     return cut.select(
-        LINE, *[field_text(F.col("__fields"), i).alias(f"f{i}") for i in range(width)], *more
+        LINE, *places, *[field_text(F.col("__fields"), i).alias(f"f{i}") for i in range(width)], *more
     )
 
 
-def head_of(lines: DataFrame, rows: int) -> list:
-    """The first ``rows`` lines, as many of them as SAMPLE_BYTES hold, one at least."""
+def head_of(lines: DataFrame, rows: int, most: int = SAMPLE_BYTES) -> list:
+    """The first ``rows`` lines, as many of them as ``most`` bytes hold, one at least."""
     sizes, fit, total = lines.select(F.octet_length("value")).take(rows), 0, 0
     for (size,) in sizes:
         total += size
-        if fit and total > SAMPLE_BYTES:
+        if fit and total > most:
             break
         fit += 1
     return lines.select("value").take(fit) if fit else []

@@ -108,6 +108,22 @@ def read_whole(spark: SparkSession, path: str) -> str:
         given.close()
 
 
+def file_sizes(spark: SparkSession, files: list[str]) -> list[int]:
+    return [fs.getFileStatus(jpath).getLen() for fs, jpath in (_path(spark, f) for f in files)]
+
+
+def read_piece(spark: SparkSession, path: str, at: int, size: int) -> bytes:
+    """At most ``size`` bytes of a file, from byte ``at`` on."""
+    fs, jpath = _path(spark, path)
+    given = fs.open(jpath)
+    try:
+        given.seek(at)
+        length = min(size, max(0, fs.getFileStatus(jpath).getLen() - at))
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(given, length))
+    finally:
+        given.close()
+
+
 def file_system(spark: SparkSession, path: str) -> str:
     """The file system that a path lies in; files are moved within one only."""
     return _path(spark, path)[0].getUri().toString()

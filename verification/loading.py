@@ -17,6 +17,7 @@ from loadstone.operators.quality import (
 )
 from loadstone.operators.schema import column_comment, parse_spec, template_fields
 from loadstone.plans.load import load, resolve_fields
+from loadstone.session import session_settings
 from loadstone.sinks import publish
 from loadstone.sinks.orc import measure_rows, write_orc
 from loadstone.sinks.tables import DestinationError, resolve_table
@@ -204,6 +205,31 @@ def quarantined(spark, sf_dir):
     return bad_rows(_broken_orders(spark, sf_dir), parse_spec(ORDERS_SPEC))
 
 
+@query(
+    "bad_row_numbers",
+    f"""WITH numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) AS row, o_orderkey % 3 AS file FROM orders)
+    SELECT file, row, {_BROKEN_SQL} AS line, CASE WHEN {_BAD_KEY} THEN 'o_orderkey' ELSE 'o_orderdate' END AS col_name
+    FROM numbered WHERE {_BAD_ROW}""",
+)
+def bad_row_numbers(spark, sf_dir):
+    """File and line number of each bad row, from a load that reads sorted files in many
+    splits and writes its table and its quarantine in one pass."""
+    source = scratch_dir(spark, "numbered")
+    broken, key = _broken_orders(spark, sf_dir), F.regexp_extract("value", "^x?([0-9]+)", 1).cast("bigint")
+    for file in range(3):
+        broken.where(key % 3 == file).orderBy(key).coalesce(1).write.text(f"{source}/file={file}")
+    out = scratch_dir(spark, "quarantine")
+    settings = {"spark.sql.files.maxPartitionBytes": 20_000, "spark.sql.files.openCostInBytes": 1}
+    with session_settings(spark, settings):
+        load(
+            spark, source, f"{scratch_database(spark)}.orders", schema=ORDERS_SPEC,
+            error_limit=2**62, quarantine=out,
+        )
+    file = F.regexp_extract("source", "file=([0-9])", 1).cast("bigint")
+    return spark.read.json(out).select(file.alias("file"), "row", "line", "col_name")
+
+
 @query("good_rows", f"SELECT {ORDERS_SQL} FROM orders WHERE NOT {_BAD_ROW}")
 def kept(spark, sf_dir):
     return good_rows(_broken_orders(spark, sf_dir), parse_spec(ORDERS_SPEC))
