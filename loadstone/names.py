@@ -1,4 +1,4 @@
-"""Names of tables."""
+"""Names of tables and columns."""
 
 from __future__ import annotations
 
@@ -49,3 +49,13 @@ def table_exists(spark: SparkSession, name: TableName) -> bool:
 def sql_text(value: str) -> str:
     """A string as a SQL literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# Fixed value: the alphabet of generated column names.
+NAME_CHARS = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def generated_name(i: int) -> str:
+    """a..z, 0..9, then two characters and more, the low one first: 36 is ab, 37 is bb."""
+    high, low = divmod(i, len(NAME_CHARS))
+    return NAME_CHARS[low] + (generated_name(high) if high else "")

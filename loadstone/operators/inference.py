@@ -10,9 +10,11 @@ the tests, whatever the number of columns.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadstone.fields import (
@@ -36,7 +38,9 @@ from loadstone.functions.predicates import (
     is_timestamp_kind,
 )
 from loadstone.functions.text import has, trimmed
-from loadstone.sources.delimited import DEFAULT_DELIMITER, field_array
+from loadstone.names import generated_name
+from loadstone.sources.delimited import DEFAULT_DELIMITER, delimiter_char, field_array, literal_path, scan_lines
+from loadstone.storage import is_empty
 
 # Fixed value: the zone of inferred local timestamps.
 DEFAULT_ZONE = "America/Los_Angeles"
@@ -113,29 +117,91 @@ def value_bits(t: Column) -> Column:
 
 
 def column_statistics(
-    sample: DataFrame, width: int, delimiter: str = DEFAULT_DELIMITER
+    sample: DataFrame, width: int | None = None, delimiter: str = DEFAULT_DELIMITER, by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per column: ``idx``, ``bits``, ``len`` and the ``low`` and ``high`` scale."""
-    # Short rows count as empty fields, surplus fields do not count.
-    missing = F.array_repeat(F.lit(""), width)
-    fields = F.slice(F.concat(field_array(F.col("value"), delimiter, width), missing), 1, width)
-    values = sample.select(F.posexplode(fields).alias("idx", "x"))
-    texts = values.select("idx", trimmed(F.col("x")).alias("t"))
+    """One row per column: ``idx``, ``bits``, ``len``, the ``low`` and ``high`` scale, ``n``
+    lines that reach it, whether any ``filled`` it, and whether any line is ``blank``.
+
+    Without a ``width`` there are as many columns as the widest line has: one pass finds
+    both. With ``by``, a row for each column and group, say of the lines of a file.
+    """
+    # Empty fields at the end of a line are as good as missing ones.
+    kept = F.rtrim("value", F.lit(delimiter_char(delimiter)))
+    fields = field_array(kept, delimiter, width or -1)
+    fields = F.slice(fields, 1, width) if width else fields
+    blank = (F.col("value") == "").alias("blank")
+    values = sample.select(*by, blank, F.posexplode(fields).alias("idx", "x"))
+    texts = values.select(*by, "blank", "idx", (F.col("x") != "").alias("filled"), trimmed(F.col("x")).alias("t"))
     tested = texts.select(
+        *by,
         "idx",
+        "filled",
+        "blank",
         value_bits(F.col("t")).alias("bits"),
         F.length("t").alias("len"),
         scale_of(F.col("t")).alias("scale"),
     )
-    return tested.groupBy("idx").agg(
+    return tested.groupBy(*by, "idx").agg(
         F.bit_and("bits").alias("bits"),
         F.max("len").alias("len"),
         F.min("scale").alias("low"),
         F.max("scale").alias("high"),
+        F.count(F.lit(1)).alias("n"),
+        F.max("filled").alias("filled"),
+        F.max("blank").alias("blank"),
+    )
+
+
+def merged_statistics(state: DataFrame) -> DataFrame:
+    """The statistics of all groups together: the same as of all their lines."""
+    return state.groupBy("idx").agg(
+        F.bit_and("bits").alias("bits"),
+        F.max("len").alias("len"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("n").alias("n"),
+        F.max("filled").alias("filled"),
+        F.max("blank").alias("blank"),
     )
 
 
-def decide(name: str, stats: Row, zone: str = DEFAULT_ZONE) -> FieldSpec:
+def extend_statistics(
+    spark: SparkSession, state: str, sources: str | list[str], delimiter: str = DEFAULT_DELIMITER
+) -> DataFrame:
+    """The statistics stored in the folder ``state``, by column and ``source`` file, after
+    those of files that it does not have yet were added. Files it has are not read again.
+
+    A file counts as the same by its name; state is added to by one job at a time.
+    """
+    files = [_decoded(f) for f in scan_lines(spark, sources).inputFiles()]
+    known = set()
+    if not is_empty(spark, state):
+        listed = spark.read.schema(_STATE_SCHEMA).parquet(state).select("source").distinct()
+        known = {r[0] for r in listed.collect()}
+    new = sorted(set(files) - known)
+    if new:
+        # A file without a line has no column, and is looked at again next time.
+        lines = spark.read.text([literal_path(f) for f in new])
+        lines = lines.select("value", _source().alias("source"))
+        column_statistics(lines, None, delimiter, ["source"]).write.mode("append").parquet(state)
+    return spark.read.schema(_STATE_SCHEMA).parquet(state) if new or known else spark.createDataFrame([], _STATE_SCHEMA)
+
+
+_STATE_SCHEMA = (
+    "source string, idx int, bits int, len int, low int, high int, n bigint, filled boolean, blank boolean"
+)
+
+
+def _decoded(uri: str) -> str:
+    """A listed file's URI as ``_source`` has it."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
+
+
+def _source() -> Column:
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def decide(name: str, stats: dict, zone: str = DEFAULT_ZONE) -> FieldSpec:
     """The type of a column from its statistics."""
     bits, length, low, high = stats["bits"], stats["len"], stats["low"], stats["high"]
     if bits & _NUMERIC_BIT:
@@ -165,14 +231,34 @@ def decide(name: str, stats: Row, zone: str = DEFAULT_ZONE) -> FieldSpec:
 
 def infer_fields(
     sample: DataFrame,
-    names: Sequence[str],
+    names: Sequence[str] | None,
     delimiter: str = DEFAULT_DELIMITER,
     zone: str = DEFAULT_ZONE,
 ) -> list[FieldSpec]:
-    """Infer one field per name from the lines of ``sample``."""
-    if not names:
+    """Infer one field per name from the lines of ``sample``; without names, one for each
+    field of the widest line."""
+    if names is not None and not names:
         raise SchemaError("schema has no columns")
-    stats = {r["idx"]: r for r in column_statistics(sample, len(names), delimiter).collect()}
+    return decide_all(column_statistics(sample, names and len(names), delimiter), names, zone)
+
+
+def decide_all(
+    statistics: DataFrame, names: Sequence[str] | None = None, zone: str = DEFAULT_ZONE
+) -> list[FieldSpec]:
+    """The fields of :func:`column_statistics`, which have a row for each column."""
+    stats = {r["idx"]: r.asDict() for r in statistics.collect()}
     if not stats:
         raise SchemaError("cannot infer a schema from an empty sample")
-    return [decide(name, stats[i], zone) for i, name in enumerate(names)]
+    if names is None:
+        width = max([i + 1 for i, r in stats.items() if r["filled"]] + [int(any(r["blank"] for r in stats.values()))])
+        names = [generated_name(i) for i in range(width)]
+        if not names:
+            raise SchemaError("schema has no columns")
+    lines = stats[0]["n"]  # every line reaches its first field
+    missing = {"bits": 0, "len": 0, "low": None, "high": None, "n": 0}
+    fields = []
+    for i, name in enumerate(names):
+        of = stats.get(i, missing)
+        # Lines that end before a column hold an empty value for it, which has no bits.
+        fields.append(decide(name, of if of["n"] == lines else {**of, "bits": 0}, zone))
+    return fields

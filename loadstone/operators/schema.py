@@ -27,12 +27,9 @@ from loadstone.fields import (
     FieldSpec,
     SchemaError,
 )
+from loadstone.names import generated_name
 from loadstone.sources.delimited import widest_line
 
-# Fixed value: the alphabet of generated column names.
-NAME_CHARS = "abcdefghijklmnopqrstuvwxyz0123456789"
-
-
 # --- specification string -------------------------------------------------
 
 
@@ -150,12 +147,6 @@ def _template_field(field: T.StructField) -> FieldSpec:
 # --- names and comments ---------------------------------------------------
 
 
-def generated_name(i: int) -> str:
-    """a..z, 0..9, then two characters and more, the low one first: 36 is ab, 37 is bb."""
-    high, low = divmod(i, len(NAME_CHARS))
-    return NAME_CHARS[low] + (generated_name(high) if high else "")
-
-
 def autodetect_names(
     lines: DataFrame,
     delimiter: str,

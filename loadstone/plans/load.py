@@ -112,7 +112,9 @@ def resolve_fields(
     found = existing_schema(spark, known)
     provider = schema_provider(autodetect, template, found)
     if provider == "autodetect":
-        names = autodetect_names(lines, delimiter, found, schema)
+        # Of the whole input, the pass that infers the types tells the number of columns too.
+        named = found is not None or schema or sample_rows is not None
+        names = autodetect_names(lines, delimiter, found, schema) if named else None
         with compiled_methods(spark):
             fields = infer_fields(sample_lines(lines, sample_rows), names, delimiter, zone)
         fields = copy_comments(fields, found)

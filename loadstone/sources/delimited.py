@@ -82,7 +82,7 @@ def numbered(rows: DataFrame, split_bytes: int | None, scratch: str) -> DataFram
     later = [r[0] for r in rows.where(F.col(BLOCK) > 0).select(FILE).distinct().collect()]
     row = F.col(NTH) + 1
     if later:
-        scan = spark.read.text([_literal_path(f) for f in later])
+        scan = spark.read.text([literal_path(unquote(f)) for f in later])
         places = scan.select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
         with session_settings(spark, one_split_each(spark, split_bytes)):
             places.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("n")).write.parquet(scratch)
@@ -93,9 +93,9 @@ def numbered(rows: DataFrame, split_bytes: int | None, scratch: str) -> DataFram
     return rows.select("*", F.col(FILE).alias("source"), row.alias("row")).drop(*PLACE, "before")
 
 
-def _literal_path(uri: str) -> str:
-    """The path a file's URI stands for, its own characters not taken for a pattern."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+def literal_path(path: str) -> str:
+    """A path whose characters are not taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def max_split_bytes(spark: SparkSession) -> int:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from loadstone.fields import SchemaError
@@ -126,3 +128,55 @@ def test_number_tests(decoded, x, numeric, integer, decimal):
 def test_scale(decoded):
     texts = ["5", "5.25", "5.", ".", "1.2.345", "..", ".5", ""]
     assert decoded(I.scale_of, texts) == [None, 2, 1, None, 3, None, 1, None]
+
+
+RAGGED = [
+    ["1þ2þ3", "1", "1þ2þ3þ4þþþ"], ["þþ", "þ"], [""], ["", "þþ"], ["a", ""], [" þ", "xþyþþ"], ["1.5þþ", "2.25", "þ þ"], ["þ2012-03-05", "þ2013-01-01þ"],
+]
+
+
+@pytest.mark.parametrize("lines", RAGGED)
+def test_width_and_types_in_one_pass(text, lines):
+    from loadstone.operators.schema import autodetect_names
+
+    names = autodetect_names(text(*lines), "þ")
+    if not names:
+        with pytest.raises(SchemaError):
+            I.infer_fields(text(*lines), None)
+        return
+    assert I.infer_fields(text(*lines), None) == I.infer_fields(text(*lines), names)
+    assert [f.name for f in I.infer_fields(text(*lines), None)] == names
+
+
+def test_statistics_that_grow(spark, tmp_path):
+    rng, state, every = random.Random(9), str(tmp_path / "state"), []
+    (tmp_path / "in +%20").mkdir()
+    assert I.extend_statistics(spark, state, [write(tmp_path / "in +%20" / "none.txt", [])]).isEmpty()
+    for n in range(5):
+        lines = ["þ".join(rng.choice(["", "1", "2.5", "x", "2012-03-05"]) for _ in range(rng.randint(1, 2 + n))) for _ in range(20)]
+        lines = lines if n else ["1þ2", "3þ4"]
+        every += lines
+        path = write(tmp_path / "in +%20" / f"[{n}].txt", lines)
+        stored = I.extend_statistics(spark, state, str(tmp_path / "in +%20"))
+        assert stored.select("source").distinct().count() == n + 1
+        whole = spark.createDataFrame([(x,) for x in every], "value string")
+        assert I.decide_all(I.merged_statistics(stored)) == I.infer_fields(whole, None)
+        # What is in the state is not read again.
+        assert path
+        (tmp_path / "in +%20" / f"[{n}].txt").write_text("wþiþdþeþr\n" * 3, encoding="utf-8")
+    assert I.extend_statistics(spark, state, str(tmp_path / "in +%20")).exceptAll(stored).isEmpty()
+
+
+def write(path, lines):
+    path.write_text("".join(x + "\n" for x in lines), encoding="utf-8")
+    return str(path)
+
+
+def test_autodetect_scans_once_for_the_schema(spark, tmp_path, monkeypatch):
+    from loadstone.plans.load import resolve_fields
+    from loadstone.sources import delimited
+
+    monkeypatch.setattr(delimited, "widest_line", lambda *a: pytest.fail("a scan of its own"))
+    path = write(tmp_path / "x.txt", ["1þa", "2þbþ3.5"])
+    fields = resolve_fields(spark, spark.read.text(path), autodetect=True)
+    assert [(f.name, f.kind) for f in fields] == [("a", "INT64"), ("b", "STRING"), ("c", "STRING")]

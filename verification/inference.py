@@ -8,6 +8,7 @@ from loadstone.functions import predicates as P
 from loadstone.operators import inference as I
 from loadstone.operators.schema import autodetect_names, schema_report
 from loadstone.sources.delimited import LINE, split_fields
+from loadstone.storage import scratch_dir
 from verification.registry import (
     day,
     lines,
@@ -323,3 +324,30 @@ def names(spark, sf_dir):
     fields = split_fields(source, len(generated)).drop(LINE).toDF(*generated)
     row = fields.agg(*[F.count(F.nullif(F.col(c), F.lit(""))).alias(c) for c in generated])
     return row.unpivot([], generated, "name", "filled")
+
+
+@query(
+    "infer_continued",
+    " UNION ALL ".join(
+        f"SELECT * FROM ({_inferred_sql('lineitem', i, column, 'abcdefghijk'[i])}), (SELECT unnest(['once', 'in parts']) AS how)"
+        for i, column in enumerate(_SOURCES["lineitem"][1])
+    ),
+)
+def infer_continued(spark, sf_dir):
+    """A schema with its width from one pass over files, and the same from stored statistics
+    that were added to file by file."""
+    source = lines(spark, sf_dir, "lineitem")
+    folder, state = scratch_dir(spark, "growing"), scratch_dir(spark, "statistics")
+    result = None
+    for n in range(3):
+        part = source.where(F.pmod(F.xxhash64("value"), F.lit(3)) == n)
+        part.write.text(f"{folder}/{n}")
+        stored = I.extend_statistics(spark, state, f"{folder}/*/part-*")
+    found = {
+        "once": I.infer_fields(spark.read.text(f"{folder}/*/part-*"), None),
+        "in parts": I.decide_all(I.merged_statistics(stored)),
+    }
+    for how, fields in found.items():
+        rows = schema_report(spark, fields).withColumn("source", F.lit("lineitem")).withColumn("how", F.lit(how))
+        result = rows if result is None else result.unionByName(rows)
+    return result
