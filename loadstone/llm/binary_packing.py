@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +29,7 @@ from loadstone.llm.tables import bounded_batches, column, without_cycle_search
 
 # Chunks of text, and words in them, whose tokens a task remembers, twice over; a speed-up
 # that no result depends on.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 
 # Bytes whose chunks are held at once.
 AT_ONCE = 1_000_000
@@ -165,30 +166,40 @@ def pack_binary(
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = chunk_encoder(shared.value, end_id)
         for batch in batches:
-            parents, starts, lengths, ids, totals = [], [], [], [], []
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for row, encoded in enumerate(encode(texts)):
-                total = len(encoded) // 4
-                at = 0
-                for n in piece_lengths(total, longest):
-                    parents.append(row)
-                    starts.append(at)
-                    lengths.append(n)
-                    ids.append(encoded[4 * at : 4 * (at + n)])
-                    totals.append(total)
-                    at += n
-            order = np.argsort(np.array(lengths, np.int64), kind="stable")[::-1]
-            take = lambda values: [values[i] for i in order.tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(take(parents), pa.int64())),
-                    pa.array(take(starts), pa.int64()),
-                    pa.array(take(lengths), pa.int64()),
-                    pa.array(take(ids), pa.binary()),
-                    pa.array(take(totals), pa.int64()),
-                ],
-                names=["doc_id", "start", "length", "ids", "doc_tokens"],
-            )
+            sizes = pc.binary_length(batch.column(1).cast(pa.binary())).to_numpy(zero_copy_only=False)
+            # Some texts at a time, so that their pieces leave before the next are made.
+            at = 0
+            while at < len(sizes):
+                upto = np.cumsum(sizes[at:], dtype=np.int64)
+                rows = 1 + int(np.searchsorted(upto, AT_ONCE))
+                yield cut_some(encode, batch.slice(at, rows))
+                at += rows
+
+    def cut_some(encode: Callable, batch: pa.RecordBatch) -> pa.RecordBatch:
+        parents, starts, lengths, ids, totals = [], [], [], [], []
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        for row, encoded in enumerate(encode(texts)):
+            total = len(encoded) // 4
+            at = 0
+            for n in piece_lengths(total, longest):
+                parents.append(row)
+                starts.append(at)
+                lengths.append(n)
+                ids.append(encoded[4 * at : 4 * (at + n)])
+                totals.append(total)
+                at += n
+        order = np.argsort(np.array(lengths, np.int64), kind="stable")[::-1]
+        take = lambda values: [values[i] for i in order.tolist()]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(pa.array(take(parents), pa.int64())),
+                pa.array(take(starts), pa.int64()),
+                pa.array(take(lengths), pa.int64()),
+                pa.array(take(ids), pa.binary()),
+                pa.array(take(totals), pa.int64()),
+            ],
+            names=["doc_id", "start", "length", "ids", "doc_tokens"],
+        )
 
     # A piece is numbered by its place in its task, which a task run again repeats.
     return given.mapInArrow(cut, schema).select(
