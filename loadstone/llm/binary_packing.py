@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadstone.llm.merges import WordMerges
-from loadstone.llm.tables import bounded_batches, column, without_cycle_search
+from loadstone.llm.tables import bounded_batches, column, give_back_memory, without_cycle_search
 
 # Chunks of text, and words in them, whose tokens a task remembers, twice over; a speed-up
 # that no result depends on.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 
 # Bytes whose chunks are held at once.
-AT_ONCE = 1_000_000
+AT_ONCE = 500_000
 
 # A word of Latin letters, each of which is stable under NFC and lowered to one
 # letter, and the marks behind it: two pre-tokens for sure. Other chunks take the
@@ -165,6 +165,7 @@ def pack_binary(
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = chunk_encoder(shared.value, end_id)
+        give_back_memory()  # what reading the tokenizer's file has taken
         for batch in batches:
             sizes = pc.binary_length(batch.column(1).cast(pa.binary())).to_numpy(zero_copy_only=False)
             # Some texts at a time, so that their pieces leave before the next are made.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -76,14 +77,25 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
+def give_back_memory() -> None:
+    """Collect what earlier tasks of this worker have left in cycles, and hand freed memory
+    back to the system where its allocator keeps it."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 @contextmanager
 def without_cycle_search() -> Iterator[None]:
     """No search for reference cycles while a task fills large dictionaries: these have
     none, and walking them again and again takes a third of such a task's time."""
     was_on = gc.isenabled()
+    give_back_memory()
     gc.disable()
     try:
         yield
     finally:
         if was_on:
             gc.enable()
+        give_back_memory()
