@@ -36,6 +36,10 @@ from loadstone.sources.delimited import (
 _FAILED = "undecodable column "
 BAD, SURPLUS, CUT = "__bad", "__surplus", "__cut"
 REJECTED = "__rejected"
+TASK = "__task"
+
+# Tasks whose rows are counted one by one: the aggregate is exact as long as it tracks them all.
+MOST_TASKS = 1_000_000
 
 
 class LoadError(RuntimeError):
@@ -84,7 +88,12 @@ def _marked(
     """Typed columns v<i> and the index of the first bad one."""
     values = [f"v{i}" for i in range(len(fields))]
     return _decoded(lines, fields, delimiter).select(
-        *extra, *values, SURPLUS, _loses_text(fields).alias(CUT), first_bad_column(fields).alias(BAD)
+        *extra,
+        *values,
+        SURPLUS,
+        _loses_text(fields).alias(CUT),
+        first_bad_column(fields).alias(BAD),
+        F.spark_partition_id().alias(TASK),
     )
 
 
@@ -92,6 +101,8 @@ def _counted(marked: DataFrame, observation: Observation | None) -> DataFrame:
     """Observe the counts, of rows that lose text too. This also keeps a filter on the bad mark above the
     decoding: pushed below, it would split the line and decode for each use."""
     places = [F.max(BLOCK_BYTES).alias("split_bytes")] if BLOCK_BYTES in marked.columns else []
+    written = F.when(F.col(BAD).isNull(), F.col(TASK))
+    tasks = [rows_by_task(written).alias("tasks")] if TASK in marked.columns else []
     return marked.observe(
         observation or Observation(),
         *places,
@@ -99,9 +110,24 @@ def _counted(marked: DataFrame, observation: Observation | None) -> DataFrame:
         F.count(F.col(BAD)).alias("bad"),
         F.count_if(F.col(SURPLUS)).alias("surplus"),
         F.count_if(F.col(CUT)).alias("cut"),
+        *tasks,
     )
 
 
+def rows_by_task(task: Column) -> Column:
+    """Rows of each task, as a metric to observe: ``task`` is the column with its number, or
+    NULL for a row that does not count. A task keeps one counter; merging adds one each."""
+    return F.call_function("approx_top_k", task, F.lit(MOST_TASKS), F.lit(MOST_TASKS))
+
+
+def task_counts(found: Sequence | None) -> dict[int, int]:
+    """Rows by task number, from an observed :func:`rows_by_task`; of tasks that have any.
+    Empty, rather than inexact, beyond ``MOST_TASKS`` tasks."""
+    if found is None or len(found) >= MOST_TASKS:
+        return {}
+    return {task: rows for task, rows in sorted((t, n) for t, n in found if t is not None)}
+
+
 def good_rows(
     lines: DataFrame,
     fields: Sequence[FieldSpec],
@@ -287,7 +313,10 @@ class LimitWatch:
         for i in range(listed.size() - 1, max(-1, listed.size() - 50), -1):
             run = self._executions.getQueryExecution(listed.apply(i).executionId())
             if run is not None:
-                counts = run.observedMetrics()
+                try:
+                    counts = run.observedMetrics()
+                except Py4JError:  # a counter that grew while it was read; the next look has it
+                    continue
                 if counts.contains(self.name):
                     row = counts.apply(self.name)
                     at = row.fieldIndex("bad")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loadstone.operators.export import export_lines
-from loadstone.operators.quality import observed
+from loadstone.operators.quality import TASK, observed, rows_by_task, task_counts
 from loadstone.session import compiled_methods
 from loadstone.sinks.orc import write_orc
 from loadstone.sinks.text import EXPORT_ROWS_PER_PART, write_csv_gz, write_sequence
@@ -30,6 +30,7 @@ class ExportResult:
     streams: int
     parts: int
     seconds: float
+    by_stream: dict[int, int] = field(default_factory=dict, repr=False)  # rows, by part number
 
 
 def export_format(fmt: str) -> str:
@@ -63,7 +64,7 @@ def export(
         # Hadoop's output formats know no save modes.
         raise ValueError("a SequenceFile export needs a new path")
     with compiled_methods(spark):
-        count = _write(rows, dest, chosen, mode, rows_per_part)
+        count, by_stream = _write(rows, dest, chosen, mode, rows_per_part)
     files = part_files(spark, dest).agg(
         F.count(F.lit(1)).alias("parts"),
         F.count_distinct(F.regexp_extract("name", "^part-([0-9]+)", 1)).alias("streams"),
@@ -73,7 +74,7 @@ def export(
         delete_files(spark, dest)
         files = {"streams": 0, "parts": 0}
     result = ExportResult(
-        dest, chosen, count, files["streams"], files["parts"], time.monotonic() - started
+        dest, chosen, count, files["streams"], files["parts"], time.monotonic() - started, by_stream
     )
     log.info(
         "finished: %d rows across %d streams in %.0f seconds",
@@ -84,17 +85,26 @@ def export(
     return result
 
 
-def _write(rows: DataFrame, dest: str, fmt: str, mode: str, rows_per_part: int) -> int:
-    """Write the rows in the format and return their number."""
+def _write(
+    rows: DataFrame, dest: str, fmt: str, mode: str, rows_per_part: int
+) -> tuple[int, dict[int, int]]:
+    """Write the rows in the format and return their number, in all and by stream.
+
+    The counts are observed in the stage that writes, so a task that is run again counts once.
+    """
     if fmt == "seq":
-        return write_sequence(export_lines(rows), dest, rows_per_part)
+        by_stream = write_sequence(export_lines(rows), dest, rows_per_part)
+        return sum(by_stream.values()), by_stream
     observation = Observation()
-    counted = (rows if fmt == "orc" else export_lines(rows)).observe(
-        observation, F.count(F.lit(1)).alias("rows")
+    given = rows if fmt == "orc" else export_lines(rows)
+    counted = (
+        given.withColumn(TASK, F.spark_partition_id())
+        .observe(observation, F.count(F.lit(1)).alias("rows"), rows_by_task(F.col(TASK)).alias("tasks"))
+        .drop(TASK)
     )
     if fmt == "orc":
         write_orc(counted, dest, mode, rows_per_part)
     else:
         write_csv_gz(counted, dest, mode, rows_per_part)
     counts = observed(observation)
-    return counts["rows"] if counts else rows.count()
+    return (counts["rows"], task_counts(counts["tasks"])) if counts else (rows.count(), {})

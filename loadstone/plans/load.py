@@ -26,6 +26,7 @@ from loadstone.operators.quality import (
     reports,
     split_rows,
     strict_rows,
+    task_counts,
 )
 from loadstone.operators.schema import (
     autodetect_names,
@@ -90,6 +91,7 @@ class LoadResult:
     path: str | None
     surplus: int = 0  # rows with text in fields beyond the schema
     cut: int = 0  # rows with a string longer than its declared length
+    by_writer: dict[int, int] = field(default_factory=dict, repr=False)  # rows written, by part number
 
 
 def resolve_fields(
@@ -214,7 +216,7 @@ def load(
     one_pass = quarantine is not None and carrier(fields) is not None
     make = strict_rows if strict else split_rows if one_pass else good_rows
     rows = make(lines, fields, delimiter, observation)
-    counts: dict[str, int] = {}
+    counts: dict = {}
     watch = LimitWatch(spark, observation._name, error_limit)
 
     def check(folder: str | None = None) -> None:
@@ -255,11 +257,12 @@ def load(
         register_external(spark, path, name, lifetime_ms, replace=mode == "replace")
     read, bad = counts["rows"], counts["bad"]
     surplus, cut = counts.get("surplus", 0), counts.get("cut", 0)
-    log.info("wrote %d rows", read - bad)
+    by_writer = task_counts(counts.get("tasks"))
+    log.info("wrote %d rows by %d writers", read - bad, len(by_writer))
     if surplus or cut:
         log.warning("%d rows had fields beyond the schema, %d had strings cut to length", surplus, cut)
     return LoadResult(
-        fields, read, read - bad, bad, str(name) if name else None, path, surplus, cut
+        fields, read, read - bad, bad, str(name) if name else None, path, surplus, cut, by_writer
     )
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadstone.session import session_settings
+from loadstone.sources.delimited import one_split_each
 from loadstone.sources.tables import count_per_stream
+from loadstone.storage import delete_tree, scratch_dir
 
 # Rows per exported part, gzip level, SequenceFile codecs.
 EXPORT_ROWS_PER_PART = 10_000_000
@@ -15,6 +19,8 @@ GZIP_LEVEL = "BEST_SPEED"
 SEQUENCE_CODEC = "org.apache.hadoop.io.compress.SnappyCodec"
 SEQUENCE_CODEC_FALLBACK = "org.apache.hadoop.io.compress.DefaultCodec"
 
+WHOLE_FILE = 2**40  # bytes of a split that holds any file
+
 
 def write_csv_gz(
     lines: DataFrame,
@@ -32,35 +38,56 @@ def write_csv_gz(
     )
 
 
-def bounded_streams(lines: DataFrame, rows_per_part: int) -> tuple[DataFrame, int]:
-    """``lines`` in partitions of about ``rows_per_part`` rows at most, and their number.
+@contextmanager
+def bounded_streams(
+    lines: DataFrame, rows_per_part: int
+) -> Iterator[tuple[DataFrame, dict[int, int]]]:
+    """``lines`` in partitions of ``rows_per_part`` rows at most, and the rows of each.
 
-    Only partitions over the bound cause a shuffle. The counts cover the scan
-    without its columns, and come back as one row.
+    The counts cover the scan without its columns, and come back as a row for each partition.
+    If one is over the bound, every task cuts its rows by a running number into files of a
+    scratch folder, which are the partitions from there on: no row is dealt out to another
+    executor, and source, filter and formats are gone through once.
     """
-    counts = count_per_stream(lines).agg(
-        F.max("rows").alias("most"), F.sum("rows").alias("total")
-    ).first()
-    total = counts["total"] or 0
-    if (counts["most"] or 0) <= rows_per_part:
-        return lines, total
-    return lines.repartition(math.ceil(total / rows_per_part)), total
+    counts = _counts(lines)
+    if max(counts.values(), default=0) <= rows_per_part:
+        yield lines, counts
+        return
+    spark = lines.sparkSession
+    cut = scratch_dir(spark, "streams")
+    try:
+        lines.write.option("maxRecordsPerFile", rows_per_part).option("compression", "lz4").orc(cut)
+        # Whatever the sizes of the files, each is one partition.
+        with session_settings(spark, one_split_each(spark, WHOLE_FILE)):
+            parts = spark.read.schema(lines.schema).orc(cut)
+            yield parts, _counts(parts)
+    finally:
+        delete_tree(spark, cut)
+
+
+def _counts(lines: DataFrame) -> dict[int, int]:
+    return {r["stream"]: r["rows"] for r in count_per_stream(lines).orderBy("stream").collect()}
 
 
 def write_sequence(
     lines: DataFrame, path: str, rows_per_part: int = EXPORT_ROWS_PER_PART
-) -> int:
+) -> dict[int, int]:
     """``lines`` as block-compressed SequenceFile parts: key ``""``, value line and newline.
 
     DataFrames have no writer for this format, so this is the one RDD step, in
     its Scala form: ``ds.as[(String, String)].rdd.saveAsSequenceFile(path, codec)``.
     The rows stay in the JVM; PySpark's RDD method would pass each of them
     through a Python worker. The codec is Snappy where it can be had. Returns
-    the number of rows.
+    the rows of each part that has any.
     """
-    bounded, total = bounded_streams(lines, rows_per_part)
+    with bounded_streams(lines, rows_per_part) as (bounded, counts):
+        _save_sequence(bounded, path)
+    return counts
+
+
+def _save_sequence(lines: DataFrame, path: str) -> None:
     jvm = lines.sparkSession._jvm
-    pairs = bounded.select(F.lit("").alias("_1"), F.concat(bounded[0], F.lit("\n")).alias("_2"))
+    pairs = lines.select(F.lit("").alias("_1"), F.concat(lines[0], F.lit("\n")).alias("_2"))
     string = jvm.org.apache.spark.sql.Encoders.STRING()
     encoder = jvm.org.apache.spark.sql.Encoders.tuple(string, string)
     rdd = getattr(pairs._jdf, "as")(encoder).rdd()
@@ -71,7 +98,6 @@ def write_sequence(
     )
     codec = jvm.java.lang.Class.forName(_codec(lines))
     saver.saveAsSequenceFile(path, jvm.scala.Option.apply(codec))
-    return total
 
 
 def _codec(lines: DataFrame) -> str:

@@ -10,6 +10,7 @@ from loadstone import export
 from loadstone.functions import formats as X
 from loadstone.functions.decode import decode_date, decode_numeric
 from loadstone.operators.export import export_lines
+from loadstone.operators.quality import rows_by_task, task_counts
 from loadstone.sinks.text import bounded_streams
 
 
@@ -115,7 +116,7 @@ def test_parts_are_capped(spark, numbers, tmp_path):
     assert (result.rows, result.streams, result.parts) == (1000, 1, 10)
 
 
-@pytest.mark.parametrize("rows_per_part,parts", [(10_000_000, 8), (60, 17)])
+@pytest.mark.parametrize("rows_per_part,parts", [(10_000_000, 8), (60, 24)])
 def test_sequence_file(spark, numbers, tmp_path, rows_per_part, parts):
     path = str(tmp_path / "out")
     result = export(spark, numbers, path, fmt="SEQ", rows_per_part=rows_per_part)
@@ -133,11 +134,43 @@ def test_sequence_file_keeps_modes_out(spark, numbers, tmp_path):
         export(spark, numbers, str(tmp_path / "out"), fmt="avro")
 
 
-def test_bounded_streams_only_when_needed(numbers):
-    same, total = bounded_streams(numbers, 125)
-    assert same is numbers and total == 1000
-    split, _ = bounded_streams(numbers, 124)
-    assert split.rdd.getNumPartitions() == 9
+def test_bounded_streams_only_when_needed(spark, numbers):
+    lines = export_lines(numbers)
+    with bounded_streams(lines, 125) as (same, counts):
+        assert same is lines and counts == dict.fromkeys(range(8), 125)
+    with bounded_streams(lines, 124) as (split, counts):
+        assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+        assert sorted(counts.values()) == [1] * 8 + [124] * 8
+        assert sorted(r[0] for r in split.collect()) == sorted(f"{i},{i % 7}" for i in range(1000))
+
+
+def test_over_full_stream_is_cut_where_it_is(spark, tmp_path):
+    """One stream of 1000 rows beside empty ones: its task cuts it, nothing is shuffled."""
+    skewed = spark.range(0, 1000, 1, 1).union(spark.range(0, 3, 1, 3))
+    result = export(spark, skewed, str(tmp_path / "out"), fmt="seq", rows_per_part=300)
+    assert (result.rows, result.parts) == (1003, 7)
+    assert sorted(result.by_stream.values()) == [1, 1, 1, 100, 300, 300, 300]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "orc", "seq"])
+def test_rows_by_stream(spark, numbers, tmp_path, fmt):
+    """The rows told of a stream are those in the parts that carry its number."""
+    path = str(tmp_path / "out")
+    result = export(spark, numbers, path, fmt=fmt, where="id < 300 OR id >= 990")
+    assert result.by_stream == {0: 125, 1: 125, 2: 50, 7: 10} and result.rows == 310
+    if fmt == "csv":
+        stored = {
+            int(p.name[5:10]): len(gzip.decompress(p.read_bytes()).splitlines())
+            for p in (tmp_path / "out").glob("part-*.gz")
+        }
+        assert {n: rows for n, rows in stored.items() if rows} == result.by_stream
+
+
+def test_counts_of_very_many_tasks_are_exact(spark):
+    """The aggregate behind the counts, over as many tasks as it tracks."""
+    tasks = spark.range(0, 200_000, 1, 4).select(F.explode(F.sequence(F.lit(0), F.col("id") % 3)), "id")
+    found = tasks.agg(rows_by_task(F.col("id")).alias("tasks")).first()["tasks"]
+    assert task_counts(found) == {i: i % 3 + 1 for i in range(200_000)}
 
 
 def test_orc(spark, numbers, tmp_path):

@@ -41,6 +41,8 @@ loaded = load(spark, lines, path=out + "/load", schema="id:INT64", error_limit=5
 exported = export(spark, ids.mapInPandas(flaky, "id bigint"), out + "/export")
 print(json.dumps({
     "load": [loaded.rows_read, loaded.rows_written, loaded.bad],
+    "writers": [len(loaded.by_writer), sum(loaded.by_writer.values())],
+    "streams": exported.by_stream,
     "stored": spark.read.orc(out + "/load").distinct().count(),
     "export": exported.rows,
     "lines": spark.read.text(out + "/export").distinct().count(),
@@ -60,6 +62,8 @@ def test_repeated_tasks_count_once(tmp_path):
     assert done.returncode == 0, done.stderr[-3000:]
     assert json.loads(done.stdout.splitlines()[-1]) == {
         "load": [2000, 1000, 1000],
+        "writers": [3, 1000],
+        "streams": {"0": 500, "1": 500, "2": 500, "3": 500},
         "stored": 1000,
         "export": 2000,
         "lines": 2000,

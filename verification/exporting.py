@@ -9,7 +9,7 @@ from loadstone.functions import formats as X
 from loadstone.operators.export import export_lines, unsupported_columns
 from loadstone.plans.export import export
 from loadstone.storage import scratch_dir
-from verification.registry import TABLES, query, table
+from verification.registry import TABLES, query, rows_by_part, table
 
 _PLAIN = r"regexp_replace(regexp_replace(CAST({0} AS VARCHAR), '0+$', ''), '\.$', '')"
 _QUOTED = (
@@ -241,3 +241,15 @@ def export_row_count(spark, sf_dir):
         F.count(F.lit(1)).alias("stored"),
         F.lit(1 <= result.streams <= source.rdd.getNumPartitions()).alias("streams"),
     )
+
+
+@query(
+    "export_stream_counts",
+    "SELECT count(*) AS reported, count(*) AS stored, CAST(0 AS BIGINT) AS differing FROM lineitem",
+)
+def export_stream_counts(spark, sf_dir):
+    """The rows reported for each stream, beside the lines in the parts that carry its number."""
+    path = scratch_dir(spark, "by-stream")
+    result = export(spark, table(spark, sf_dir, "lineitem"), path, partitions=4, rows_per_part=5000)
+    part = F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).cast("int")
+    return rows_by_part(spark.read.text(path).select(part.alias("part")), result.by_stream)

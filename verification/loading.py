@@ -30,6 +30,7 @@ from verification.registry import (
     ORDERS_SQL,
     lines,
     query,
+    rows_by_part,
     scratch_database,
     table,
     text_columns,
@@ -278,6 +279,19 @@ def load_row_count(spark, sf_dir):
     )
 
 
+@query(
+    "load_writer_counts",
+    f"""SELECT count(*) FILTER (WHERE NOT {_BAD_ROW}) AS reported, count(*) FILTER (WHERE NOT {_BAD_ROW}) AS stored,
+      CAST(0 AS BIGINT) AS differing FROM orders""",
+)
+def load_writer_counts(spark, sf_dir):
+    """The rows reported for each writer, beside those in the parts that carry its number."""
+    path = scratch_dir(spark, "by-writer")
+    result = load(spark, _broken_orders(spark, sf_dir), path=path, schema=ORDERS_SPEC, error_limit=2**62, partitions=5)
+    part = F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).cast("int")
+    return rows_by_part(spark.read.orc(path).select(part.alias("part")), result.by_writer)
+
+
 # --- ORC parts ------------------------------------------------------------
 
 

@@ -141,6 +141,19 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+def rows_by_part(stored: DataFrame, reported: dict[int, int]) -> DataFrame:
+    """Reported rows, stored rows (each with its ``part``), and parts in which these differ."""
+    spark = stored.sparkSession
+    told = spark.createDataFrame([(int(p), int(n)) for p, n in reported.items()], "part int, reported bigint")
+    found = stored.groupBy("part").agg(F.count(F.lit(1)).alias("stored"))
+    both = told.join(found, "part", "full")
+    return both.agg(
+        F.sum("reported").alias("reported"),
+        F.sum("stored").alias("stored"),
+        F.count_if(~F.col("reported").eqNullSafe(F.col("stored"))).alias("differing"),
+    )
+
+
 LINEITEM_SPEC = (
     "l_orderkey:INT64,l_partkey:INT64,l_suppkey:INT64,l_linenumber:INT64,"
     "l_quantity:NUMERIC:12.2,l_extendedprice:NUMERIC:12.2,l_discount:FLOAT64,"
