@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.llm.pairwise_quality import held_out, labelled_sample
-from loadstone.llm.tables import bounded_batches, column, written
+from loadstone.llm.tables import bounded_batches, column, give_back_memory, written
 
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 4000  # most labelled documents a model is fitted on
 SAMPLE_CHARS, PIECES = 40_000, 8  # longest part of a text that dictionaries are made of, its pieces
@@ -324,6 +324,8 @@ def score_toxicity(
         count = model.counter() if model else None
         for texts in batches:
             yield texts.map(lambda t: model.score(model.evidence(count(t))) if count else 0.0).astype(float)
+        count = None
+        give_back_memory()  # idle workers are kept beside those of later stages
 
     return docs.select(
         "*",

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadstone.llm.components import connected_components
-from loadstone.llm.tables import bounded_batches, column, small_side, written
+from loadstone.llm.tables import bounded_batches, column, give_back_memory, small_side, written
 
 BANDS, ROWS = 20, 4
 BLOCK = 256  # documents that one comparing task takes beside its leader or other block
@@ -123,6 +123,7 @@ def sketch_documents(
                 ],
                 names=["doc_id", "n_shingles", "digest", "bands"],
             )
+        give_back_memory()  # idle workers are kept beside those of later stages
 
     return given.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>")
 

@@ -7,6 +7,7 @@ import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,8 +80,9 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def give_back_memory() -> None:
     """Collect what earlier tasks of this worker have left in cycles, and hand freed memory
-    back to the system where its allocator keeps it."""
+    back to the system where its allocators keep it: Arrow's has a pool of its own."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
