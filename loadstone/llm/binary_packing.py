@@ -29,10 +29,10 @@ from loadstone.llm.tables import bounded_batches, column, give_back_memory, with
 
 # Chunks of text, and words in them, whose tokens a task remembers, twice over; a speed-up
 # that no result depends on.
-REMEMBERED = 60_000
+REMEMBERED = 150_000
 
 # Bytes whose chunks are held at once.
-AT_ONCE = 500_000
+AT_ONCE = 1_000_000
 
 # A word of Latin letters, each of which is stable under NFC and lowered to one
 # letter, and the marks behind it: two pre-tokens for sure. Other chunks take the
