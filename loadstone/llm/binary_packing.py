@@ -16,6 +16,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +29,17 @@ from pyspark.sql import types as T
 from loadstone.llm.merges import WordMerges
 from loadstone.llm.tables import bounded_batches, column, give_back_memory, without_cycle_search
 
-# Chunks of text, and words in them, whose tokens a task remembers, twice over; a speed-up
-# that no result depends on.
-REMEMBERED = 150_000
+# Words and marks, and other chunks of text, whose tokens a task remembers, twice over; a
+# speed-up that no result depends on.
+REMEMBERED = 75_000
 
-# Bytes whose chunks are held at once.
-AT_ONCE = 1_000_000
+# Bytes whose chunks are held at once, as Arrow arrays.
+AT_ONCE = 2_000_000
 
 # A word of Latin letters, each of which is stable under NFC and lowered to one
 # letter, and the marks behind it: two pre-tokens for sure. Other chunks take the
 # tokenizer itself.
+_MARKS = b".,!*$&%#?;:"
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]{1,40})([.,!*$&%#?;:]{0,12})")
 
 # Lowers A-Z and turns newlines into blanks.
@@ -58,47 +61,58 @@ def chunk_encoder(tokenizer_json: str, end_id: int) -> Callable[[list[bytes]], l
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
     merges = WordMerges(tokenizer_json)
-    known, words = _Generations(), _Generations()
+    words, others = _Generations(), _Generations()
     end = np.array([end_id], "<u4").tobytes()
 
-    def learn(chunks: list[bytes]) -> None:
-        plain, rest = [], []
-        for chunk in chunks:
-            found = _PLAIN.fullmatch(text := chunk.decode())
-            if found:
-                word, marks = found.groups()
-                plain.append((chunk, word.lower().encode(), marks.encode()))
+    def ids_of(chunks: list[bytes]) -> list[bytes]:
+        words_in, marks_in, odd = [], [], {}
+        for i, chunk in enumerate(chunks):
+            word = chunk.rstrip(_MARKS)
+            marks = chunk[len(word) :]
+            if word.isalpha() and len(word) <= 40 and len(marks) <= 12:
+                words_in.append(word.lower())
+                marks_in.append(marks)
+            elif found := _PLAIN.fullmatch(text := chunk.decode()):
+                words_in.append(found[1].lower().encode())
+                marks_in.append(found[2].encode())
             else:
-                rest.append((chunk, text))
-        parts = {word for _, word, _ in plain}
-        parts.update(marks for _, _, marks in plain)
-        new = list(words.without(parts))
+                words_in.append(b"")
+                marks_in.append(b"")
+                odd[chunk] = i
+        new = list(words.without({*words_in, *marks_in}))
         words.young.update(zip(new, merges.encode(new)))
-        ids = words.young
-        known.young.update((chunk, ids[word] + ids[marks]) for chunk, word, marks in plain)
-        encoded = tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
-        known.young.update((chunk, np.array(e.ids, "<u4").tobytes()) for (chunk, _), e in zip(rest, encoded))
+        known = words.young.__getitem__
+        out = list(map(add, map(known, words_in), map(known, marks_in)))
+        new = list(others.without(set(odd)))
+        encoded = tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
+        others.young.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, encoded))
+        for chunk, i in odd.items():
+            out[i] = others.young[chunk]
+        return out
 
     def encode_some(texts: list[bytes]) -> list[bytes]:
-        split, chunks = [], set()
+        blank = []
         for text in texts:
             odd = any(x in text for x in _AS_THEY_ARE)
-            found = (text.replace(b"\n", b" ") if odd else text.translate(_LOWERED)).split(b" ")
-            split.append(found)
-            chunks.update(found)
-        learn(list(known.without(chunks)))
-        ids = known.young
-        return [b"".join([*map(ids.__getitem__, chunks), end]) for chunks in split]
+            blank.append(text.replace(b"\n", b" ") if odd else text.translate(_LOWERED))
+        split = pc.split_pattern(pa.array(blank, pa.large_binary()), pattern=b" ")
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        made = pa.array(ids_of(chunks), pa.large_binary()).take(coded.indices)
+        _, places, data = made.buffers()
+        at = np.frombuffer(places, np.int64)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data) if data is not None else memoryview(b"")
+        return [b"".join((data[a:b], end)) for a, b in pairwise(at)]
 
     def encode(texts: list[bytes]) -> list[bytes]:
         out, some, size = [], [], 0
         for text in texts:
             some.append(text)
             size += len(text)
-            if size >= AT_ONCE:  # a chunk takes ten times the memory of its letters
+            if size >= AT_ONCE:
                 out += encode_some(some)
                 some, size = [], 0
-        return out + encode_some(some)
+        return out + encode_some(some) if some else out
 
     return encode
 
