@@ -320,5 +320,5 @@ def clean_lines(
     rows = docs.select(
         whole(docs).alias("row"), column(docs, doc_id).alias("of"), column(docs, text).alias("text")
     )
-    joined = rows.join(small_side(drops, F.size("keys")), F.col("of") == F.col("doc_id"), "left")
+    joined = rows.join(small_side(drops), F.col("of") == F.col("doc_id"), "left")
     return joined.select("row", _cut("text", "keys").alias("cut")).select("row", "cut.*")

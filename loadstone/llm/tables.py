@@ -10,13 +10,14 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadstone.fields import quoted
 from loadstone.storage import scratch_dir
 
 # Most bytes of one Arrow batch on its way to Python.
 BATCH_BYTES = 8 * 1024 * 1024
-FEW_VALUES = 1_000_000  # ids, digests or counts that may be broadcast: some 30 MB
+FEW_BYTES = 32 * 1024 * 1024  # of a side of a join that may be broadcast, all of its values
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -60,14 +61,24 @@ def drawn(df: DataFrame, digest: Column, rows: int, total: int) -> DataFrame:
     return df.orderBy(digest).limit(rows)
 
 
-def small_side(df: DataFrame, values: Column | None = None) -> DataFrame:
-    """A side of a join to broadcast, if it is small; else as it is, for Spark to join
-    by its key. ``values`` is the number of values that a row holds, one if not given.
+def small_side(df: DataFrame) -> DataFrame:
+    """A side of a join to broadcast, if the bytes of all its values are few; else as it
+    is, for Spark to join by its key.
 
     It keeps whole texts out of a shuffle where a list of ids or digests selects them.
     """
-    total = F.count(F.lit(1)) if values is None else F.sum(values)
-    return F.broadcast(df) if (df.agg(total).first()[0] or 0) <= FEW_VALUES else df
+    size = sum((_bytes(column(df, f.name), f.dataType) for f in df.schema), F.lit(0).cast("bigint"))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= FEW_BYTES else df
+
+
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """What a value takes in a row, its place included."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return 8 + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        each = F.aggregate(value, F.lit(0).cast("bigint"), lambda total, x: total + _bytes(x, kind.elementType))
+        return 16 + F.coalesce(each, F.lit(0))
+    return F.lit(8)
 
 
 def bounded_batches(spark: SparkSession) -> None:
