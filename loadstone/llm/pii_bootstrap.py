@@ -13,7 +13,10 @@ Competing kinds and other identifiers keep the confidence of everyday contexts l
 Only matches are shuffled, never texts; positions come from prefix sums over the matches
 of a document. Copies of a mention are one edge of the graph.
 
-Null text: empty, no spans. Repeated rows and null ids: a row of their own each. Empty
+Contexts are whole words, digits folded to one, wherever the text around a mention has
+them, for seeds and unseen tokens alike.
+
+Null text: empty, no spans. Texts and words of any length: whole. Repeated rows and null ids: a row of their own each. Empty
 table: no rows. Overlapping base matches of different kinds all stay.
 """
 
@@ -50,31 +53,56 @@ SHAPES = {
 ROUNDS = 3
 MIN_SEEDS = 5  # distinct seeds that a pattern must have met
 CONFIDENT = 0.8
-REACH = 80  # code points on either side that context words are taken from
+LONG_WORD = 64  # code points; of a longer context word, a digest and the last letter stand for it
+# Linear, too: words are tried from their first letters only.
+_LAST_WORDS = r"(?<!\S)(?:\S++\s++)?\S++\s*+\z"
+_FIRST_WORD = r"\A\s*+\S++"
 _EDGE_LEFT, _EDGE_RIGHT = "\"'[{<", ".,;:!?\"']}>"
 
 
+def _words(text: Column, which: str) -> Column:
+    """The words that an expression finds, lower-cased, numbers alike, of bounded length."""
+    found = F.filter(F.split(F.regexp_extract(F.lower(text), which, 0), r"\s+"), lambda w: w != "")
+
+    def tidy(word: Column) -> Column:
+        plain = F.regexp_replace(word, "[0-9]+", "0")
+        short = F.concat(F.md5(plain), F.right(plain, F.lit(1)))
+        return F.when(F.length(plain) > LONG_WORD, short).otherwise(plain)
+
+    return F.transform(found, tidy)
+
+
 def hits_of(text: Column, kind: str) -> Column:
     """All matches of a kind in order: gap (code points since the last one), hit, and
-    the words around it."""
+    the words around it.
+
+    Words are looked for as far as the text before the last match but one and behind the
+    next one, so that contexts do not end at a neighbour; the cost stays linear in the text.
+    """
     pattern = PATTERNS[kind]
     gaps = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    words = lambda s: F.filter(F.split(F.lower(s), r"\s+"), lambda w: w != "")
-    plain = lambda w: F.regexp_replace(w, "[0-9]+", "0")
-    found = F.transform(
-        zipped,
-        lambda z, i: F.struct(
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    part = lambda parts, i: F.coalesce(F.get(parts, i), F.lit(""))
+    zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
+    empty = F.array().cast("array<string>")
+
+    def describe(z: Column, i: Column) -> Column:
+        # Parts of the text in order: gap 0, hit 0, gap 1, hit 1, ...
+        before = F.concat(part(gaps, i - 2), part(hits, i - 2), part(gaps, i - 1), part(hits, i - 1), z["gap"])
+        behind = F.concat(part(gaps, i + 1), part(hits, i + 1), part(gaps, i + 2))
+        there = z["hit"].isNotNull()
+        return F.struct(
             F.lit(kind).alias("kind"),
             i.alias("nth"),
             F.char_length(z["gap"]).alias("gap"),
             z["hit"].alias("hit"),
-            F.transform(F.slice(words(F.right(z["gap"], F.lit(REACH))), -2, 2), plain).alias("left"),
-            F.slice(words(F.left(F.coalesce(F.get(gaps, i + 1), F.lit("")), F.lit(REACH))), 1, 1).alias("right"),
-        ),
-    )
+            F.when(there, _words(before, _LAST_WORDS)).otherwise(empty).alias("left"),
+            F.when(there, _words(behind, _FIRST_WORD)).otherwise(empty).alias("right"),
+        )
+
+    found = F.filter(F.transform(zipped, describe), lambda h: h["hit"].isNotNull())
     none = F.array().cast("array<struct<kind:string,nth:int,gap:int,hit:string,left:array<string>,right:array<string>>>")
-    return F.when(text.rlike(NEEDED[kind]), F.filter(found, lambda h: h["hit"].isNotNull())).otherwise(none)
+    return F.when(text.rlike(NEEDED[kind]), found).otherwise(none)
 
 
 def luhn(digits: Column) -> Column:

@@ -120,6 +120,22 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert spans[10] == [] and spans[11] == [] and all(len(spans[i]) == 1 for i in range(9))
 
 
+def test_contexts_of_seeds_and_unseen_tokens_are_alike(spark):
+    from loadstone.llm import pii_bootstrap
+
+    long = "x" * 5000
+    heads = ["call a1 b22", "call\n a1 \t b22 ", f"some {long}:", " alone", ""]
+    rows = [(f"{head} {hit} {tail}",) for head in heads for hit in ("+12125550100", "555-0199") for tail in ("", "now", "z9 x")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string")
+    spans = pii_bootstrap.located(pii_bootstrap.mentions(docs)).where("hit IN ('+12125550100', '555-0199')").collect()
+    assert len(spans) == len(rows)
+    seen = {kind: sorted((s["left"], s["right"]) for s in spans if s["base"] == kind) for kind in (True, False)}
+    assert seen[True] == seen[False]
+    short = hashlib.md5(f"{long}:".encode()).hexdigest() + ":"
+    lefts = [["a0", "b0"], ["a0", "b0"], ["some", short], ["alone"], []]
+    assert seen[True] == sorted((left, right) for left in lefts for right in ([], ["now"], ["z0"]))
+
+
 @pytest.mark.parametrize("name", ["op5_pairwise_quality", "op7_dictionary_toxicity"])
 def test_scores(spark, edge_dir, name):
     rows = queries.QUERIES[name](spark, edge_dir).collect()
