@@ -80,27 +80,27 @@ def hits_of(text: Column, kind: str) -> Column:
     next one, so that contexts do not end at a neighbour; the cost stays linear in the text.
     """
     pattern = PATTERNS[kind]
-    gaps = F.split(text, pattern, -1)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    part = lambda parts, i: F.coalesce(F.get(parts, i), F.lit(""))
-    zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    empty = F.array().cast("array<string>")
+    parts = F.struct(
+        F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits")
+    )
 
-    def describe(z: Column, i: Column) -> Column:
+    def describe(gaps: Column, hits: Column, hit: Column, i: Column) -> Column:
+        part = lambda of, n: F.coalesce(F.get(of, n), F.lit(""))
         # Parts of the text in order: gap 0, hit 0, gap 1, hit 1, ...
-        before = F.concat(part(gaps, i - 2), part(hits, i - 2), part(gaps, i - 1), part(hits, i - 1), z["gap"])
+        before = F.concat(part(gaps, i - 2), part(hits, i - 2), part(gaps, i - 1), part(hits, i - 1), part(gaps, i))
         behind = F.concat(part(gaps, i + 1), part(hits, i + 1), part(gaps, i + 2))
-        there = z["hit"].isNotNull()
         return F.struct(
             F.lit(kind).alias("kind"),
             i.alias("nth"),
-            F.char_length(z["gap"]).alias("gap"),
-            z["hit"].alias("hit"),
-            F.when(there, _words(before, _LAST_WORDS)).otherwise(empty).alias("left"),
-            F.when(there, _words(behind, _FIRST_WORD)).otherwise(empty).alias("right"),
+            F.char_length(part(gaps, i)).alias("gap"),
+            hit.alias("hit"),
+            _words(before, _LAST_WORDS).alias("left"),
+            _words(behind, _FIRST_WORD).alias("right"),
         )
 
-    found = F.filter(F.transform(zipped, describe), lambda h: h["hit"].isNotNull())
+    # An array of one, so that a text is split once and not again for every match.
+    of_text = lambda p: F.transform(p["hits"], lambda hit, i: describe(p["gaps"], p["hits"], hit, i))
+    found = F.flatten(F.transform(F.array(parts), of_text))
     none = F.array().cast("array<struct<kind:string,nth:int,gap:int,hit:string,left:array<string>,right:array<string>>>")
     return F.when(text.rlike(NEEDED[kind]), found).otherwise(none)
 
