@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: rows of the fullest stream, as a multiple of those of the emptiest, up to which
+# streams count as even.
+EVEN = 1.1
+
 
 def export_scan(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """A whole table, by catalog name or as a DataFrame."""
@@ -17,19 +21,24 @@ def export_filter(df: DataFrame, where: str | None) -> DataFrame:
 
 
 def export_streams(df: DataFrame, streams: int | None) -> DataFrame:
-    """``streams`` parallel streams.
+    """``streams`` parallel streams, which are even (see ``EVEN``).
 
     Splits that hold rows are merged, without a shuffle, if there are that many of
-    them. Otherwise the rows are dealt out round-robin, before they are formatted: a
-    file of one row group is one split with rows, however many splits Spark makes.
+    them and merging leaves the streams even. Otherwise the rows are dealt out
+    round-robin, before they are formatted: a file of one row group is one split with
+    rows, however many splits Spark makes.
     """
     if streams is None:
         return df
     if streams < 1:
         raise ValueError("at least one stream is required")
-    if streams == 1 or count_per_stream(df).count() >= streams:
-        return df.coalesce(streams)
-    return df.repartition(streams)
+    if streams == 1:
+        return df.coalesce(1)
+    merged = df.coalesce(streams)
+    found = count_per_stream(merged).agg(
+        F.count(F.lit(1)).alias("streams"), (F.max("rows") <= EVEN * F.min("rows")).alias("even")
+    ).first()
+    return merged if found["streams"] == streams and found["even"] else df.repartition(streams)
 
 
 def count_per_stream(df: DataFrame) -> DataFrame:

@@ -83,3 +83,11 @@ def test_streams(spark):
     assert [r["rows"] for r in X.count_per_stream(X.export_streams(df, 2)).collect()] == [50, 50]
     with pytest.raises(ValueError):
         X.export_streams(df, 0)
+
+
+def test_streams_of_uneven_splits_are_even(spark):
+    """Eight splits merge into 3, 3 and 2; the rows of skewed ones into one stream."""
+    skewed = spark.range(0, 9000, 1, 1).union(spark.range(0, 600, 1, 3))
+    for df, rows in ((spark.range(0, 8000, 1, 8), 8000), (skewed, 9600)):
+        counts = [r["rows"] for r in X.count_per_stream(X.export_streams(df, 3)).collect()]
+        assert len(counts) == 3 and sum(counts) == rows and max(counts) <= 1.1 * min(counts)
