@@ -1,14 +1,19 @@
 """Quality scores learned from preferences (Bradley-Terry).
 
-Every text becomes a short vector of features of the whole text. A good and a bad
-document of the labelled sample make a preference pair; the score is linear in the
+Every text becomes a short vector of features of the whole text. Each good and each bad
+labelled document make a preference pair; the score is linear in the
 features and minimizes the logistic loss of the differences, so a pair is decided by
 the difference of its two scores. The cut between good and bad is the quantile of the
-scores that leaves the sample's share of bad documents below it, and the margin to
+scores that leaves the share of bad documents below it, and the margin to
 that cut is mapped to 0..1 so that the cut lies at ``threshold``.
 
+The fit goes over all labelled documents and all of their pairs, whose number is no matter:
+a document enters a pair by its score alone, so each is met by the other kind's scores in
+``BINS`` bins, each bin at its mean. A pass over the vectors counts the bins, another one
+adds up the curvature; both are sums.
+
 Null and empty texts are scored like any text; they have the features of no words.
-Repeated rows score alike, and are one document of the sample. Without labels of both
+Repeated rows score alike, and are one document of the fit. Without labels of both
 kinds every score is 0.5. Empty table: no rows. A long text is one Arrow value, read whole.
 """
 
@@ -17,7 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -27,8 +32,11 @@ from pyspark.sql import types as T
 
 from loadstone.llm.tables import bounded_batches, drawn, written
 
-SAMPLE_DOCS = 6000  # most labelled documents that a model is fitted on, by class
-PAIRS = 60_000
+WIDTH = 19  # features of a text
+BINS, REACH = 1024, 32.0  # of scores between -REACH and REACH; the outer ones hold what lies beyond
+STEPS, STILL = 20, 1e-4  # most steps of the fit, and a step that ends it
+RIDGE = 1e-3
+RANKS = 1_000_000  # the cut is exact to this part of all ranks
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -86,7 +94,12 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(margin / self.spread + edge, -30, 30)))
 
     def margins(self, rows: np.ndarray) -> np.ndarray:
-        return expand((rows - np.array(self.mean)) / np.array(self.scale)) @ np.array(self.weights)
+        return linear(expand((rows - np.array(self.mean)) / np.array(self.scale)), np.array(self.weights))
+
+
+def linear(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The product of each row alone: a matrix product rounds by the rows it has beside it."""
+    return (rows * weights).sum(axis=1)
 
 
 def expand(rows: np.ndarray) -> np.ndarray:
@@ -95,33 +108,96 @@ def expand(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([rows, rows**2], axis=1)
 
 
-def fit(good: np.ndarray, bad: np.ndarray, threshold: float, seed: int = 7) -> QualityModel | None:
-    """The Bradley-Terry weights of a sample; None without documents of both kinds."""
-    if not len(good) or not len(bad):
+def fit(vectors: DataFrame, threshold: float) -> QualityModel | None:
+    """The Bradley-Terry weights of all pairs of a good and a bad document, from their
+    ``quality`` and features ``v``; None without documents of both kinds."""
+    parts = [F.col("v")[i] for i in range(WIDTH)]
+    sums = [f(p).alias(f"{n}{i}") for i, p in enumerate(parts) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+    found = vectors.agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"), *sums).first()
+    if not found["good"] or not found["bad"]:
         return None
-    rows = np.concatenate([good, bad])
-    mean, scale = rows.mean(axis=0), rows.std(axis=0) + 1e-6
-    rng = np.random.default_rng(seed)
-    a, b = (expand((x - mean) / scale) for x in (good, bad))
-    pairs = a[rng.integers(0, len(a), PAIRS)] - b[rng.integers(0, len(b), PAIRS)]
-    weights = np.zeros(pairs.shape[1])
-    ridge = 1e-3 * np.eye(len(weights))
-    for _ in range(30):  # Newton's method on the mean logistic loss
-        p = 1 / (1 + np.exp(-np.clip(pairs @ weights, -30, 30)))
-        slope = pairs.T @ (p - 1) / len(pairs) + 1e-3 * weights
-        curve = (pairs * (p * (1 - p))[:, None]).T @ pairs / len(pairs) + ridge
+    mean = np.array([found[f"m{i}"] for i in range(WIDTH)])
+    scale = np.array([found[f"s{i}"] for i in range(WIDTH)]) + 1e-6
+    all_pairs = found["good"] * found["bad"]
+    weights = np.zeros(2 * WIDTH)
+    for _ in range(STEPS):  # Newton's method on the mean logistic loss
+        bins = _binned(vectors, mean, scale, weights)
+        (n_good, x_good), (n_bad, x_bad) = bins[1], bins[0]
+        at = [x @ weights / np.maximum(n, 1) for n, x in ((n_good, x_good), (n_bad, x_bad))]
+        p = 1 / (1 + np.exp(-np.clip(at[0][:, None] - at[1][None, :], -30, 30)))
+        slope = (x_good.T @ ((p - 1) @ n_bad) - x_bad.T @ ((p - 1).T @ n_good)) / all_pairs + RIDGE * weights
+        bend = p * (1 - p)
+        both = x_good.T @ bend @ x_bad
+        own = _curvature(vectors, mean, scale, weights, [bend.T @ n_good, bend @ n_bad])
+        curve = (own - both - both.T) / all_pairs + RIDGE * np.eye(len(weights))
         step = np.linalg.solve(curve, slope)
-        weights -= step
-        if np.abs(step).max() < 1e-6:
+        weights = weights - step
+        if np.abs(step).max() < STILL:
             break
-    scores = np.concatenate([a, b]) @ weights
-    share = len(bad) / len(rows)
-    ranked = np.sort(scores)
-    at = min(len(ranked) - 1, max(1, round(share * len(ranked))))
-    cut = float((ranked[at - 1] + ranked[at]) / 2)
-    return QualityModel(
-        mean.tolist(), scale.tolist(), weights.tolist(), cut, float(scores.std() / 4 + 1e-9), threshold
-    )
+    # Sums of a shuffle come in any order: what it changes lies beyond these digits.
+    weights = np.round(weights, 8)
+    model = QualityModel(mean.round(10).tolist(), scale.round(10).tolist(), weights.tolist(), 0.0, 1.0, threshold)
+    total = found["good"] + found["bad"]
+    rank = min(total - 1, max(1, found["bad"]))
+    ranks = [min(1.0, (rank + half) / total) for half in (-0.5, 0.5)]
+
+    @F.pandas_udf("double")
+    def margin(given: pd.Series) -> pd.Series:
+        return pd.Series(model.margins(_matrix(given)))
+
+    scores = vectors.select(margin("v").alias("score")).agg(
+        F.percentile_approx("score", ranks, RANKS).alias("cut"), F.stddev_pop("score").alias("spread")
+    ).first()
+    return replace(model, cut=sum(scores["cut"]) / 2, spread=round(scores["spread"] / 4 + 1e-9, 10))
+
+
+def _matrix(given: pd.Series) -> np.ndarray:
+    return np.array([np.asarray(v, float) for v in given]).reshape(-1, WIDTH)
+
+
+def _bin_of(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.clip((linear(rows, weights) + REACH) * (BINS / 2 / REACH), 0, BINS - 1).astype(int)
+
+
+def _binned(vectors: DataFrame, mean, scale, weights) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For bad and good documents: how many there are in each bin of scores, and the sum of
+    their expanded features."""
+    columns = ["n", *[f"x{i}" for i in range(2 * WIDTH)]]
+
+    def parts(frames):
+        sums = np.zeros((2 * BINS, len(columns)))
+        for frame in frames:
+            rows = expand((_matrix(frame["v"]) - mean) / scale)
+            np.add.at(sums, frame["quality"].to_numpy() * BINS + _bin_of(rows, weights), np.insert(rows, 0, 1, axis=1))
+        filled = np.flatnonzero(sums[:, 0])
+        yield pd.DataFrame(sums[filled], columns=columns).assign(bin=filled)
+
+    kinds = ", ".join(f"{c} double" for c in columns)
+    found = vectors.select("quality", "v").mapInPandas(parts, f"{kinds}, bin long")
+    out = np.zeros((2 * BINS, len(columns)))
+    for r in found.groupBy("bin").agg(*[F.sum(c).alias(c) for c in columns]).collect():
+        out[r["bin"]] = [r[c] for c in columns]
+    return [(half[:, 0], half[:, 1:]) for half in (out[:BINS], out[BINS:])]
+
+
+def _curvature(vectors: DataFrame, mean, scale, weights, by_bin: list[np.ndarray]) -> np.ndarray:
+    """The sum of all documents' squares of expanded features, each by the weight that its
+    kind has in its bin."""
+    each = np.concatenate(by_bin)
+
+    def parts(frames):
+        total = np.zeros((2 * WIDTH, 2 * WIDTH))
+        for frame in frames:
+            rows = expand((_matrix(frame["v"]) - mean) / scale)
+            share = each[frame["quality"].to_numpy() * BINS + _bin_of(rows, weights)]
+            total += (rows * share[:, None]).T @ rows
+        yield pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()})
+
+    found = vectors.select("quality", "v").mapInPandas(parts, "at long, value double")
+    out = np.zeros(4 * WIDTH * WIDTH)
+    for r in found.groupBy("at").agg(F.sum("value").alias("value")).collect():
+        out[r["at"]] = r["value"]
+    return out.reshape(2 * WIDTH, 2 * WIDTH)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, value: int, limit: int) -> DataFrame:
@@ -145,21 +221,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def described(docs: DataFrame) -> DataFrame:
+    """``doc_id``, a ``digest`` of id and text, and the features ``v`` of every row's whole text."""
+    bounded_batches(docs.sparkSession)
+    digest = F.md5(F.concat_ws("\n", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))))
+    return written(docs.select("doc_id", digest.alias("digest"), _features("text").alias("v")), "quality-features")
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> QualityModel | None:
-    """A model from a bounded sample of the labelled documents (``SAMPLE_DOCS`` of each
-    kind, texts of every length), whose shares follow the labels'."""
-    kinds = dict(
-        labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-        .where("quality IN (0, 1)").groupBy("quality").count().collect()
-    )
-    whole = max(1, max(kinds.values(), default=0))
-    rows = {}
-    for value in (0, 1):
-        limit = max(1, SAMPLE_DOCS * kinds.get(value, 0) // whole)
-        sample = labelled_sample(docs, labels, "quality", value, limit)
-        vectors = sample.select("digest", _features("text").alias("v")).toPandas().sort_values("digest")["v"]
-        rows[value] = np.array([np.asarray(v, float) for v in vectors])
-    return fit(rows[1], rows[0], threshold)
+    """A model from all labelled documents that are not held out."""
+    return train_described(described(docs), labels, threshold)
+
+
+def train_described(rows: DataFrame, labels: DataFrame, threshold: float) -> QualityModel | None:
+    """The model of :func:`described` documents. Rows that repeat an id and its text are one."""
+    known = labels.where("quality IN (0, 1)").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    known = known.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
+    vectors = rows.join(known, "doc_id").dropDuplicates(["digest", "quality"]).sortWithinPartitions("digest")
+    return fit(written(vectors.select("quality", "v"), "labelled-features"), threshold)
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -170,14 +249,19 @@ def _features(texts: pd.Series) -> pd.Series:
 def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row, from its whole text."""
     bounded_batches(docs.sparkSession)
+    return score_described(docs.select("doc_id", _features("text").alias("v")), model)
+
+
+def score_described(rows: DataFrame, model: QualityModel | None) -> DataFrame:
+    """What :func:`score_quality` gives, from the features ``v`` of each row."""
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def score(given: pd.Series) -> pd.Series:
         if model is None:
-            return pd.Series(np.full(len(texts), 0.5))
-        return pd.Series(model.scores(np.array([features(t) for t in texts]).reshape(len(texts), -1)))
+            return pd.Series(np.full(len(given), 0.5))
+        return pd.Series(model.scores(_matrix(given)))
 
     limit = model.threshold if model else 0.3
-    return docs.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score")
+    return rows.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score("v").alias("score")
     ).select("*", (F.col("score") >= limit).cast("int").alias("predicted"))

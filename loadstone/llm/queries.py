@@ -155,8 +155,9 @@ def op8_fast_minhash(spark, sf_dir):
 @query("op5_pairwise_quality")
 def op5_pairwise_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = pairwise_quality.train_quality(docs, table(spark, sf_dir, "labels"), threshold=0.3)
-    return pairwise_quality.score_quality(docs, model)
+    rows = pairwise_quality.described(docs)
+    model = pairwise_quality.train_described(rows, table(spark, sf_dir, "labels"), threshold=0.3)
+    return pairwise_quality.score_described(rows, model)
 
 
 @query("op7_dictionary_toxicity")

@@ -152,3 +152,25 @@ def test_chat_windows_keep_the_budget(spark):
     # A window of several turns: about four characters a token.
     over = sized.where("turns > 5 AND chars > 200 * 8")
     assert windows.count() > there.count() and over.isEmpty()
+
+
+def test_quality_is_fitted_on_all_pairs(spark, monkeypatch):
+    """The weights are those of all pairs of all labelled documents, however few a sample would hold."""
+    from loadstone.llm import pairwise_quality as Q
+
+    monkeypatch.setattr(Q, "SAMPLE_DOCS", 20, raising=False)
+    docs = table(spark, "documents", "/root/testdata/sf0.01")
+    labels = table(spark, "labels", "/root/testdata/sf0.01")
+    model = Q.train_quality(docs, labels)
+    rows = docs.join(labels.where("quality IN (0, 1)"), "doc_id").select("doc_id", "quality", "text").distinct().collect()
+    rows = [r for r in rows if not held_out(r["doc_id"])]
+    x = np.array([Q.features(r["text"]) for r in rows])
+    good = np.array([r["quality"] == 1 for r in rows])
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0) + 1e-6)
+    x = Q.expand((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6))
+    s = x @ np.array(model.weights)
+    p = 1 / (1 + np.exp(-np.clip(s[good][:, None] - s[~good][None, :], -30, 30))) - 1
+    slope = (x[good].T @ p.sum(axis=1) - x[~good].T @ p.sum(axis=0)) / p.size + 1e-3 * np.array(model.weights)
+    assert np.abs(slope).max() < 1e-4
+    ranked, bad = np.sort(model.margins(np.array([Q.features(r["text"]) for r in rows]))), int((~good).sum())
+    assert abs(model.cut - (ranked[bad - 1] + ranked[bad]) / 2) < 1e-6
