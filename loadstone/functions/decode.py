@@ -4,7 +4,8 @@ Every decoder returns NULL for the empty string and for text it cannot read;
 ``operators.quality`` tells the two apart. All of them stay inside whole-stage
 code generation. The common shape of each type takes a cheap route (a byte
 search and a plain cast); only text that route cannot vouch for reaches the
-pattern parser or a regular expression. Both routes give the same value.
+pattern parser or a regular expression. Both routes give the same value. They use
+their text several times: give them a column, not an expression that is dear.
 
 No decoder depends on the session time zone: each parse finds its zone in the
 text, or reads the text as UTC.

@@ -71,3 +71,11 @@ def test_generated_methods_stay_below_the_compiler_limit(spark, text):
         stages = getattr(jvm, "package").codegenStringSeq(executed)
         sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
         assert max(sizes, default=0) < 8000, rows
+
+
+def test_text_is_made_once_for_its_decoder(spark):
+    """The text that a decoding query starts from is one column, not an expression for each use."""
+    from __spark_entry__ import queries
+
+    text = queries()["decode_numeric"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("CASE WHEN (l_linenumber") == 1

@@ -19,6 +19,15 @@ def variants(column, cases, default):
     return expr.otherwise(default)
 
 
+def texts(spark, sf_dir, name, x, *keys):
+    """Key columns of a table and ``x`` as a column: decoders use their text several times, and
+    would make an expression anew for each use."""
+    return table(spark, sf_dir, name).select(*keys, x.alias("x"))
+
+
+X = F.col("x")
+
+
 @query(
     "decode_string",
     """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL
@@ -36,7 +45,7 @@ def decode_string(spark, sf_dir):
         },
         F.col("props"),
     )
-    return table(spark, sf_dir, "events").select("event_id", D.decode_string(x).alias("s"))
+    return texts(spark, sf_dir, "events", x, "event_id").select("event_id", D.decode_string(X).alias("s"))
 
 
 @query("decode_varchar", "SELECT p_partkey, substr(p_name, 1, 5) AS name FROM part")
@@ -65,10 +74,8 @@ def decode_int64(spark, sf_dir):
         },
         text("o_orderkey"),
     )
-    n = D.decode_int64(x)
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", n.alias("n"), ((x != "") & n.isNull()).alias("bad")
-    )
+    rows = texts(spark, sf_dir, "orders", x, "o_orderkey").select("*", D.decode_int64(X).alias("n"))
+    return rows.select("o_orderkey", "n", ((X != "") & F.col("n").isNull()).alias("bad"))
 
 
 @query(
@@ -92,10 +99,8 @@ def decode_float64(spark, sf_dir):
         },
         amount,
     )
-    d = D.decode_float64(x)
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", d.alias("d"), d.isNull().alias("bad")
-    )
+    rows = texts(spark, sf_dir, "customer", x, "c_custkey").select("c_custkey", D.decode_float64(X).alias("d"))
+    return rows.select("*", F.col("d").isNull().alias("bad"))
 
 
 _CUT = "CAST(trunc(CAST({0} AS DECIMAL(14,2)) * 10) AS DECIMAL(14,0)) * CAST(0.1 AS DECIMAL(2,1))"
@@ -130,10 +135,9 @@ def decode_numeric(spark, sf_dir):
             F.concat(F.lit("+"), price)
         ),
     )
-    n = D.decode_numeric(x, 14, 1)
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", n.alias("n"), n.isNull().alias("bad")
-    )
+    keys = ("l_orderkey", "l_linenumber")
+    rows = texts(spark, sf_dir, "lineitem", x, *keys).select(*keys, D.decode_numeric(X, 14, 1).alias("n"))
+    return rows.select("*", F.col("n").isNull().alias("bad"))
 
 
 @query(
@@ -158,11 +162,11 @@ def decode_date(spark, sf_dir):
         },
         F.concat(parts[0], F.lit("-02-31")),
     )
-    return table(spark, sf_dir, "orders").select(
+    return texts(spark, sf_dir, "orders", x, "o_orderkey").select(
         "o_orderkey",
-        D.decode_date(x).alias("d1"),
-        D.decode_date(x, "MM/dd/yyyy").alias("d2"),
-        D.decode_date(x, "yyyyMMdd").alias("d3"),
+        D.decode_date(X).alias("d1"),
+        D.decode_date(X, "MM/dd/yyyy").alias("d2"),
+        D.decode_date(X, "yyyyMMdd").alias("d3"),
     )
 
 
@@ -188,8 +192,8 @@ def decode_ts_offset(spark, sf_dir):
         },
         at,
     )
-    return table(spark, sf_dir, "events").select(
-        "event_id", fmt_timestamp(D.decode_ts_offset(x)).alias("instant")
+    return texts(spark, sf_dir, "events", x, "event_id").select(
+        "event_id", fmt_timestamp(D.decode_ts_offset(X)).alias("instant")
     )
 
 
@@ -213,8 +217,8 @@ def decode_ts_zoned(spark, sf_dir):
         },
         at,
     )
-    return table(spark, sf_dir, "events").select(
-        "event_id", fmt_timestamp(D.decode_ts_zoned(x)).alias("instant")
+    return texts(spark, sf_dir, "events", x, "event_id").select(
+        "event_id", fmt_timestamp(D.decode_ts_zoned(X)).alias("instant")
     )
 
 
@@ -237,10 +241,10 @@ def decode_ts_local(spark, sf_dir):
         },
         F.concat(F.substring(at, 1, 10), F.lit(" 24:00:00")),
     )
-    return table(spark, sf_dir, "events").select(
+    return texts(spark, sf_dir, "events", x, "event_id").select(
         "event_id",
-        fmt_timestamp(D.decode_ts_local(x, "America/Chicago")).alias("chicago"),
-        fmt_timestamp(D.decode_ts_local(x, "Asia/Tokyo", "yyyyMMddHHmmss")).alias("tokyo"),
+        fmt_timestamp(D.decode_ts_local(X, "America/Chicago")).alias("chicago"),
+        fmt_timestamp(D.decode_ts_local(X, "Asia/Tokyo", "yyyyMMddHHmmss")).alias("tokyo"),
     )
 
 
@@ -267,9 +271,10 @@ def decode_ts_seasons(spark, sf_dir):
         {"click": stamp(F.col("ts")), "view": stamp(summer), "error": skipped},
         F.lit("2020-11-01 01:30:00.250000"),
     )
-    zoned = F.when(F.col("event_type").isin("click", "view"), F.concat(x, F.lit(" America/Los_Angeles")))
-    return table(spark, sf_dir, "events").select(
+    zoned = F.when(F.col("event_type").isin("click", "view"), F.concat(X, F.lit(" America/Los_Angeles")))
+    rows = texts(spark, sf_dir, "events", x, "event_id", "event_type").select("event_id", "x", zoned.alias("zoned"))
+    return rows.select(
         "event_id",
-        F.unix_micros(D.decode_ts_local(x, "America/Chicago", pattern)).alias("micros"),
-        F.unix_micros(D.decode_ts_zoned(zoned, pattern + " VV")).alias("pacific"),
+        F.unix_micros(D.decode_ts_local(X, "America/Chicago", pattern)).alias("micros"),
+        F.unix_micros(D.decode_ts_zoned(F.col("zoned"), pattern + " VV")).alias("pacific"),
     )
