@@ -70,6 +70,7 @@ from loadstone.sources.delimited import (
     max_split_bytes,
     numbered,
     one_split_each,
+    own_splits,
     placed_lines,
     sample_lines,
     sample_sources,
@@ -227,7 +228,7 @@ def load(
             if quarantine:
                 found = spark.read.schema(struct_type(fields)).orc(split_folder(folder, True)) if folder else None
                 bad = bad_rows(lines, fields, delimiter) if found is None else reports(found, fields, layout.placed)
-                _quarantine(bad, quarantine, layout.placed, counts.get("split_bytes"))
+                _quarantine(bad, quarantine, layout.placed, counts.get("split_bytes"), found is not None)
         if not strict:
             enforce_limit(counts["bad"], error_limit)
 
@@ -327,18 +328,23 @@ def _watched(watch: LimitWatch, strict: bool) -> Iterator[None]:
         yield
 
 
-def _quarantine(bad: DataFrame, folder: str, placed: bool, split_bytes: int | None) -> None:
+def _quarantine(bad: DataFrame, folder: str, placed: bool, split_bytes: int | None, stored: bool) -> None:
     """The reports of bad rows, with their file and the number of their line in it."""
     spark = bad.sparkSession
+    split_bytes = split_bytes or max_split_bytes(spark)
+    # Bad rows that are not stored are read from the sources again, in the splits of these.
+    with session_settings(spark, own_splits() if stored else {}):
+        if placed:
+            # Read, or decoded, once: what follows asks for them twice.
+            at = scratch_dir(spark, "rejected")
+            bad.write.parquet(at)
+        else:
+            bad = bad.select("*", F.lit(None).cast("string").alias("source"), F.lit(None).cast("bigint").alias("row"))
+            bad.write.mode("append").option("ignoreNullFields", "false").json(folder)
     if placed:
-        # Read, or decoded, once: what follows asks for them twice.
-        at = scratch_dir(spark, "rejected")
-        bad.write.parquet(at)
-        bad = numbered(spark.read.schema(bad.schema).parquet(at), split_bytes, scratch_dir(spark, "line-counts"))
-    else:
-        bad = bad.select("*", F.lit(None).cast("string").alias("source"), F.lit(None).cast("bigint").alias("row"))
-    bad.write.mode("append").option("ignoreNullFields", "false").json(folder)
-    if placed:
+        with session_settings(spark, own_splits()):
+            bad = numbered(spark.read.schema(bad.schema).parquet(at), split_bytes, scratch_dir(spark, "line-counts"))
+            bad.write.mode("append").option("ignoreNullFields", "false").json(folder)
         delete_tree(spark, at)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadstone.session import session_settings
+from loadstone.storage import total_bytes
 
 DEFAULT_DELIMITER = "þ"
 DEFAULT_SAMPLE_ROWS = 4096
@@ -19,6 +20,9 @@ SAMPLE_BYTES = 64 * 1024 * 1024
 # Suffixes of files that Hadoop cannot cut into splits.
 UNSPLITTABLE_SUFFIXES = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
 
+# Fixed value: splits of a job's own files.
+OWN_SPLIT_BYTES = 128 * 1024 * 1024
+
 LINE = "__line"
 
 # Where a line of a file stands: its file, the first byte and the length of the split it was
@@ -71,6 +75,13 @@ def one_split_each(spark: SparkSession, split_bytes: int | None = None) -> dict:
     return {cost: max(_bytes(spark, limit), _bytes(spark, cost))}
 
 
+def own_splits() -> dict:
+    """Settings for scans of what a job has written itself, however small the session's
+    splits are."""
+    limit, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    return {limit: OWN_SPLIT_BYTES, cost: OWN_SPLIT_BYTES // 32}
+
+
 def numbered(rows: DataFrame, split_bytes: int | None, scratch: str) -> DataFrame:
     """``rows`` with the places of lines, and ``source`` and ``row`` for them: the file, and
     the number of the line in it, from 1.
@@ -82,10 +93,13 @@ def numbered(rows: DataFrame, split_bytes: int | None, scratch: str) -> DataFram
     later = [r[0] for r in rows.where(F.col(BLOCK) > 0).select(FILE).distinct().collect()]
     row = F.col(NTH) + 1
     if later:
-        scan = spark.read.text([literal_path(unquote(f)) for f in later])
+        names = [literal_path(unquote(f)) for f in later]
+        scan = spark.read.text(names)
         places = scan.select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+        # A task takes many splits where these are small: their number is up to the session.
+        tasks = max(4 * spark.sparkContext.defaultParallelism, -(-total_bytes(spark, names) // OWN_SPLIT_BYTES))
         with session_settings(spark, one_split_each(spark, split_bytes)):
-            places.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("n")).write.parquet(scratch)
+            places.coalesce(tasks).groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("n")).write.parquet(scratch)
         upto = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
         before = spark.read.parquet(scratch).withColumn("before", F.sum("n").over(upto)).drop("n")
         rows = rows.join(before, [FILE, BLOCK], "left")

@@ -161,3 +161,26 @@ def test_spread_lines_are_bounded(spark, tmp_path, monkeypatch):
     assert orc.part_splits(0.25, 128, 128 * 2**20) == (128 * 2**20, 4)
     size, number = orc.part_splits(0.6, 128, 128 * 2**20)
     assert number == 2 and abs(size * number * 0.6 - 128 * 2**20) < 10
+
+
+def test_small_splits_do_not_make_as_many_tasks(spark, tmp_path):
+    """Lines are counted, and reports read, by few tasks, however small the session's splits are."""
+    rows = [f"{'x' if i % 50 == 0 else ''}{i}|some text" for i in range(2000)]
+    (tmp_path / "in.txt").write_text("\n".join(rows) + "\n")
+    settings = {"spark.sql.files.maxPartitionBytes": 50, "spark.sql.files.openCostInBytes": 1}
+    context, folder = spark.sparkContext, str(tmp_path / "bad")
+    context.addJobTag("small-splits")
+    try:
+        with session_settings(spark, settings):
+            load(spark, str(tmp_path / "in.txt"), path=str(tmp_path / "out"), schema="id:INT64,s", delimiter="|", error_limit=100, quarantine=folder)
+    finally:
+        context.removeJobTag("small-splits")
+    tracker = context._jsc.sc().statusTracker()
+    tasks = [
+        tracker.getStageInfo(stage).get().numTasks()
+        for job in tracker.getJobIdsForTag("small-splits")
+        for stage in tracker.getJobInfo(job).get().stageIds()
+    ]
+    assert tasks and max(tasks) <= 100
+    found = {r["row"]: r["line"] for r in spark.read.json(folder).collect()}
+    assert found == {i + 1: rows[i] for i in range(0, 2000, 50)}

@@ -218,8 +218,8 @@ def bad_row_numbers(spark, sf_dir):
     splits and writes its table and its quarantine in one pass."""
     source = scratch_dir(spark, "numbered")
     broken, key = _broken_orders(spark, sf_dir), F.regexp_extract("value", "^x?([0-9]+)", 1).cast("bigint")
-    for file in range(3):
-        broken.where(key % 3 == file).orderBy(key).coalesce(1).write.text(f"{source}/file={file}")
+    placed = broken.select("value", key.alias("key"), (key % 3).alias("file")).repartitionByRange(3, "file")
+    placed.sortWithinPartitions("file", "key").drop("key").write.partitionBy("file").text(source)
     out = scratch_dir(spark, "quarantine")
     settings = {"spark.sql.files.maxPartitionBytes": 20_000, "spark.sql.files.openCostInBytes": 1}
     with session_settings(spark, settings):
