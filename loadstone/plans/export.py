@@ -14,7 +14,7 @@ from loadstone.operators.quality import TASK, observed, rows_by_task, task_count
 from loadstone.session import compiled_methods
 from loadstone.sinks.orc import write_orc
 from loadstone.sinks.text import EXPORT_ROWS_PER_PART, write_csv_gz, write_sequence
-from loadstone.sources.tables import export_filter, export_scan, export_streams
+from loadstone.sources.tables import export_filter, export_scan, export_tasks
 from loadstone.storage import delete_files, part_files
 
 log = logging.getLogger(__name__)
@@ -55,11 +55,11 @@ def export(
     """Export a table (catalog name or DataFrame) to part files under ``dest``.
 
     ``where`` is a SQL predicate on the source, ``partitions`` the number of
-    parallel streams. Scan, filter, format and write are one stage; rows are only dealt
+    parallel streams; of a large table there are more, so that none is too long. Scan, filter, format and write are one stage; rows are only dealt
     out anew where fewer splits than ``partitions`` hold any.
     """
     chosen, started = export_format(fmt), time.monotonic()
-    rows = export_streams(export_filter(export_scan(spark, source), where), partitions)
+    rows = export_tasks(export_filter(export_scan(spark, source), where), partitions)
     if chosen == "seq" and mode not in ("error", "errorifexists"):
         # Hadoop's output formats know no save modes.
         raise ValueError("a SequenceFile export needs a new path")

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 # streams count as even.
 EVEN = 1.1
 
+# Rows, and splits with rows, that one task of an export reads at most, as far as
+# splits allow.
+TASK_ROWS, TASK_SPLITS = 4_000_000, 8
+
 
 def export_scan(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """A whole table, by catalog name or as a DataFrame."""
@@ -41,6 +45,18 @@ def export_streams(df: DataFrame, streams: int | None) -> DataFrame:
     return merged if found["streams"] == streams and found["even"] else df.repartition(streams)
 
 
+def export_tasks(df: DataFrame, streams: int | None) -> DataFrame:
+    """:func:`export_streams`, but streams of more than ``TASK_ROWS`` rows or ``TASK_SPLITS``
+    splits are several: what a task reads does not grow with the table. Their splits are
+    merged, without a shuffle, into as many as it takes, even or not."""
+    if streams is None or streams < 1:
+        return export_streams(df, streams)
+    found = count_per_stream(df).agg(F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("rows")).first()
+    splits, rows = found["splits"], found["rows"] or 0
+    tasks = max(min(splits, -(-rows // TASK_ROWS)), -(-splits // TASK_SPLITS))
+    return df.coalesce(tasks) if tasks > streams else export_streams(df, streams)
+
+
 def count_per_stream(df: DataFrame) -> DataFrame:
     """Rows of each stream that has any: (stream, rows)."""
     return df.groupBy(F.spark_partition_id().alias("stream")).agg(

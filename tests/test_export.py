@@ -199,3 +199,12 @@ def test_formats_decode_back(spark):
         decode_date(X.fmt_date(F.col("d"))).alias("d2"),
     )
     assert back.where("n <> n2 OR d <> d2 OR n2 IS NULL OR d2 IS NULL").count() == 0
+
+
+def test_long_streams_are_several(spark, numbers, tmp_path, monkeypatch):
+    """Two streams of 500 rows, where a task reads 250 at most: four, of two splits each."""
+    from loadstone.sources import tables
+
+    monkeypatch.setattr(tables, "TASK_ROWS", 250, raising=False)
+    result = export(spark, numbers, str(tmp_path / "out"), partitions=2)
+    assert (result.rows, result.streams) == (1000, 4) and set(result.by_stream.values()) == {250}
