@@ -182,8 +182,10 @@ def extend_statistics(
     if new:
         # A file without a line has no column, and is looked at again next time.
         lines = spark.read.text([literal_path(f) for f in new])
-        lines = lines.select("value", _source().alias("source"))
-        column_statistics(lines, None, delimiter, ["source"]).write.mode("append").parquet(state)
+        lines = lines.select("value", F.col("_metadata.file_path").alias("source"))
+        found = column_statistics(lines, None, delimiter, ["source"])
+        # Decoded a row for each column of a file, rather than one for each line.
+        found.withColumn("source", _source(F.col("source"))).write.mode("append").parquet(state)
     return spark.read.schema(_STATE_SCHEMA).parquet(state) if new or known else spark.createDataFrame([], _STATE_SCHEMA)
 
 
@@ -197,8 +199,8 @@ def _decoded(uri: str) -> str:
     return re.sub("^file:/+", "file:/", unquote(uri))
 
 
-def _source() -> Column:
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _source(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def decide(name: str, stats: dict, zone: str = DEFAULT_ZONE) -> FieldSpec:

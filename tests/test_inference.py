@@ -180,3 +180,16 @@ def test_autodetect_scans_once_for_the_schema(spark, tmp_path, monkeypatch):
     path = write(tmp_path / "x.txt", ["1þa", "2þbþ3.5"])
     fields = resolve_fields(spark, spark.read.text(path), autodetect=True)
     assert [(f.name, f.kind) for f in fields] == [("a", "INT64"), ("b", "STRING"), ("c", "STRING")]
+
+
+def test_file_names_are_decoded_once_each(spark, file_of, tmp_path, monkeypatch):
+    """The name of a file is decoded for its statistics, not for each of its lines."""
+    from loadstone.operators import inference
+
+    seen = []
+    make = inference.column_statistics
+    monkeypatch.setattr(inference, "column_statistics", lambda lines, *more: seen.append(lines) or make(lines, *more))
+    name = file_of("a +b%20c.txt", ["1þ2", "3þ4"])
+    stored = inference.extend_statistics(spark, str(tmp_path / "state"), name.replace("+", "*"))
+    assert "url_decode" not in seen[0]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r["source"] for r in stored.collect()} == {f"file:{name}"}

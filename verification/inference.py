@@ -18,6 +18,7 @@ from verification.registry import (
     table,
     text,
     text_columns,
+    text_file,
     text_sql,
 )
 
@@ -336,7 +337,7 @@ def names(spark, sf_dir):
 def infer_continued(spark, sf_dir):
     """A schema with its width from one pass over files, and the same from stored statistics
     that were added to file by file."""
-    source = lines(spark, sf_dir, "lineitem")
+    source = spark.read.text(text_file(spark, lines(spark, sf_dir, "lineitem"), "lines"))
     folder, state = scratch_dir(spark, "growing"), scratch_dir(spark, "statistics")
     result = None
     for n in range(3):
