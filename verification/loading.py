@@ -443,9 +443,11 @@ def publish_recovery(spark, sf_dir):
     database, result = scratch_database(spark), None
     orders = text_columns("orders")
     even, odd = (
-        table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == n).select(F.concat_ws("þ", *orders.values()).alias("value"))
+        spark.read.text(text_file(spark, table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == n).select(
+            F.concat_ws("þ", *orders.values()).alias("value")
+        ), "half"))
         for n in (0, 1)
-    )
+    )
     for kind, steps in _PUBLISHES.items():
         for n in steps:
             name, reached = f"{database}.{kind}_{n}", []
