@@ -25,9 +25,6 @@ def texts(spark, sf_dir, name, x, *keys):
     return table(spark, sf_dir, name).select(*keys, x.alias("x"))
 
 
-X = F.col("x")
-
-
 @query(
     "decode_string",
     """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL
@@ -45,7 +42,7 @@ def decode_string(spark, sf_dir):
         },
         F.col("props"),
     )
-    return texts(spark, sf_dir, "events", x, "event_id").select("event_id", D.decode_string(X).alias("s"))
+    return texts(spark, sf_dir, "events", x, "event_id").select("event_id", D.decode_string(F.col("x")).alias("s"))
 
 
 @query("decode_varchar", "SELECT p_partkey, substr(p_name, 1, 5) AS name FROM part")
@@ -74,8 +71,8 @@ def decode_int64(spark, sf_dir):
         },
         text("o_orderkey"),
     )
-    rows = texts(spark, sf_dir, "orders", x, "o_orderkey").select("*", D.decode_int64(X).alias("n"))
-    return rows.select("o_orderkey", "n", ((X != "") & F.col("n").isNull()).alias("bad"))
+    rows = texts(spark, sf_dir, "orders", x, "o_orderkey").select("*", D.decode_int64(F.col("x")).alias("n"))
+    return rows.select("o_orderkey", "n", ((F.col("x") != "") & F.col("n").isNull()).alias("bad"))
 
 
 @query(
@@ -99,7 +96,7 @@ def decode_float64(spark, sf_dir):
         },
         amount,
     )
-    rows = texts(spark, sf_dir, "customer", x, "c_custkey").select("c_custkey", D.decode_float64(X).alias("d"))
+    rows = texts(spark, sf_dir, "customer", x, "c_custkey").select("c_custkey", D.decode_float64(F.col("x")).alias("d"))
     return rows.select("*", F.col("d").isNull().alias("bad"))
 
 
@@ -136,7 +133,7 @@ def decode_numeric(spark, sf_dir):
         ),
     )
     keys = ("l_orderkey", "l_linenumber")
-    rows = texts(spark, sf_dir, "lineitem", x, *keys).select(*keys, D.decode_numeric(X, 14, 1).alias("n"))
+    rows = texts(spark, sf_dir, "lineitem", x, *keys).select(*keys, D.decode_numeric(F.col("x"), 14, 1).alias("n"))
     return rows.select("*", F.col("n").isNull().alias("bad"))
 
 
@@ -164,9 +161,9 @@ def decode_date(spark, sf_dir):
     )
     return texts(spark, sf_dir, "orders", x, "o_orderkey").select(
         "o_orderkey",
-        D.decode_date(X).alias("d1"),
-        D.decode_date(X, "MM/dd/yyyy").alias("d2"),
-        D.decode_date(X, "yyyyMMdd").alias("d3"),
+        D.decode_date(F.col("x")).alias("d1"),
+        D.decode_date(F.col("x"), "MM/dd/yyyy").alias("d2"),
+        D.decode_date(F.col("x"), "yyyyMMdd").alias("d3"),
     )
 
 
@@ -193,7 +190,7 @@ def decode_ts_offset(spark, sf_dir):
         at,
     )
     return texts(spark, sf_dir, "events", x, "event_id").select(
-        "event_id", fmt_timestamp(D.decode_ts_offset(X)).alias("instant")
+        "event_id", fmt_timestamp(D.decode_ts_offset(F.col("x"))).alias("instant")
     )
 
 
@@ -218,7 +215,7 @@ def decode_ts_zoned(spark, sf_dir):
         at,
     )
     return texts(spark, sf_dir, "events", x, "event_id").select(
-        "event_id", fmt_timestamp(D.decode_ts_zoned(X)).alias("instant")
+        "event_id", fmt_timestamp(D.decode_ts_zoned(F.col("x"))).alias("instant")
     )
 
 
@@ -243,8 +240,8 @@ def decode_ts_local(spark, sf_dir):
     )
     return texts(spark, sf_dir, "events", x, "event_id").select(
         "event_id",
-        fmt_timestamp(D.decode_ts_local(X, "America/Chicago")).alias("chicago"),
-        fmt_timestamp(D.decode_ts_local(X, "Asia/Tokyo", "yyyyMMddHHmmss")).alias("tokyo"),
+        fmt_timestamp(D.decode_ts_local(F.col("x"), "America/Chicago")).alias("chicago"),
+        fmt_timestamp(D.decode_ts_local(F.col("x"), "Asia/Tokyo", "yyyyMMddHHmmss")).alias("tokyo"),
     )
 
 
@@ -271,10 +268,10 @@ def decode_ts_seasons(spark, sf_dir):
         {"click": stamp(F.col("ts")), "view": stamp(summer), "error": skipped},
         F.lit("2020-11-01 01:30:00.250000"),
     )
-    zoned = F.when(F.col("event_type").isin("click", "view"), F.concat(X, F.lit(" America/Los_Angeles")))
+    zoned = F.when(F.col("event_type").isin("click", "view"), F.concat(F.col("x"), F.lit(" America/Los_Angeles")))
     rows = texts(spark, sf_dir, "events", x, "event_id", "event_type").select("event_id", "x", zoned.alias("zoned"))
     return rows.select(
         "event_id",
-        F.unix_micros(D.decode_ts_local(X, "America/Chicago", pattern)).alias("micros"),
+        F.unix_micros(D.decode_ts_local(F.col("x"), "America/Chicago", pattern)).alias("micros"),
         F.unix_micros(D.decode_ts_zoned(F.col("zoned"), pattern + " VV")).alias("pacific"),
     )
