@@ -12,8 +12,9 @@ gadgets took, in time, a token on the left edge of the arc's own.
 A text is cut into words by the tokenizer's pattern. A word walks a trie of labels from its
 first byte; the longest label whose arc leaves the current state is taken, shorter ones
 where the way turns out to be blocked, and a place that was found blocked is not entered
-again: time in proportion to the length, whatever the word. Labels emitted along a path are
-the text again: that is how ids are decoded.
+again: time in proportion to the length, whatever the word. New words of many texts walk
+together (``paths``), long ones by themselves. Labels emitted along a path are the text
+again: that is how ids are decoded.
 
 Null text is empty and has no tokens. Special tokens inside a text are ids of their own, as
 in the ``tokenizers`` library. Repeated rows, null ids and extra columns are of no account.
@@ -24,6 +25,7 @@ the pattern; a word of any length is encoded whole.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,19 +37,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadstone.llm.merges import byte_letters
+from loadstone.llm.paths import START, Paths
 from loadstone.llm.tables import bounded_batches, column, without_cycle_search
 
 # Fixed value: how byte-level tokenizers cut text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same for ASCII text, without tables of letters.
+ASCII_PATTERN = r" ?[A-Za-z]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+
 # Words and arcs that a task remembers, twice over, and bytes of a word that is; speed only.
 REMEMBERED, REMEMBERED_BYTES = 150_000, 256
 
 # Characters that are cut into words at once.
 AT_ONCE = 1_000_000
 
+# New words that walk together, at least and at most, and the characters of the longest; speed only.
+TOGETHER, TOGETHER_MOST, TOGETHER_LENGTH = 200, 20_000, 64
+
 FOREVER = 1 << 62
-START = -1
 
 
 @dataclass(frozen=True)
@@ -64,6 +72,7 @@ class Automaton:
     states: list[tuple[tuple[int, int], ...]]  # (token, time): its gadgets before that time
     left: dict[int, tuple[tuple[int, int], ...]]  # (token, time) on the left edge of a token
     gadgets: dict[int, int]  # a << 32 | b -> when b was taken from behind a
+    paths: Paths  # the same for many words at once
 
 
 def _missing(right: tuple, left: tuple, gadgets: dict[int, int]) -> bool:
@@ -76,8 +85,14 @@ def _missing(right: tuple, left: tuple, gadgets: dict[int, int]) -> bool:
     return False
 
 
-def compile_merges(tokenizer_json: str) -> Automaton:
-    """The automaton of a byte-level tokenizer file."""
+class _Labels(dict):
+    """Bytes by token; an id that no token has stands for none."""
+
+    def __missing__(self, token: int) -> bytes:
+        return b""
+
+
+def _supported(tokenizer_json: str) -> dict:
     given = json.loads(tokenizer_json)
     model, cutter = given["model"], given["pre_tokenizer"] or {}
     odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
@@ -86,9 +101,31 @@ def compile_merges(tokenizer_json: str) -> Automaton:
         raise ValueError("a byte-level tokenizer without normalizer, prefix space or word marks is required")
     if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in given["added_tokens"]):
         raise ValueError("special tokens that take in their surroundings are not supported")
+    return given
+
+
+def token_labels(tokenizer_json: str) -> dict[int, bytes]:
+    """The bytes of each token, special ones too."""
+    given = _supported(tokenizer_json)
+    byte_of = {c: b for b, c in enumerate(byte_letters())}
+    labels = _Labels({i: bytes(byte_of[c] for c in t) for t, i in given["model"]["vocab"].items() if all(c in byte_of for c in t)})
+    labels.update({t["id"]: t["content"].encode() for t in given["added_tokens"]})
+    return labels
+
+
+def spelt(labels: dict[int, bytes], ids: bytes) -> str:
+    """The labels of the ids, one after the other; ids that no token has are passed over."""
+    numbers = np.frombuffer(ids, "<u4")
+    chunks = [b"".join(map(labels.__getitem__, numbers[k : k + AT_ONCE].tolist())) for k in range(0, len(numbers), AT_ONCE)]
+    return b"".join(chunks).decode("utf-8", "replace")
+
+
+def compile_merges(tokenizer_json: str) -> Automaton:
+    """The automaton of a byte-level tokenizer file."""
+    given = _supported(tokenizer_json)
+    model = given["model"]
     vocab = model["vocab"]
     byte_of = {c: b for b, c in enumerate(byte_letters())}
-    spelt = lambda token: bytes(byte_of[c] for c in token)
 
     live = {vocab[c]: bytes([b]) for c, b in byte_of.items() if c in vocab}
     right = {t: ((t, FOREVER),) for t in live}
@@ -136,12 +173,12 @@ def compile_merges(tokenizer_json: str) -> Automaton:
             found = token_at[node] if token_at[node] >= 0 else found
         shorter[token] = found
 
-    labels = {i: spelt(t) for t, i in vocab.items() if all(c in byte_of for c in t)}
-    special = {t["content"]: t["id"] for t in given["added_tokens"]}
-    labels |= {i: t.encode() for t, i in special.items()}
+    labels, special = token_labels(tokenizer_json), {t["content"]: t["id"] for t in given["added_tokens"]}
+    states = list(numbers)
+    paths = Paths(live, trie, token_at, shorter, state_of, states, left, gadgets)
     cutting = {**given, "model": {**model, "vocab": {}, "merges": []}, "added_tokens": []}
     return Automaton(
-        labels, special, json.dumps(cutting), trie, token_at, shorter, state_of, list(numbers), left, gadgets
+        labels, special, json.dumps(cutting), trie, token_at, shorter, state_of, states, left, gadgets, paths
     )
 
 
@@ -156,13 +193,16 @@ class _Remembered(dict):
         found = self.old.get(key)
         if found is None:
             found = self.find(key)
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
+        self.make_room()
         if not isinstance(key, str) or len(key) <= REMEMBERED_BYTES:
             self[key] = found
         return found
 
+    def make_room(self) -> None:
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+
 
 class Encoder:
     """Texts to ids by the automaton, and back."""
@@ -174,6 +214,7 @@ class Encoder:
         self.words = _Remembered(lambda word: self.path(word.encode()))
         self.arcs = _Remembered(self._arc)
         self.find_words = regex.compile(PATTERN).findall
+        self.find_ascii_words = re.compile(ASCII_PATTERN, re.ASCII).findall
         self.gap = regex.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
         special = sorted(automaton.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
@@ -226,8 +267,6 @@ class Encoder:
     def _knows(self, text: str) -> bool:
         """Whether all letters were assigned when this interpreter's tables were made. Those
         that are newer may be letters to one library and not to another."""
-        if text.isascii():
-            return True
         for c in set(text) - self.known_letters:
             if unicodedata.category(c) == "Cn":
                 return False
@@ -235,6 +274,8 @@ class Encoder:
         return True
 
     def _words(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.find_ascii_words(text)
         if self._knows(text):
             return self.find_words(text)
         if self.library is None:
@@ -254,24 +295,55 @@ class Encoder:
             at = gap.start()
         yield text[at:] if at else text
 
-    def encode(self, text: str) -> bytes:
+    def _pieces(self, text: str) -> Iterator[tuple[list[str] | bytes, int]]:
+        """The words of the text, chunk by chunk, and the ids of special tokens between them,
+        each with the characters cut into words."""
         special = self.auto.special
         parts = self.special.split(text) if self.special and any(s in text for s in special) else [text]
-        out = []
         for i, part in enumerate(parts):
             if i % 2:
-                out.append(np.array([special[part]], "<u4").tobytes())
+                yield np.array([special[part]], "<u4").tobytes(), 0
             else:
                 for chunk in self._chunks(part):
-                    out.append(b"".join(map(self.words.__getitem__, self._words(chunk))))
-        return b"".join(out)
+                    words = self._words(chunk)
+                    for k in range(0, len(words), AT_ONCE):
+                        yield words[k : k + AT_ONCE], len(chunk)
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the words of about AT_ONCE characters are looked up together."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        pieces: list[tuple[list[bytes], list[str] | bytes]] = []
+        size = 0
+        for ids, text in zip(out, texts, strict=True):
+            for piece, cut in self._pieces(text):
+                pieces.append((ids, piece))
+                size += cut
+                if size >= AT_ONCE:
+                    self._look_up(pieces)
+                    pieces, size = [], 0
+        self._look_up(pieces)
+        return [b"".join(ids) for ids in out]
+
+    def _look_up(self, pieces: list[tuple[list[bytes], list[str] | bytes]]) -> None:
+        self._learn(set().union(*[piece for _, piece in pieces if isinstance(piece, list)]))
+        for ids, piece in pieces:
+            ids.append(b"".join(map(self.words.__getitem__, piece)) if isinstance(piece, list) else piece)
+
+    def _learn(self, words: set[str]) -> None:
+        """Find the ids of words that are not remembered, many at once."""
+        self.words.make_room()
+        known, old = self.words, self.words.old
+        new = [w for w in words if w not in known and w not in old and len(w) <= TOGETHER_LENGTH]
+        if len(new) >= TOGETHER:
+            for k in range(0, len(new), TOGETHER_MOST):
+                some = new[k : k + TOGETHER_MOST]
+                known.update(zip(some, self.auto.paths([w.encode() for w in some]), strict=True))
 
     def decode(self, ids: bytes) -> str:
-        """The labels of the ids, one after the other; ids that no token has are passed over."""
-        labels = self.auto.labels
-        numbers = np.frombuffer(ids, "<u4")
-        chunks = [b"".join([labels.get(i, b"") for i in numbers[k : k + AT_ONCE].tolist()]) for k in range(0, len(numbers), AT_ONCE)]
-        return b"".join(chunks).decode("utf-8", "replace")
+        return spelt(self.auto.labels, ids)
 
 
 def encode_documents(docs: DataFrame, tokenizer_json: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -285,7 +357,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, *, doc_id: str = "doc
         with without_cycle_search():
             encoder = Encoder(shared.value)
             for batch in batches:
-                ids = [encoder.encode(x) for x in batch.column(1).to_pylist()]
+                ids = encoder.encode_all(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return given.mapInArrow(run, schema)
@@ -294,13 +366,13 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, *, doc_id: str = "doc
 def decode_documents(encoded: DataFrame, tokenizer_json: str) -> DataFrame:
     """The rows with the texts that their ``ids`` spell, as ``text``."""
     schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
-    shared = encoded.sparkSession.sparkContext.broadcast(compile_merges(tokenizer_json))
+    shared = encoded.sparkSession.sparkContext.broadcast(token_labels(tokenizer_json))
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        labels = shared.value
         for batch in batches:
-            texts = [encoder.decode(x or b"") for x in batch.column(at).to_pylist()]
+            texts = [spelt(labels, x or b"") for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return encoded.mapInArrow(run, schema)

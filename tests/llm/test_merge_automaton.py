@@ -69,6 +69,43 @@ def test_arcs_agree_with_merging_of_pairs(automaton, library):
         assert encoder.arcs[automaton.state_of[a] << 32 | b] == kept
 
 
+def test_new_words_walk_together(automaton, library, monkeypatch):
+    """Words that a task has not met are not walked one by one, the longest ones apart."""
+    rng = random.Random(8)
+    parts = ["a", "e", "t", "th", "é", "日本", "ó", "0", "12", "!", "=", "ing", "ción", "̀", "ß", "\U0001f600", "\x1c", "aaab", " "]
+    texts = ["", *(" ".join("".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(rng.randint(1, 60))) for _ in range(300))]
+    texts += ["<|endoftext|>", "xq<|endoftext|><|endoftext|> e" + texts[5], "x" * 500, "  \n \t"]
+    walked = []
+    by_one = Encoder.path
+    monkeypatch.setattr(Encoder, "path", lambda self, word: walked.append(word) or by_one(self, word))
+    joined = np.frombuffer(Encoder(automaton).encode("\n".join(texts)), "<u4").tolist()
+    assert joined == library.encode("\n".join(texts), add_special_tokens=False).ids
+    assert walked == [b"x" * 500]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in Encoder(automaton).encode_all(texts)]
+    assert ids == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert walked == [b"x" * 500] * 2
+    monkeypatch.setattr(merge_automaton, "AT_ONCE", 2000)
+    monkeypatch.setattr(merge_automaton, "REMEMBERED", 100)
+    monkeypatch.setattr(merge_automaton, "TOGETHER", 20)
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(automaton).encode_all(texts)] == ids
+
+
+def test_paths_agree_with_one_path(automaton):
+    rng = random.Random(9)
+    words = [bytes(rng.choices(rng.choice([b"aeiou stnr", b"ab", bytes(range(256))]), k=rng.randint(0, 40))) for _ in range(4000)]
+    encoder = Encoder(automaton)
+    assert automaton.paths(words) == [encoder.path(w) for w in words]
+    assert automaton.paths([]) == [] and automaton.paths([b""]) == [b""]
+
+
+def test_ascii_words_are_those_of_the_pattern(automaton):
+    rng = random.Random(10)
+    encoder = Encoder(automaton)
+    for _ in range(3000):
+        text = "".join(chr(rng.choice([rng.randint(0, 127), rng.choice(b"'stmdrevl \n0a")])) for _ in range(60))
+        assert encoder.find_ascii_words(text) == encoder.find_words(text)
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         compile_merges(queries.word_tokenizer())
