@@ -53,7 +53,7 @@ REMEMBERED, REMEMBERED_BYTES = 150_000, 256
 AT_ONCE = 1_000_000
 
 # New words that walk together, at least and at most, and the characters of the longest; speed only.
-TOGETHER, TOGETHER_MOST, TOGETHER_LENGTH = 200, 20_000, 64
+TOGETHER, TOGETHER_MOST, TOGETHER_LENGTH = 200, 4_000, 64
 
 FOREVER = 1 << 62
 
