@@ -8,10 +8,13 @@ impact times minimum bounds every score in a block. A query visits the blocks of
 shard in the order of their bounds, and stops when the next bound lies below its kth
 score; bounds that equal it are still visited, since ties go to smaller ids.
 
-Shards of blocks and groups of queries meet in a grid, whose cells are tasks of
-bounded size. A cell starts with the kth score that its queries found in their first
-shard, so later shards prune from the beginning. A cell returns at most k rows per
-query, and these are merged.
+Shards of blocks and groups of queries meet in a grid of cells of bounded size. Each
+group meets one shard first, whose kth scores are its floors in all others, so these
+prune from the beginning. The others are dealt into at most ``SPANS`` spans, and a task
+takes a few groups through the shards of a span one after the other. Its floors rise
+with what it finds, and it returns at most k rows per query; these are merged. The pairs
+of the grid are made in the tasks that score them: neither the driver nor a shuffle
+gets a row for each.
 
 Vectors that are null or hold null, NaN or infinite components take no part, nor do
 rows with a null id. Of rows that repeat an id, the largest vector counts. Vectors of
@@ -31,9 +34,12 @@ from loadstone.llm.tables import bounded_batches, written
 BLOCK = 512
 SHARD_BLOCKS = 32
 QUERIES = 1024
+SPANS = 8
+GROUPS = 4  # of a task
 
 _PLACE = 1 << 24  # more than the rows of a shard
 _LONG = (-(2**63), 2**63 - 1)
+_CELL = ("part", "query_id", "query", "floors", "vec_id", "impacts")
 
 
 def impacts(vector: Column) -> Column:
@@ -126,23 +132,35 @@ def _grouped(rows: DataFrame, group: str, id_name: str) -> DataFrame:
 
 
 def _score(cells: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the best k of each cell's queries in its shard."""
+    """(query_id, vec_id, score): the best k of each group's queries in the shards that it
+    meets in a task."""
 
-    def cell(row: dict) -> list[tuple[int, int, int]]:
+    def cell(row: dict, best: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
         width = max([0, *(len(v) for part in ("impacts", "query") for v in row[part].values)])
         queries, docs = (matrix(row[part].values, width) for part in ("query", "impacts"))
         ids, vec_ids = (row[part].values.to_numpy() for part in ("query_id", "vec_id"))
-        found = top_of_shard(ids, queries, row["floors"].as_py(), vec_ids, docs, k)
-        return [(q, v, min(max(s, _LONG[0]), _LONG[1])) for q, best in zip(ids.tolist(), found) for s, v in best]
+        floors = [b[-1][0] if len(b) == k else f for b, f in zip(best, row["floors"].as_py(), strict=True)]
+        found = top_of_shard(ids, queries, floors, vec_ids, docs, k)
+        found = [[(min(max(s, _LONG[0]), _LONG[1]), v) for s, v in f] for f in found]
+        return [sorted(b + f, key=lambda x: (-x[0], x[1]))[:k] if b and f else b or f for b, f in zip(best, found, strict=True)]
+
+    def rows(held: dict) -> pa.RecordBatch:
+        found = ((q, v, s) for ids, best in held.values() for q, b in zip(ids, best, strict=True) for s, v in b)
+        columns = list(zip(*found, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     def run(batches):
+        held: dict[int, tuple[list[int], list[list[tuple[int, int]]]]] = {}
         for batch in batches:
             for at in range(batch.num_rows):
-                rows = cell({name: batch.column(name)[at] for name in batch.schema.names})
-                columns = list(zip(*rows)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
-                )
+                row = {name: batch.column(name)[at] for name in batch.schema.names}
+                part = row["part"].as_py()
+                if part not in held and len(held) == 4 * GROUPS:
+                    yield rows(held)
+                    held.clear()
+                ids, best = held.get(part) or (ids := row["query_id"].as_py(), [[] for _ in ids])
+                held[part] = ids, cell(row, best)
+        yield rows(held)
 
     return cells.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
 
@@ -177,12 +195,14 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
         "part", F.col("vec_id").alias("query_id"), F.col("impacts").alias("query")
     )
     batches = written(batches, "query-groups")
-    count = index.agg(F.max("shard")).first()[0]
-    if count is None:
-        return _best(_score(_cells(batches, index, F.lit(0)), k), k)
-    # Each group meets one shard first; its kth scores are the floors in all others.
-    home = F.pmod(F.col("part"), F.lit(count + 1))
-    first = written(_score(_cells(batches, index, home), k), "first-scores")
+    count = (index.agg(F.max("shard")).first()[0] or 0) + 1
+    home = F.pmod(F.col("part"), F.lit(count))
+    # Each group meets one shard first; its kth scores are the floors in all others. All joins
+    # name their kind: Spark knows sizes from compressed files, and would send a side of many
+    # times that to the driver to broadcast it.
+    unknown = F.transform("query_id", lambda _: F.lit(None).cast("bigint"))
+    homed = batches.select("*", home.alias("shard"), unknown.alias("floors"))
+    first = written(_score(homed.join(index.hint("merge"), "shard").select(*_CELL), k), "first-scores")
     kth = F.struct("query_id", "floor")
     floors = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor"))
     floors = (
@@ -191,19 +211,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
         .groupBy("part")
         .agg(F.map_from_entries(F.collect_list(kth)).alias("known"))
     )
-    informed = batches.join(floors, "part", "left")
-    others = informed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(count)))).where(
-        F.col("shard") != home
-    )
-    rest = _score(_joined(others, index), k)
-    return _best(first.union(rest), k)
-
-
-def _cells(batches: DataFrame, index: DataFrame, shard: Column) -> DataFrame:
-    empty = F.lit(None).cast("map<bigint,bigint>")
-    return _joined(batches.withColumn("known", empty).withColumn("shard", shard), index)
-
-
-def _joined(asked: DataFrame, index: DataFrame) -> DataFrame:
-    floors = F.transform("query_id", lambda q: F.try_element_at(F.col("known"), q)).alias("floors")
-    return asked.join(index, "shard").select("query_id", "query", floors, "vec_id", "impacts")
+    known = F.transform("query_id", lambda q: F.try_element_at(F.col("known"), q))
+    informed = batches.join(floors.hint("merge"), "part", "left").withColumn("floors", known).drop("known")
+    spans, few = index.repartition(min(count, SPANS)), informed.repartition(-(-groups // GROUPS))
+    others = spans.join(few.hint("shuffle_replicate_nl"), F.col("shard") != home)
+    return _best(first.union(_score(others.select(*_CELL), k)), k)
